@@ -1 +1,341 @@
-"""Queries: placeholder until filled."""
+"""Model, sweep, metric and report queries (2I, F6, F7, F9, A5-A7, B13).
+
+SQL-checkable metric/report queries score data-derived group-mean predictors
+(fitted on the train split, scored on the test split); Spark ML fits are
+rows-only checks.
+"""
+
+from __future__ import annotations
+
+import os
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tabprism.functions.scalar import round_doubles
+from tabprism.operators import models as M
+from tabprism.operators.ranking import best_per_group, best_per_metric
+from tabprism.operators.sampling import hash_order, split3
+from tabprism.plans.prep_plans import prepared
+from tabprism.plans.registry import query
+from tabprism.session import ensure_checkpoint_dir
+from tabprism.sources.listings import listings_clean, oracle_with
+
+# ------------------------------------------------------------------ group-mean predictors
+# The predictor families used for SQL-checkable sweeps (ours).
+PREDICTORS = [("mean_all", []), ("mean_city", ["city"]), ("mean_room", ["room_type"]),
+              ("mean_city_room", ["city", "room_type"])]
+SWEEP = ([("GroupMean", i + 1, keys, None) for i, keys in enumerate(
+    [[], ["city"], ["room_type"], ["property_type"], ["city", "room_type"], ["cancellation_policy"]])]
+    + [("ShrunkMean", i + 1, ["city", "room_type"], k) for i, k in enumerate([5, 50, 500])])
+
+
+def _split_lc(spark, sf):
+    return split3(listings_clean(spark, sf), "listing_id", 42)
+
+
+def group_mean_predictions(spark: SparkSession, sf: str, specs) -> DataFrame:
+    """(model, config_no, listing_id, y, yhat) on the test split for each spec
+    ``(model, config_no, keys, k)``; ``k`` shrinks group means toward the global mean.
+    Unseen groups fall back to the global train mean."""
+    sp = _split_lc(spark, sf)
+    train = sp.where(F.col("split") == "train")
+    test = sp.where(F.col("split") == "test")
+    g = train.select(F.struct(F.sum("log_price").alias("s"), F.count(F.lit(1)).alias("n"))).scalar()
+    gmean = g["s"] / g["n"]
+    out = None
+    for model, no, keys, k in specs:
+        if keys:
+            st = train.groupBy(*keys).agg(F.sum("log_price").alias("_s"), F.count(F.lit(1)).alias("_n"))
+            kk = float(k or 0)
+            mean = (F.col("_s") + F.lit(kk) * gmean) / (F.col("_n") + F.lit(kk))
+            p = test.join(st, keys, "left").select("listing_id", F.col("log_price").alias("y"),
+                                                  F.coalesce(mean, gmean).alias("yhat"))
+        else:
+            p = test.select("listing_id", F.col("log_price").alias("y"), gmean.alias("yhat"))
+        p = p.select(F.lit(model).alias("model"), F.lit(no).alias("config_no"), "*")
+        out = p if out is None else out.unionByName(p)
+    return out
+
+
+def _pred_sql(specs) -> str:
+    parts = []
+    for model, no, keys, k in specs:
+        if keys:
+            on = " AND ".join(f"s.{c} = t.{c}" for c in keys)
+            kk = float(k or 0)
+            parts.append(f"""SELECT '{model}' AS model, {no} AS config_no, t.listing_id, t.log_price AS y,
+  coalesce((s.sm + {kk} * g.gm) / (s.n + {kk}), g.gm) AS yhat
+FROM te t CROSS JOIN gl g LEFT JOIN (SELECT {", ".join(keys)}, sum(log_price) AS sm, count(*) AS n FROM tr GROUP BY {", ".join(keys)}) s ON {on}""")
+        else:
+            parts.append(f"SELECT '{model}' AS model, {no} AS config_no, t.listing_id, t.log_price AS y, g.gm AS yhat FROM te t CROSS JOIN gl g")
+    return "\nUNION ALL\n".join(parts)
+
+
+_SPLIT_LC = """
+, sp AS (SELECT *, CASE WHEN b < 6 THEN 'train' WHEN b < 8 THEN 'val' ELSE 'test' END AS split
+         FROM (SELECT *, (('0x' || substr(md5(CAST(listing_id AS VARCHAR) || '|42'), 1, 8))::BIGINT) % 10 AS b
+               FROM lc) x),
+  tr AS (SELECT * FROM sp WHERE split = 'train'),
+  te AS (SELECT * FROM sp WHERE split = 'test'),
+  gl AS (SELECT sum(log_price) / count(*) AS gm FROM tr)
+"""
+_PRED4 = [(m, 1, keys, None) for m, keys in PREDICTORS]
+_METRICS_SQL = """SELECT model, sqrt(avg((y - yhat) * (y - yhat))) AS rmse, avg(abs(y - yhat)) AS mae,
+  1 - sum((y - yhat) * (y - yhat)) / (count(*) * var_pop(y)) AS r2 FROM pr GROUP BY model"""
+WP = oracle_with() + _SPLIT_LC + ", pr AS (" + _pred_sql(_PRED4) + ")\n"
+
+
+@query("regression_metrics", "I8", oracle=WP + "SELECT model, round(rmse, 6) AS rmse, round(mae, 6) AS mae, "
+       "round(r2, 6) AS r2 FROM (" + _METRICS_SQL + ") m")
+def q_regression_metrics(spark, sf):
+    p = group_mean_predictions(spark, sf, _PRED4)
+    return round_doubles(M.regression_metrics(p, ["model"], "y", "yhat"))
+
+
+@query("metrics_table", "I9", oracle=WP + "SELECT model, round(rmse, 4) AS rmse, round(mae, 4) AS mae, "
+       "round(r2, 4) AS r2 FROM (" + _METRICS_SQL + ") m")
+def q_metrics_table(spark, sf):
+    p = group_mean_predictions(spark, sf, _PRED4)
+    return round_doubles(M.regression_metrics(p, ["model"], "y", "yhat"), 4)
+
+
+@query("round_metrics", "B13", oracle=WP + "SELECT model, round(rmse, 6) AS rmse_6, round(rmse, 4) AS rmse_4, "
+       "round(r2, 6) AS r2_6, round(r2, 4) AS r2_4 FROM (" + _METRICS_SQL + ") m")
+def q_round_metrics(spark, sf):
+    m = M.regression_metrics(group_mean_predictions(spark, sf, _PRED4), ["model"], "y", "yhat")
+    return m.select("model", F.round("rmse", 6).alias("rmse_6"), F.round("rmse", 4).alias("rmse_4"),
+                    F.round("r2", 6).alias("r2_6"), F.round("r2", 4).alias("r2_4"))
+
+
+# ------------------------------------------------------------------ sweep tables
+def sweep_metrics(spark: SparkSession, sf: str) -> DataFrame:
+    """(model, config_no, config_label, keys, k, rmse, mae, r2) of the group-mean sweep."""
+    p = group_mean_predictions(spark, sf, SWEEP)
+    met = M.regression_metrics(p, ["model", "config_no"], "y", "yhat")
+    meta = spark.createDataFrame(
+        [(m, no, f"C{no}: keys={','.join(keys) or '-'}" + (f",k={k}" if k is not None else ""),
+          ",".join(keys), None if k is None else str(k)) for m, no, keys, k in SWEEP],
+        "model string, config_no int, config_label string, keys string, k string")
+    return meta.join(met, ["model", "config_no"])
+
+
+_SWEEP_META = "meta(model, config_no, config_label, keys, k) AS (VALUES " + ", ".join(
+    f"('{m}', {no}, '" + f"C{no}: keys={','.join(keys) or '-'}" + (f",k={k}" if k is not None else "")
+    + f"', '{','.join(keys)}', " + ("NULL" if k is None else f"'{k}'") + ")" for m, no, keys, k in SWEEP) + ")"
+WSW = oracle_with(_SWEEP_META) + _SPLIT_LC + ", pr AS (" + _pred_sql(SWEEP) + "),\n" + """
+  met AS (SELECT model, config_no, sqrt(avg((y - yhat) * (y - yhat))) AS rmse, avg(abs(y - yhat)) AS mae,
+          1 - sum((y - yhat) * (y - yhat)) / (count(*) * var_pop(y)) AS r2 FROM pr GROUP BY model, config_no),
+  sw AS (SELECT meta.model, meta.config_no, meta.config_label, meta.keys, meta.k, met.rmse, met.mae, met.r2
+         FROM meta JOIN met ON met.model = meta.model AND met.config_no = meta.config_no)
+"""
+
+
+@query("best_per_model", "F6", oracle=WSW + """SELECT model, config_no, config_label, round(rmse, 6) AS rmse,
+  row_number() OVER (PARTITION BY model ORDER BY rmse, config_no) = 1 AS is_best FROM sw""")
+def q_best_per_model(spark, sf):
+    sw = sweep_metrics(spark, sf)
+    out = best_per_group(sw, ["model"], "rmse", "config_no")  # window over a model's configs only
+    return round_doubles(out.select("model", "config_no", "config_label", "rmse", "is_best"))
+
+
+@query("best_per_metric", "F7", oracle=WSW + """
+, lg AS (SELECT model || '/' || config_no AS cfg, config_no, 'rmse' AS metric, rmse AS value FROM sw
+         UNION ALL SELECT model || '/' || config_no, config_no, 'mae', mae FROM sw
+         UNION ALL SELECT model || '/' || config_no, config_no, 'r2', r2 FROM sw)
+SELECT metric, cfg, round(value, 6) AS value FROM (
+  SELECT *, row_number() OVER (PARTITION BY metric ORDER BY CASE WHEN metric = 'r2' THEN -value ELSE value END,
+                               config_no, cfg) AS r FROM lg) x WHERE r = 1""")
+def q_best_per_metric(spark, sf):
+    sw = sweep_metrics(spark, sf).withColumn("cfg", F.concat_ws("/", "model", F.col("config_no").cast("string")))
+    sw = sw.withColumn("_ord", F.concat(F.lpad(F.col("config_no").cast("string"), 6, "0"), F.lit("|"), F.col("cfg")))
+    out = best_per_metric(sw.select("cfg", "_ord", "rmse", "mae", "r2"), "cfg",
+                          {"rmse": False, "mae": False, "r2": True}, "_ord")
+    return round_doubles(out)
+
+
+@query("config_union", "F9", oracle=WSW + """
+SELECT model, config_label, keys, NULL::VARCHAR AS k, round(rmse, 6) AS rmse FROM sw WHERE model = 'GroupMean'
+UNION ALL SELECT model, config_label, keys, k, round(rmse, 6) FROM sw WHERE model = 'ShrunkMean'""")
+def q_config_union(spark, sf):
+    sw = sweep_metrics(spark, sf)
+    a = sw.where(F.col("model") == "GroupMean").select("model", "config_label", "keys", "rmse")
+    b = sw.where(F.col("model") == "ShrunkMean").select("model", "config_label", "keys", "k", "rmse")
+    return round_doubles(a.unionByName(b, allowMissingColumns=True))
+
+
+def sweep_report(spark: SparkSession, sf: str) -> DataFrame:
+    """One nested row per model: configs (label, hyperparameters, metrics, is_best),
+    best config and best metrics. ``collect_list`` runs per model over its configs."""
+    sw = best_per_group(sweep_metrics(spark, sf), ["model"], "rmse", "config_no")
+    metrics = F.struct(F.round("rmse", 6).alias("RMSE"), F.round("mae", 6).alias("MAE"), F.round("r2", 6).alias("R2"))
+    hyper = F.map_filter(F.create_map(F.lit("keys"), F.col("keys"), F.lit("k"), F.col("k")),
+                         lambda k, v: v.isNotNull())
+    cfg = F.struct(F.col("config_no"), F.col("config_label"), hyper.alias("hyperparameters"),
+                   metrics.alias("metrics"), F.col("is_best"))
+    by_no = lambda a, b: F.when(a["config_no"] < b["config_no"], -1).when(a["config_no"] > b["config_no"], 1).otherwise(0)
+    rep = sw.groupBy("model").agg(F.array_sort(F.collect_list(cfg), by_no).alias("configs"))
+    best = F.filter("configs", lambda c: c["is_best"])[0]
+    return rep.select("model", "configs", best["config_label"].alias("best_config"),
+                      best["metrics"].alias("best_metrics"))
+
+
+@query("sweep_report", "I6")
+def q_sweep_report(spark, sf):
+    return sweep_report(spark, sf)
+
+
+def _scratch(spark: SparkSession, name: str) -> str:
+    base = ensure_checkpoint_dir(spark)
+    return os.path.join(base, f"{name}-{uuid.uuid4().hex}")
+
+
+_REPORT_SCHEMA = T.StructType([
+    T.StructField("model", T.StringType()),
+    T.StructField("configs", T.ArrayType(T.StructType([
+        T.StructField("config_no", T.IntegerType()), T.StructField("config_label", T.StringType()),
+        T.StructField("hyperparameters", T.MapType(T.StringType(), T.StringType())),
+        T.StructField("metrics", T.StructType([T.StructField("RMSE", T.DoubleType()),
+                                               T.StructField("MAE", T.DoubleType()),
+                                               T.StructField("R2", T.DoubleType())])),
+        T.StructField("is_best", T.BooleanType())]))),
+    T.StructField("best_config", T.StringType()),
+    T.StructField("best_metrics", T.StructType([T.StructField("RMSE", T.DoubleType()),
+                                                T.StructField("MAE", T.DoubleType()),
+                                                T.StructField("R2", T.DoubleType())]))])
+
+
+def write_report(df: DataFrame, path: str) -> None:
+    """A5: persist a (nested) report as JSON lines in the shared folder."""
+    df.write.mode("overwrite").json(path)
+
+
+def read_report(spark: SparkSession, path: str) -> DataFrame:
+    """A5: read it back with an explicit schema (no inference pass)."""
+    return spark.read.schema(_REPORT_SCHEMA).json(path)
+
+
+@query("metrics_json_roundtrip", "A5", oracle=WSW + """SELECT model, config_label, round(rmse, 6) AS RMSE,
+  round(mae, 6) AS MAE, round(r2, 6) AS R2,
+  row_number() OVER (PARTITION BY model ORDER BY rmse, config_no) = 1 AS is_best,
+  first_value(config_label) OVER (PARTITION BY model ORDER BY rmse, config_no) AS best_config FROM sw""")
+def q_json_roundtrip(spark, sf):
+    path = _scratch(spark, "sweep-report")
+    write_report(sweep_report(spark, sf), path)
+    back = read_report(spark, path)
+    c = back.select("model", "best_config", F.explode("configs").alias("c"))
+    return c.select("model", F.col("c.config_label").alias("config_label"), F.col("c.metrics.RMSE").alias("RMSE"),
+                    F.col("c.metrics.MAE").alias("MAE"), F.col("c.metrics.R2").alias("R2"),
+                    F.col("c.is_best").alias("is_best"), "best_config")
+
+
+def save_splits(df: DataFrame, path: str) -> None:
+    """Splits as parquet partitioned by ``split`` (one directory per split)."""
+    df.write.mode("overwrite").partitionBy("split").parquet(path)
+
+
+def load_split(spark: SparkSession, path: str, split: str) -> DataFrame:
+    """Read one split; the partition filter prunes the other directories."""
+    return spark.read.parquet(path).where(F.col("split") == split)
+
+
+@query("splits_parquet_roundtrip", "A6", oracle=oracle_with() + _SPLIT_LC +
+       "SELECT listing_id, split, round(log_price, 6) AS log_price FROM te")
+def q_splits_roundtrip(spark, sf):
+    path = _scratch(spark, "splits")
+    save_splits(_split_lc(spark, sf).select("listing_id", "log_price", "split"), path)
+    return round_doubles(load_split(spark, path, "test").select("listing_id", "split", "log_price"))
+
+
+# ------------------------------------------------------------------ Spark ML fits (rows)
+def _train_test(spark, sf):
+    prep, pre = prepared(spark, sf)
+    return prep, pre
+
+
+# Smoke scaling for tree ensembles inside queries(); the full grid is config_sweep's default.
+SMOKE_TREES, SMOKE_DEPTH = 0.05, 6
+
+
+def _family(fam: str, smoke: bool = True):
+    cfgs = [c for c in M.model_grid() if c.family == fam]
+    if smoke and fam != "LinearRegression":
+        cfgs = [M.scaled(c, SMOKE_TREES, SMOKE_DEPTH) for c in cfgs]
+    return cfgs
+
+
+def _sweep(spark, sf, fams):
+    prep, _ = _train_test(spark, sf)
+    train = prep.where(F.col("split") == "train").select("features", "label")
+    test = prep.where(F.col("split") == "test").select("features", "label")
+    cfgs = [c for f in fams for c in _family(f)]
+    return round_doubles(M.config_sweep(train, test, cfgs))
+
+
+@query("ridge_fit", "I1")
+def q_ridge(spark, sf):
+    return _sweep(spark, sf, ["LinearRegression"])
+
+
+@query("random_forest_fit", "I2")
+def q_forest(spark, sf):
+    return _sweep(spark, sf, ["RandomForest"])
+
+
+@query("gbt_fit_a", "I3")
+def q_gbt_a(spark, sf):
+    return _sweep(spark, sf, ["XGBoost"])
+
+
+@query("gbt_fit_b", "I4")
+def q_gbt_b(spark, sf):
+    return _sweep(spark, sf, ["CatBoost"])
+
+
+@query("config_sweep", "I5")
+def q_config_sweep(spark, sf):
+    return _sweep(spark, sf, ["LinearRegression", "RandomForest", "XGBoost", "CatBoost"])
+
+
+@query("parameter_curve", "I7")
+def q_parameter_curve(spark, sf):
+    prep, _ = _train_test(spark, sf)
+    train = prep.where(F.col("split") == "train").select("features", "label")
+    val = prep.where(F.col("split") == "val").select("features", "label")
+    a = M.parameter_curve(train, val, "LinearRegression", "alpha", [0.01, 0.1, 1.0, 10.0, 100.0], {})
+    b = M.parameter_curve(train, val, "RandomForest", "n_estimators", [5, 10, 15],
+                          {"max_depth": SMOKE_DEPTH, "min_samples_leaf": 5, "max_features": "all"})
+    return round_doubles(a.unionByName(b))
+
+
+@query("predict_observation", "I10")
+def q_predict_observation(spark, sf, obs_rank: int = 0):
+    """Prediction and actual for one test row (``obs_rank``-th test row in hash order)."""
+    prep, _ = _train_test(spark, sf)
+    train = prep.where(F.col("split") == "train")
+    cfg = M.model_grid()[2]  # ridge alpha = 1.0
+    model = M.estimator(cfg, train.count(), M.label_std(train)).fit(train)
+    test = prep.where(F.col("split") == "test")
+    obs = test.orderBy(hash_order("listing_id", 42), "listing_id").limit(obs_rank + 1) \
+              .orderBy(hash_order("listing_id", 42).desc()).limit(1)
+    return model.transform(obs).select("listing_id", F.col("label").alias("actual"), "prediction")
+
+
+@query("model_persist", "A7")
+def q_model_persist(spark, sf):
+    """Fit the preprocessor + ridge pipeline, save, load, and predict with both."""
+    from pyspark.ml import PipelineModel
+    sp_prep, pre = _train_test(spark, sf)
+    train = sp_prep.where(F.col("split") == "train")
+    ridge = M.estimator(M.model_grid()[2], train.count(), M.label_std(train)).fit(train)
+    full = PipelineModel(pre.model.stages + [ridge])
+    path = _scratch(spark, "pipeline")
+    full.write().overwrite().save(path)
+    loaded = PipelineModel.load(path)
+    from tabprism.plans.prep_plans import split_frame
+    test = split_frame(spark, sf, learnable=True).where(F.col("split") == "test")
+    a = full.transform(test).select("listing_id", F.col("prediction").alias("before"))
+    b = loaded.transform(test).select("listing_id", F.col("prediction").alias("after"))
+    return round_doubles(a.join(b, "listing_id"), 10)
