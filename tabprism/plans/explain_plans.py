@@ -1 +1,201 @@
-"""Queries: placeholder until filled."""
+"""Explanation queries (2J) and the contribution ops built on them."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tabprism.functions.scalar import NUMERICAL_FEATURES, round_doubles
+from tabprism.operators import explain as X
+from tabprism.operators import models as M
+from tabprism.operators.quantiles import exact_quantiles
+from tabprism.operators.ranking import align_full, jaccard, minmax_scale, top_abs
+from tabprism.operators.sampling import hash_order
+from tabprism.plans.prep_plans import _SPLIT_CTE, prepared, split_frame
+from tabprism.plans.registry import query
+from tabprism.sources.listings import oracle_with
+
+NUM = NUMERICAL_FEATURES
+# Our reference linear model for exact attributions (coefficients per feature).
+LINEAR_MODEL = [("accommodates", 0.06), ("bathrooms", 0.02), ("bedrooms", 0.10), ("beds", -0.01),
+                ("number_of_reviews", 0.0005), ("review_scores_rating", 0.004), ("latitude", 0.01),
+                ("longitude", -0.005)]
+
+
+def contributions(spark: SparkSession, sf: str) -> DataFrame:
+    """(method, listing_id, feature, value, weight) for every test row and feature.
+
+    'shap' = coef * (x - train mean) (exact SHAP of a linear model);
+    'lime' = coef * (x - train median) (the same model against a median baseline).
+    """
+    sp = split_frame(spark, sf)
+    train = sp.where(F.col("split") == "train")
+    test = sp.where(F.col("split") == "test")
+    tl = train.unpivot([], NUM, "feature", "value").where(F.col("value").isNotNull())
+    stats = tl.groupBy("feature").agg(F.avg("value").alias("mean")).join(
+        exact_quantiles(tl, "value", [0.5], ["feature"], ["median"]).drop("n"), "feature")
+    coefs = spark.createDataFrame(LINEAR_MODEL, "feature string, coef double")
+    lng = test.unpivot(["listing_id"], NUM, "feature", "value")  # NULLs kept: they take the baseline
+    shap = X.linear_contributions(lng, coefs, stats.select("feature", F.col("mean").alias("base")))
+    lime = X.linear_contributions(lng, coefs, stats.select("feature", F.col("median").alias("base")))
+    return (shap.select(F.lit("shap").alias("method"), "*")
+            .unionByName(lime.select(F.lit("lime").alias("method"), "*")))
+
+
+_COEF_CTE = "coef(feature, coef) AS (VALUES " + ", ".join(
+    f"('{f}', CAST({c!r} AS DOUBLE))" for f, c in LINEAR_MODEL) + ")"
+
+
+def _long(src: str, ids: str) -> str:
+    return "\nUNION ALL\n".join(f"SELECT {ids}'{c}' AS feature, {c} AS value FROM {src}" for c in NUM)
+
+
+WC = oracle_with(_COEF_CTE) + _SPLIT_CTE + f"""
+, te AS (SELECT * FROM sp WHERE split = 'test'),
+  tl AS ({_long('tr', '')}),
+  bm AS (SELECT feature, avg(value) AS mean, quantile_cont(value, 0.5) AS med FROM tl WHERE value IS NOT NULL
+         GROUP BY feature),
+  lg AS ({_long('te', 'listing_id, ')}),
+  ct AS (SELECT 'shap' AS method, lg.listing_id, lg.feature, coalesce(lg.value, bm.mean) AS value,
+                coef.coef * (coalesce(lg.value, bm.mean) - bm.mean) + 0.0 AS weight
+         FROM lg JOIN bm ON bm.feature = lg.feature JOIN coef ON coef.feature = lg.feature
+         UNION ALL
+         SELECT 'lime', lg.listing_id, lg.feature, coalesce(lg.value, bm.med),
+                coef.coef * (coalesce(lg.value, bm.med) - bm.med) + 0.0
+         FROM lg JOIN bm ON bm.feature = lg.feature JOIN coef ON coef.feature = lg.feature),
+  gi AS (SELECT feature, avg(abs(weight)) AS mean_abs FROM ct WHERE method = 'shap' GROUP BY feature),
+  g5 AS (SELECT feature, mean_abs, row_number() OVER (ORDER BY mean_abs DESC, feature) AS rnk FROM gi
+         ORDER BY mean_abs DESC, feature LIMIT 5),
+  tk AS (SELECT *, row_number() OVER (PARTITION BY method, listing_id ORDER BY abs(weight) DESC, feature) AS rnk
+         FROM ct)
+"""
+
+
+@query("shap_linear", "J5", oracle=WC + """SELECT listing_id, feature, round(value, 6) AS value,
+  round(weight, 6) AS weight FROM ct WHERE method = 'shap'""")
+def q_shap_linear(spark, sf):
+    c = contributions(spark, sf).where(F.col("method") == "shap")
+    return round_doubles(c.select("listing_id", "feature", "value", "weight"))
+
+
+@query("shap_global", "J7", oracle=WC + """SELECT feature, round(mean_abs, 6) AS mean_abs,
+  CAST(rnk AS INTEGER) AS rnk FROM g5""")
+def q_shap_global(spark, sf):
+    c = contributions(spark, sf).where(F.col("method") == "shap")
+    return round_doubles(X.global_importance(c, 5))
+
+
+@query("shap_beeswarm", "J8", oracle=WC + """
+, sh AS (SELECT ct.* FROM ct JOIN g5 ON g5.feature = ct.feature WHERE method = 'shap'),
+  mm AS (SELECT feature, min(value) AS mn, max(value) AS mx FROM sh GROUP BY feature)
+SELECT sh.listing_id, sh.feature, round(sh.weight, 6) AS weight,
+  round((sh.value - mm.mn) / (mm.mx - mm.mn + 1e-9), 6) AS scaled FROM sh JOIN mm ON mm.feature = sh.feature""")
+def q_shap_beeswarm(spark, sf):
+    c = contributions(spark, sf).where(F.col("method") == "shap")
+    top = X.global_importance(c, 5).select("feature")  # 5 rows
+    sh = c.join(F.broadcast(top), "feature")
+    return round_doubles(minmax_scale(sh, "feature", "value").select("listing_id", "feature", "weight", "scaled"))
+
+
+@query("shap_dependence", "J9", oracle=WC + """SELECT ct.listing_id, ct.feature, round(ct.value, 6) AS value,
+  round(ct.weight, 6) AS weight FROM ct JOIN g5 ON g5.feature = ct.feature WHERE method = 'shap' AND g5.rnk = 1""")
+def q_shap_dependence(spark, sf):
+    c = contributions(spark, sf).where(F.col("method") == "shap")
+    top1 = X.global_importance(c, 1).select("feature")
+    return round_doubles(c.join(F.broadcast(top1), "feature").select("listing_id", "feature", "value", "weight"))
+
+
+@query("top_contributions", "E5", oracle=WC + """SELECT method, listing_id, feature, round(weight, 6) AS weight,
+  CAST(rnk AS INTEGER) AS rnk FROM tk WHERE rnk <= 5""")
+def q_top_contributions(spark, sf):
+    c = contributions(spark, sf)
+    # window per (method, row): 8 features each
+    return round_doubles(top_abs(c, ["method", "listing_id"], "weight", 5).select(
+        "method", "listing_id", "feature", "weight", "rnk"))
+
+
+@query("contribution_align", "F4", oracle=WC + """
+, l AS (SELECT listing_id, feature, weight FROM tk WHERE method = 'lime' AND rnk <= 5),
+  s AS (SELECT listing_id, feature, weight FROM tk WHERE method = 'shap' AND rnk <= 5)
+SELECT coalesce(l.listing_id, s.listing_id) AS listing_id, coalesce(l.feature, s.feature) AS feature,
+  round(coalesce(l.weight, 0.0), 6) AS lime_weight, round(coalesce(s.weight, 0.0), 6) AS shap_weight
+FROM l FULL JOIN s ON l.listing_id = s.listing_id AND l.feature = s.feature""")
+def q_contribution_align(spark, sf):
+    t = top_abs(contributions(spark, sf), ["method", "listing_id"], "weight", 5)
+    lime = t.where(F.col("method") == "lime")
+    shap = t.where(F.col("method") == "shap")
+    return round_doubles(align_full(lime, shap, ["listing_id", "feature"], "weight", "lime_weight", "shap_weight"))
+
+
+@query("jaccard_overlap", "F5", oracle=WC + """
+, l AS (SELECT listing_id, list(feature) AS fs FROM tk WHERE method = 'lime' AND rnk <= 5 GROUP BY listing_id),
+  s AS (SELECT listing_id, list(feature) AS fs FROM tk WHERE method = 'shap' AND rnk <= 5 GROUP BY listing_id)
+SELECT l.listing_id, round(len(list_intersect(l.fs, s.fs)) / len(list_distinct(list_concat(l.fs, s.fs))), 4)
+  AS jaccard FROM l JOIN s ON s.listing_id = l.listing_id""")
+def q_jaccard(spark, sf):
+    t = top_abs(contributions(spark, sf), ["method", "listing_id"], "weight", 5)
+    sets = t.groupBy("listing_id").agg(  # at most 10 rows per listing
+        F.collect_set(F.when(F.col("method") == "lime", F.col("feature"))).alias("l"),
+        F.collect_set(F.when(F.col("method") == "shap", F.col("feature"))).alias("s"))
+    return sets.select("listing_id", jaccard(F.col("l"), F.col("s")).alias("jaccard"))
+
+
+# ------------------------------------------------------------------ LIME / sampled SHAP (rows)
+# The reference's explanation settings.
+DEFAULT_N, DEFAULT_KERNEL, DEFAULT_SAMPLING = 1000, 0.75, "gaussian"
+N_VALUES = [100, 500, 1000]
+KERNEL_WIDTHS = [0.25, 0.75, 2.0]
+SAMPLING_METHODS = ["gaussian", "lhs"]
+
+
+def _explained_model(spark, sf):
+    prep, pre = prepared(spark, sf)
+    train = prep.where(F.col("split") == "train")
+    cfg = M.scaled(M.model_grid()[6], 0.05, 6)  # forest C1, smoke-sized
+    model = M.estimator(cfg, 1, 1.0).fit(train)
+    return prep, model
+
+
+def _observations(prep: DataFrame, obs_idx: int = 0) -> DataFrame:
+    test = prep.where(F.col("split") == "test")
+    ordered = test.orderBy(hash_order("listing_id", 42), "listing_id").limit(obs_idx + 1)
+    return ordered.orderBy(hash_order("listing_id", 42).desc()).limit(1)
+
+
+def _lime(spark, sf, settings):
+    prep, model = _explained_model(spark, sf)
+    train = prep.where(F.col("split") == "train")
+    from pyspark.ml.functions import vector_to_array
+    arr = vector_to_array(F.col("features"))
+    ts = train.select(F.inline(F.array(*[F.struct(F.lit(c).alias("feature"), arr[j].alias("value"))
+                                         for j, c in enumerate(NUM)])))
+    return round_doubles(X.lime_explain(model, _observations(prep), ts, NUM, settings, "RandomForest"))
+
+
+@query("lime_local", "J1")
+def q_lime(spark, sf):
+    return _lime(spark, sf, [(DEFAULT_N, DEFAULT_KERNEL, DEFAULT_SAMPLING)])
+
+
+@query("lime_n_sensitivity", "J2")
+def q_lime_n(spark, sf):
+    return _lime(spark, sf, [(n, DEFAULT_KERNEL, DEFAULT_SAMPLING) for n in N_VALUES])
+
+
+@query("lime_kernel_sensitivity", "J3")
+def q_lime_kernel(spark, sf):
+    return _lime(spark, sf, [(DEFAULT_N, k, DEFAULT_SAMPLING) for k in KERNEL_WIDTHS])
+
+
+@query("lime_sampling", "J4")
+def q_lime_sampling(spark, sf):
+    return _lime(spark, sf, [(DEFAULT_N, DEFAULT_KERNEL, s) for s in SAMPLING_METHODS])
+
+
+@query("shap_sampled", "J6")
+def q_shap_sampled(spark, sf):
+    prep, model = _explained_model(spark, sf)
+    test = prep.where(F.col("split") == "test")
+    # background: the train mean of the standardized slots is 0 by construction
+    return round_doubles(X.shap_sampled(model, test, NUM, [0.0] * len(NUM), 10, "RandomForest"))
