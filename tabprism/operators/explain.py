@@ -207,7 +207,7 @@ def shap_sampled(model, obs: DataFrame, feature_names: Sequence[str], background
     # slot j takes the observation's value when it is among the first k of the permutation
     prefix = F.slice(F.col("_perm"), 1, F.col("k"))
     vals = F.array(*[F.when(F.array_contains(prefix, j), F.col("_x0")[j]).otherwise(bg[j]) for j in range(nf)])
-    rows = rows.select("obs_id", "p", "k", F.element_at("_perm", F.col("k")).alias("_added"),
+    rows = rows.select("obs_id", "p", "k", F.when(F.col("k") > 0, F.element_at("_perm", F.greatest(F.col("k"), F.lit(1)))).alias("_added"),
                        _with_slots(F.col("_f"), nf, vals).alias(features))
     scored = model.transform(rows).select("obs_id", "p", "k", "_added", "prediction")
     w = Window.partitionBy("obs_id", "p").orderBy("k")
