@@ -42,8 +42,10 @@ def reindex_counts(counts: DataFrame, spec: BinSpec, key: str = "ord", n: str =
 def bucket_counts(df: DataFrame, value: Column | str, spec: BinSpec, by: Sequence[str] = ()) -> DataFrame:
     """Rows per right-closed bin for every label in order, with share in percent."""
     v = F.col(value) if isinstance(value, str) else value
-    binned = df.select(*by, right_closed_bin(v, spec).alias("ord")).where(F.col("ord").isNotNull())
-    counts = binned.groupBy(*by, "ord").agg(F.count(F.lit(1)).alias("n"))
+    # drop the out-of-range (NULL) bin after aggregating: filtering first would make
+    # Catalyst push the whole CASE chain (and the value expression) into the scan filter
+    binned = df.select(*by, v.alias("_v")).select(*by, right_closed_bin(F.col("_v"), spec).alias("ord"))
+    counts = binned.groupBy(*by, "ord").agg(F.count(F.lit(1)).alias("n")).where(F.col("ord").isNotNull())
     out = reindex_counts(counts, spec, by=by)
     # share over the (tiny, already aggregated) per-group label rows
     from pyspark.sql import Window
@@ -61,8 +63,10 @@ def bucket_position(stat: Column, spec: BinSpec) -> Column:
 def binned_mean(df: DataFrame, value: Column | str, spec: BinSpec, target: str) -> DataFrame:
     """Mean target per non-empty right-closed bin of ``value``."""
     v = F.col(value) if isinstance(value, str) else value
-    binned = df.select(right_closed_bin(v, spec).alias("ord"), F.col(target)).where(F.col("ord").isNotNull())
-    agg = binned.groupBy("ord").agg(F.count(F.lit(1)).alias("n"), F.avg(target).alias("mean_target"))
+    binned = df.select(v.alias("_v"), F.col(target)).select(right_closed_bin(F.col("_v"), spec).alias("ord"),
+                                                           F.col(target))
+    agg = binned.groupBy("ord").agg(F.count(F.lit(1)).alias("n"), F.avg(target).alias("mean_target")) \
+                .where(F.col("ord").isNotNull())
     labels = bin_table(df.sparkSession, spec).select("ord", "label")
     return agg.join(F.broadcast(labels), "ord").select("ord", "label", "n", "mean_target")
 

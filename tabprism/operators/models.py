@@ -172,7 +172,7 @@ def _to_sparse(size: int):
 
 
 def fit_text_classifier(sp: DataFrame, key: str, text: str, label: str, positive: str, c_reg: float = 1.0,
-                        max_iter: int = 500):
+                        max_iter: int = 500, tol: float = 1e-4):
     """Balanced L2 logistic regression on TF-IDF 1-2-grams fitted on the train split.
 
     sklearn's ``C * sum(w_i loss_i) + ||b||^2 / 2`` equals Spark's weighted-mean loss
@@ -193,7 +193,7 @@ def fit_text_classifier(sp: DataFrame, key: str, text: str, label: str, positive
                .withColumn("w", F.lit(float(n_train)) / (2.0 * F.col("_nc")))
     lr = LogisticRegression(featuresCol="features", labelCol="y", weightCol="w", maxIter=max_iter,
                             regParam=1.0 / (c_reg * n_train), elasticNetParam=0.0, standardization=False,
-                            tol=1e-8)
+                            tol=tol)  # the reference solver's default tolerance
     model = lr.fit(docs.where(F.col("split") == "train"))
     neg = "Negative" if positive == "Positive" else "other"
     pred = model.transform(docs).withColumn(

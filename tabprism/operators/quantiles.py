@@ -46,13 +46,15 @@ def ranked_counts(df: DataFrame, value: str, by: Sequence[str] = (), buckets: in
     base = df.select(*by, value).where(cond)
     vc = base.groupBy(*by, value).agg(F.count(F.lit(1)).alias("_cnt"))
     if nb > 1:
+        # Range cuts over the distinct values: the window work per range is proportional
+        # to the distinct values in it, and the sketch reads the (smaller) aggregate.
         fracs = F.array(*[F.lit(i / nb) for i in range(1, nb)])
         cuts_agg = F.approx_percentile(F.col(value), fracs, _SKETCH_ACCURACY).alias("_cuts")
         if by:
-            cuts = base.groupBy(*by).agg(cuts_agg)
+            cuts = vc.groupBy(*by).agg(cuts_agg)
             vc = vc.join(cuts, by)
         else:
-            vc = vc.withColumn("_cuts", base.select(cuts_agg).scalar())
+            vc = vc.withColumn("_cuts", vc.select(cuts_agg).scalar())
         rng = F.size(F.filter(F.col("_cuts"), lambda s: s < F.col(value)))
         vc = vc.withColumn("_rng", rng).drop("_cuts")
     else:

@@ -137,9 +137,6 @@ def kde(df: DataFrame, value: str, points: int = 500, by: Sequence[str] = (), mi
     for b in by:
         data = data.where(F.col(b).isNotNull())
     grouped = bool(by)
-    if not grouped:  # one global group: a constant key, joined by broadcast below
-        by = ["_k"]
-        data = data.withColumn("_k", F.lit(0))
     st = data.groupBy(*by).agg(F.count(value).alias("_n"), F.stddev_samp(value).alias("_sd"),
                                F.min(value).alias("_min"), F.max(value).alias("_max"))
     st = st.where((F.col("_n") > min_n) & (F.col("_sd") > 0))
@@ -147,10 +144,19 @@ def kde(df: DataFrame, value: str, points: int = 500, by: Sequence[str] = (), mi
     st = (st.withColumn("_bw", bw)
           .withColumn("_g0", F.col("_min") - cut * F.col("_bw"))
           .withColumn("_g1", F.col("_max") + cut * F.col("_bw"))
-          .withColumn("_step", (F.col("_g1") - F.col("_g0")) / F.lit(float(points - 1))))
+          .withColumn("_step", (F.col("_g1") - F.col("_g0")) / F.lit(float(points - 1)))
+          .select(*by, "_n", "_bw", "_g0", "_step"))
     vc = data.groupBy(*by, value).agg(F.count(F.lit(1)).alias("_c"))
-    # per-group bandwidths: one row per group; the global case is one row (proven size)
-    vc = vc.join(st if grouped else F.broadcast(st), by)
+    if grouped:
+        # per-group bandwidths: one row per group, joined on the group key
+        vc = vc.join(st, by)
+        grid = st.select(*by, "_g0", "_step", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("i"))
+    else:
+        # one global group: its parameters are a scalar subquery, no join at all
+        g = st.select(F.struct("_n", "_bw", "_g0", "_step")).scalar()
+        vc = vc.select(value, "_c", *[g[c].alias(c) for c in ("_n", "_bw", "_g0", "_step")])
+        grid = (vc.sparkSession.range(points).select(F.col("id").cast("int").alias("i"))
+                .select("i", g["_g0"].alias("_g0"), g["_step"].alias("_step")).where(F.col("_g0").isNotNull()))
     v = F.col(value)
     lo_i = F.greatest(F.lit(0), F.ceil((v - tail_sd * F.col("_bw") - F.col("_g0")) / F.col("_step")))
     hi_i = F.least(F.lit(points - 1), F.floor((v + tail_sd * F.col("_bw") - F.col("_g0")) / F.col("_step")))
@@ -161,10 +167,8 @@ def kde(df: DataFrame, value: str, points: int = 500, by: Sequence[str] = (), mi
     z = (x - F.col("_v")) / F.col("_bw")
     contrib = F.col("_c") * F.exp(-0.5 * z * z) / (F.col("_n") * F.col("_bw") * F.lit(math.sqrt(2 * math.pi)))
     dens = fan.groupBy(*by, "i").agg(F.sum(contrib).alias("density"))
-    grid = st.select(*by, "_g0", "_step", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("i"))
     out = grid.join(dens, [*by, "i"], "left")
-    keep = by if grouped else []
-    return out.select(*keep, "i", (F.col("_g0") + F.col("i") * F.col("_step")).alias("x"),
+    return out.select(*by, "i", (F.col("_g0") + F.col("i") * F.col("_step")).alias("x"),
                       F.coalesce(F.col("density"), F.lit(0.0)).alias("density"))
 
 

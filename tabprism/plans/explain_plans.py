@@ -14,6 +14,7 @@ from tabprism.operators.ranking import align_full, jaccard, minmax_scale, top_ab
 from tabprism.operators.sampling import hash_order
 from tabprism.plans.prep_plans import _SPLIT_CTE, prepared, split_frame
 from tabprism.plans.registry import query
+from tabprism.session import cut_lineage
 from tabprism.sources.listings import oracle_with
 
 NUM = NUMERICAL_FEATURES
@@ -39,8 +40,10 @@ def contributions(spark: SparkSession, sf: str) -> DataFrame:
     lng = test.unpivot(["listing_id"], NUM, "feature", "value")  # NULLs kept: they take the baseline
     shap = X.linear_contributions(lng, coefs, stats.select("feature", F.col("mean").alias("base")))
     lime = X.linear_contributions(lng, coefs, stats.select("feature", F.col("median").alias("base")))
-    return (shap.select(F.lit("shap").alias("method"), "*")
-            .unionByName(lime.select(F.lit("lime").alias("method"), "*")))
+    out = (shap.select(F.lit("shap").alias("method"), "*")
+           .unionByName(lime.select(F.lit("lime").alias("method"), "*")))
+    # read by several consumers per query (ranking, global importance, scaling)
+    return cut_lineage(out)
 
 
 _COEF_CTE = "coef(feature, coef) AS (VALUES " + ", ".join(

@@ -20,7 +20,7 @@ from tabprism.operators.ranking import best_per_group, best_per_metric
 from tabprism.operators.sampling import hash_order, split3
 from tabprism.plans.prep_plans import prepared
 from tabprism.plans.registry import query
-from tabprism.session import ensure_checkpoint_dir
+from tabprism.session import cut_lineage, ensure_checkpoint_dir
 from tabprism.sources.listings import listings_clean, oracle_with
 
 # ------------------------------------------------------------------ group-mean predictors
@@ -268,6 +268,8 @@ def _family(fam: str, smoke: bool = True):
 
 def _sweep(spark, sf, fams):
     prep, _ = _train_test(spark, sf)
+    # every config re-reads train and test: materialize the prepared split once
+    prep = cut_lineage(prep.select("split", "features", "label"))
     train = prep.where(F.col("split") == "train").select("features", "label")
     test = prep.where(F.col("split") == "test").select("features", "label")
     cfgs = [c for f in fams for c in _family(f)]
@@ -302,6 +304,7 @@ def q_config_sweep(spark, sf):
 @query("parameter_curve", "I7")
 def q_parameter_curve(spark, sf):
     prep, _ = _train_test(spark, sf)
+    prep = cut_lineage(prep.select("split", "features", "label"))
     train = prep.where(F.col("split") == "train").select("features", "label")
     val = prep.where(F.col("split") == "val").select("features", "label")
     a = M.parameter_curve(train, val, "LinearRegression", "alpha", [0.01, 0.1, 1.0, 10.0, 100.0], {})

@@ -22,6 +22,7 @@ from tabprism.operators import stats as S
 from tabprism.operators.quantiles import exact_quantiles
 from tabprism.operators.sampling import sample_exact
 from tabprism.plans.registry import query
+from tabprism.session import cut_lineage
 from tabprism.sources.listings import (LISTING_COLUMNS, listings, listings_clean,
                                        oracle_with)
 
@@ -41,7 +42,7 @@ def _r(c: str, d: int = 6) -> str:
 @query("listings_scan", "A1", oracle=W + "SELECT " + ", ".join(
     (_r(a) + f" AS {a}") if a in DOUBLE_COLS else a for a, _ in LISTING_COLUMNS) + " FROM listings")
 def listings_scan(spark: SparkSession, sf: str) -> DataFrame:
-    return round_doubles(listings(spark, sf))
+    return round_doubles(listings(spark, sf, text=True))
 
 
 @query("target_clean", "A2", oracle=W + "SELECT listing_id, round(log_price, 6) AS log_price FROM lc")
@@ -153,7 +154,7 @@ def q_amenity_count(spark, sf):
 @query("name_normalise", "B12", oracle=W + r"""SELECT listing_id,
   regexp_replace(lower(name), '^\s+|\s+$', '', 'g') AS name_clean FROM listings WHERE name IS NOT NULL""")
 def q_name_normalise(spark, sf):
-    df = listings(spark, sf).where(F.col("name").isNotNull())
+    df = listings(spark, sf, text=True).where(F.col("name").isNotNull())
     return df.select("listing_id", normalise_text("name").alias("name_clean"))
 
 
@@ -241,7 +242,8 @@ _HIST_SOURCES = f"""
     _hist_sql("log_price", "h_log", 60), _hist_sql("price_clipped", "h_price", 60),
     _hist_sql("availability_365", "h_avail", 50), _hist_sql("log1p_target", "h_l1p", 80)]))
 def q_histogram(spark, sf):
-    lc = listings_clean(spark, sf)
+    # four series over the same rows: materialize the narrow value columns once
+    lc = cut_lineage(listings_clean(spark, sf).select("log_price", "availability_365"))
     price = lc.select(adaptive_price(lc).alias("p"))
     p99 = exact_quantiles(price, "p", [0.99], names=["p99"]).select("p99").scalar()
     parts = [
@@ -292,7 +294,7 @@ SELECT bins.ord, bins.label, coalesce(c.n, 0) AS n FROM bins LEFT JOIN c ON c.or
 def q_domain_reindex(spark, sf):
     lc = listings_clean(spark, sf)
     counts = (lc.select(right_closed_bin(list_size("amenities"), AMENITY_BINS).alias("ord"))
-              .where(F.col("ord").isNotNull()).groupBy("ord").agg(F.count(F.lit(1)).alias("n")))
+              .groupBy("ord").agg(F.count(F.lit(1)).alias("n")).where(F.col("ord").isNotNull()))
     return B.reindex_counts(counts, AMENITY_BINS).select("ord", "label", "n")
 
 
@@ -326,7 +328,7 @@ def _dist_sql(series, src):
 @query("distribution_stats", "D2", oracle=W + _HIST_SOURCES + _dist_sql("log_price", "h_log")
        + "\nUNION ALL\n" + _dist_sql("price_clipped", "h_price"))
 def q_distribution(spark, sf):
-    lc = listings_clean(spark, sf)
+    lc = cut_lineage(listings_clean(spark, sf).select("log_price"))
     price = lc.select(adaptive_price(lc).alias("p"))
     p99 = exact_quantiles(price, "p", [0.99], names=["p99"]).select("p99").scalar()
     a = S.distribution_stats(lc.select(F.col("log_price").alias("v")), "v")
@@ -376,7 +378,7 @@ _ALL_COLS = [a for a, _ in LISTING_COLUMNS]
     f"SELECT '{c}' AS column_name, round(avg(CASE WHEN {c} IS NULL THEN 1.0 ELSE 0.0 END), 6) AS missing_frac FROM lc"
     for c in _ALL_COLS) + ") t WHERE missing_frac > 0")
 def q_missing(spark, sf):
-    return round_doubles(S.missing_fraction(listings_clean(spark, sf), _ALL_COLS))
+    return round_doubles(S.missing_fraction(listings_clean(spark, sf, text=True), _ALL_COLS))
 
 
 def _box_sql(src, keys):
@@ -526,7 +528,7 @@ SELECT c.ord, bins8.label, c.n FROM c JOIN bins8 ON bins8.ord = c.ord ORDER BY c
 def q_mode_bucket(spark, sf):
     lc = listings_clean(spark, sf)
     counts = (lc.select(right_closed_bin(adaptive_price(lc), PRICE_BINS_8).alias("ord"))
-              .where(F.col("ord").isNotNull()).groupBy("ord").agg(F.count(F.lit(1)).alias("n")))
+              .groupBy("ord").agg(F.count(F.lit(1)).alias("n")).where(F.col("ord").isNotNull()))
     best = S.mode_by_ordinal(counts)
     labels = bin_table(spark, PRICE_BINS_8).select("ord", "label")
     return best.join(counts, "ord").join(F.broadcast(labels), "ord").select("ord", "label", "n")

@@ -14,6 +14,7 @@ from tabprism.operators import text as T
 from tabprism.operators.quantiles import exact_quantiles
 from tabprism.operators.sampling import hash_uniform_bucket, sample_exact, split_stratified
 from tabprism.plans.registry import query
+from tabprism.session import cut_lineage
 from tabprism.sources.listings import listings_clean, oracle_with
 
 # ----------------------------------------------------------------- shared oracle text
@@ -51,13 +52,13 @@ WN = oracle_with(_NAME_CTE)
 # ----------------------------------------------------------------- Spark frames
 def description_frame(spark: SparkSession, sf: str) -> DataFrame:
     """Cleaned listings with a description: (listing_id, log_price, tokens)."""
-    lc = listings_clean(spark, sf).where(F.col("description").isNotNull())
+    lc = listings_clean(spark, sf, text=True).where(F.col("description").isNotNull())
     return lc.select("listing_id", "log_price", T.clean_tokens("description").alias("tokens"))
 
 
 def name_sentiment_frame(spark: SparkSession, sf: str) -> DataFrame:
     """Listings with a name: (listing_id, log_price, name_clean, score, label, price)."""
-    lc = listings_clean(spark, sf).where(F.col("name").isNotNull())
+    lc = listings_clean(spark, sf, text=True).where(F.col("name").isNotNull())
     n2 = lc.select("listing_id", "log_price", normalise_text("name").alias("name_clean"))
     scored = T.lexicon_score(n2, "listing_id", "name_clean", T.lexicon_table(spark))
     return scored.withColumn("label", T.label_by_threshold("score")) \
@@ -117,7 +118,9 @@ LEFT JOIN b7 b7m ON b7m.ord = md2.mode_ord"""
 
 @query("keyword_price_buckets", "G3", oracle=_G3_SQL)
 def q_keyword_price_buckets(spark, sf):
-    d = description_frame(spark, sf)
+    # the tokenized whole texts feed five consumers: materialize them once (reliable
+    # checkpoint in the shared folder) instead of re-tokenizing per consumer
+    d = cut_lineage(description_frame(spark, sf))
     d = d.withColumn("price", adaptive_price(d))
     kw = T.top_word_array(T.token_counts(d, "tokens"), 5)
     hits = T.rows_with_keywords(d, "tokens", kw, ["listing_id", "price"])

@@ -78,14 +78,19 @@ def oracle_with(*extra_ctes: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n"
 
 
-def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
+_TEXT_COLUMNS = ("description", "name")
+
+
+def listings(spark: SparkSession, sf_dir: str, text: bool = False) -> DataFrame:
     """Build ``listings`` from the driver tables with the DataFrame API.
 
     Only the columns the view needs are read (parquet column pruning). ``nation`` is
     a fixed 25-row dimension and is broadcast; every other join is left to the
     planner/AQE, which broadcasts at runtime only below its size threshold.
     ``documents`` and ``part`` join on the order key, so one hash partitioning of
-    the order side serves both joins.
+    the order side serves both joins. They only feed ``description`` and ``name``,
+    so they are joined only when ``text`` is requested (Spark does not drop unused
+    outer joins on its own); without them those two columns are absent.
     """
     o = read_table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority").alias("o")
@@ -95,10 +100,14 @@ def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = read_table(spark, sf_dir, "documents").select("doc_id", "text").alias("d")
     p = read_table(spark, sf_dir, "part").select("p_partkey", "p_name").alias("p")
     joined = (o.join(c, F.col("c.c_custkey") == F.col("o.o_custkey"))
-              .join(n, F.col("n.n_nationkey") == F.col("c.c_nationkey"))
-              .join(d, F.col("d.doc_id") == F.col("o.o_orderkey"), "left")
-              .join(p, F.col("p.p_partkey") == F.col("o.o_orderkey"), "left"))
-    return joined.selectExpr(*[f"{expr} AS {alias}" for alias, expr in LISTING_COLUMNS])
+              .join(n, F.col("n.n_nationkey") == F.col("c.c_nationkey")))
+    cols = LISTING_COLUMNS
+    if text:
+        joined = (joined.join(d, F.col("d.doc_id") == F.col("o.o_orderkey"), "left")
+                  .join(p, F.col("p.p_partkey") == F.col("o.o_orderkey"), "left"))
+    else:
+        cols = [(a, e) for a, e in LISTING_COLUMNS if a not in _TEXT_COLUMNS]
+    return joined.selectExpr(*[f"{expr} AS {alias}" for alias, expr in cols])
 
 
 def clean_target(df: DataFrame, target: str = "log_price") -> DataFrame:
@@ -106,11 +115,11 @@ def clean_target(df: DataFrame, target: str = "log_price") -> DataFrame:
     return df.filter(F.col(target).isNotNull() & (F.col(target) > 0))
 
 
-def listings_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+def listings_clean(spark: SparkSession, sf_dir: str, text: bool = False) -> DataFrame:
     """``Lc``: the cleaned listings."""
-    return clean_target(listings(spark, sf_dir))
+    return clean_target(listings(spark, sf_dir, text))
 
 
-def listings_learnable(spark: SparkSession, sf_dir: str) -> DataFrame:
+def listings_learnable(spark: SparkSession, sf_dir: str, text: bool = False) -> DataFrame:
     """``Ls``: ``Lc`` plus the learnable target ``y``."""
-    return listings_clean(spark, sf_dir).withColumn("y", F.expr(LEARNABLE_TARGET))
+    return listings_clean(spark, sf_dir, text).withColumn("y", F.expr(LEARNABLE_TARGET))
