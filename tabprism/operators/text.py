@@ -40,8 +40,8 @@ def clean_tokens(c: Column | str, stop: Sequence[str] = STOP_WORDS, min_len: int
     c = F.col(c) if isinstance(c, str) else c
     text = F.regexp_replace(F.lower(c), r"(?U)[^a-zA-Z\s]", " ")
     words = F.split(text, r"(?U)\s+")
-    stop_arr = F.array(*[F.lit(w) for w in stop])
-    return F.filter(words, lambda w: (F.length(w) >= min_len) & ~F.array_contains(stop_arr, w))
+    # ``isin`` over a literal list becomes a hash-set lookup (InSet), not a list scan
+    return F.filter(words, lambda w: (F.length(w) >= min_len) & ~w.isin(list(stop)))
 
 
 def token_counts(df: DataFrame, tokens: str) -> DataFrame:

@@ -14,7 +14,7 @@ from tabprism.operators import text as T
 from tabprism.operators.quantiles import exact_quantiles
 from tabprism.operators.sampling import hash_uniform_bucket, sample_exact, split_stratified
 from tabprism.plans.registry import query
-from tabprism.session import cut_lineage
+from tabprism.session import cut_lineage, shuffle_partitions
 from tabprism.sources.listings import listings_clean, oracle_with
 
 # ----------------------------------------------------------------- shared oracle text
@@ -53,6 +53,9 @@ WN = oracle_with(_NAME_CTE)
 def description_frame(spark: SparkSession, sf: str) -> DataFrame:
     """Cleaned listings with a description: (listing_id, log_price, tokens)."""
     lc = listings_clean(spark, sf, text=True).where(F.col("description").isNotNull())
+    # whole-text regex work is CPU-heavy: spread it over the shuffle partitions
+    # (hash by listing keeps every text whole in one task)
+    lc = lc.select("listing_id", "log_price", "description").repartition(shuffle_partitions(spark), "listing_id")
     return lc.select("listing_id", "log_price", T.clean_tokens("description").alias("tokens"))
 
 
