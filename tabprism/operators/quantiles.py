@@ -77,39 +77,32 @@ def exact_quantiles(df: DataFrame, value: str, qs: Sequence[float], by: Sequence
                     names: Sequence[str] | None = None, buckets: int | None = None) -> DataFrame:
     """One row per group: ``by`` columns, ``n`` and one column per quantile.
 
-    Same result as ``percentile(value, q)`` (linear interpolation), computed with
-    bounded per-task state (see module docstring).
+    Same result as ``percentile(value, q)`` (linear interpolation at position
+    q * (n - 1)), computed with bounded per-task state (see module docstring). Every
+    distinct-value row knows its group size, so the target ranks are evaluated per row:
+    only rows whose rank interval [before, before + count) covers a target survive,
+    and one grouped aggregate picks the lower / upper neighbours of each target.
     """
     by = list(by)
     names = list(names) if names else [f"q{int(round(q * 100)):02d}" for q in qs]
     rc = ranked_counts(df, value, by, buckets)
-    groups = rc.select(*by, "_n").distinct() if by else None
-    # Targets: (group, quantile index, rank). Their size is groups x 2 x len(qs).
-    q_arr = F.array(*[F.struct(F.lit(i).alias("qi"), F.lit(float(q)).alias("q")) for i, q in enumerate(qs)])
-    if by:
-        tg = groups.select(*[F.col(b).alias(f"_g{i}") for i, b in enumerate(by)], "_n",
-                           F.explode(q_arr).alias("t"))
-    else:
-        tg = rc.select(F.max("_n").alias("_n")).select("_n", F.explode(q_arr).alias("t"))
-    gk = [f"_g{i}" for i in range(len(by))]
-    tg = tg.select(*gk, F.col("_n").alias("_tn"), "t.qi", (F.col("t.q") * (F.col("_n") - 1)).alias("pos"))
-    tg = tg.select(*gk, "_tn", "qi", "pos",
-                   F.explode(F.array(F.floor("pos"), F.ceil("pos"))).alias("k"))
-    tg = tg.dropDuplicates([*gk, "qi", "k"])
-    if not by:
-        tg = F.broadcast(tg)  # 2 x len(qs) rows: size proven by construction
-    cond = (F.col("_before") <= F.col("k")) & (F.col("k") < F.col("_before") + F.col("_cnt"))
-    for b, g in zip(by, gk):
-        cond = cond & (F.col(b) == F.col(g))
-    hits = rc.join(tg, cond).select(*by, F.col("_tn").alias("_n"), "qi", "pos", "k",
-                                      F.col(value).alias("_v"))
-    per_q = (hits.groupBy(*by, "_n", "qi", "pos")
-             .agg(F.min_by("_v", "k").alias("_lo"), F.max_by("_v", "k").alias("_hi")))
-    frac = F.col("pos") - F.floor("pos")
-    per_q = per_q.withColumn("_q", F.col("_lo") + frac * (F.col("_hi") - F.col("_lo")))
-    return (per_q.groupBy(*by, "_n")
-            .agg(*[F.max(F.when(F.col("qi") == i, F.col("_q"))).alias(nm) for i, nm in enumerate(names)])
-            .withColumnRenamed("_n", "n"))
+    before, cnt, v = F.col("_before"), F.col("_cnt"), F.col(value)
+
+    def covers(k):
+        return (before <= k) & (k < before + cnt)
+
+    keep, aggs, outs = None, [], []
+    for i, q in enumerate(qs):
+        pos = F.lit(float(q)) * (F.col("_n") - 1)
+        lo_k, hi_k = F.floor(pos), F.ceil(pos)
+        hit = covers(lo_k) | covers(hi_k)
+        keep = hit if keep is None else keep | hit
+        # exactly one distinct value covers each rank of a group
+        aggs += [F.max(F.when(covers(lo_k), v)).alias(f"_lo{i}"), F.max(F.when(covers(hi_k), v)).alias(f"_hi{i}")]
+        frac = pos - F.floor(pos)
+        outs.append((F.col(f"_lo{i}") + frac * (F.col(f"_hi{i}") - F.col(f"_lo{i}"))).alias(names[i]))
+    agg = rc.where(keep).groupBy(*by, "_n").agg(*aggs)
+    return agg.select(*by, F.col("_n").alias("n"), *outs)
 
 
 def exact_median(df: DataFrame, value: str, by: Sequence[str] = (), name: str = "median") -> DataFrame:
