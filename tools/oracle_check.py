@@ -1,6 +1,6 @@
 """Run every registered query in Spark and its oracle SQL in DuckDB; compare.
 
-Usage: python tools/oracle_check.py [sf_dir] [name ...]
+Usage: python tools/oracle_check.py [--sql-only] [sf_dir] [name ...]
 
 Compares column names, mapped types, row counts and the order-insensitive multiset
 of rows (exact values, after the query's own rounding).
@@ -79,6 +79,8 @@ def compare(spark, con, e, sf_dir):
 
 def main():
     args = sys.argv[1:]
+    sql_only = "--sql-only" in args
+    args = [a for a in args if a != "--sql-only"]
     sf_dir = "/root/testdata/sf0.01"
     if args and os.path.isdir(args[0]):
         sf_dir, args = args[0], args[1:]
@@ -93,6 +95,8 @@ def main():
         if args and name not in args:
             continue
         if not e.oracle:
+            if sql_only:
+                continue
             try:
                 t0 = time.time()
                 n = e.build(spark, sf_dir).count()
