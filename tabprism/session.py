@@ -47,20 +47,21 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int | None = None,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the session.
 
-    Only when the session names none (local tests) is a scratch folder set.
+    Order: ``spark.checkpoint.dir`` from the session, then the SparkContext's
+    checkpoint directory; only when neither is set (local tests) is a scratch
+    folder created and registered.
     """
-    current = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    current = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    existing = sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None
     if not current:
-        current = spark.sparkContext.getCheckpointDir() if hasattr(
-            spark.sparkContext, "getCheckpointDir") else None
-    if not current:
-        current = tempfile.mkdtemp(prefix="tabprism-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", current)
-    try:
-        if not spark.sparkContext.getCheckpointDir():
-            spark.sparkContext.setCheckpointDir(current)
-    except Exception:  # pragma: no cover - older API surface
-        spark.sparkContext.setCheckpointDir(current)
+        current = existing or tempfile.mkdtemp(prefix="tabprism-ckpt-")
+        try:
+            spark.conf.set("spark.checkpoint.dir", current)
+        except Exception:  # core conf may be read-only in this session; the context dir suffices
+            pass
+    if not existing:
+        sc.setCheckpointDir(current)
     return current
 
 
