@@ -191,6 +191,10 @@ def fit_text_classifier(sp: DataFrame, key: str, text: str, label: str, positive
     n_train = train.count()
     docs = docs.join(F.broadcast(counts), label, "left") \
                .withColumn("w", F.lit(float(n_train)) / (2.0 * F.col("_nc")))
+    # the solver passes over the documents many times and they are scored afterwards:
+    # materialize the assembled vectors once (reliable checkpoint, shared folder)
+    from tabprism.session import cut_lineage
+    docs = cut_lineage(docs)
     lr = LogisticRegression(featuresCol="features", labelCol="y", weightCol="w", maxIter=max_iter,
                             regParam=1.0 / (c_reg * n_train), elasticNetParam=0.0, standardization=False,
                             tol=tol)  # the reference solver's default tolerance
