@@ -124,3 +124,20 @@ def test_metrics_rmse_at_least_mae(spark):
 def test_zscore_filter_counts(spark):
     sp = split_frame(spark, SF_SMALL)
     assert sp.count() <= listings_clean(spark, SF_SMALL).count()
+
+
+def test_exact_quantiles_with_a_hot_key(spark):
+    """One key holds a third of all rows beside many small groups: results stay exact."""
+    from tabprism.operators.quantiles import exact_quantiles
+    rng = np.random.default_rng(11)
+    n = 6000
+    keys = ["hot" if i % 3 == 0 else f"k{i % 397}" for i in range(n)]
+    vals = rng.lognormal(size=n).round(4)
+    df = spark.createDataFrame([(k, float(v)) for k, v in zip(keys, vals)], "k string, v double")
+    got = {r["k"]: r for r in exact_quantiles(df, "v", [0.25, 0.5, 0.99], ["k"], ["a", "b", "c"]).collect()}
+    for key in ["hot", "k1", "k200"]:
+        arr = np.array([v for k, v in zip(keys, vals) if k == key])
+        assert got[key]["n"] == len(arr)
+        assert np.allclose([got[key]["a"], got[key]["b"], got[key]["c"]], np.percentile(arr, [25, 50, 99]),
+                           atol=1e-12)
+    assert len(got) == len(set(keys))
