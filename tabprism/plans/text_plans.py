@@ -202,7 +202,9 @@ def q_sentiment_trend(spark, sf):
 def binary_split(spark: SparkSession, sf: str) -> DataFrame:
     """Positive/Negative names with an exact stratified 80/20 split (H2)."""
     s = name_sentiment_frame(spark, sf).where(F.col("label").isin("Positive", "Negative"))
-    return split_stratified(s.select("listing_id", "name_clean", "label"), "listing_id", "label", 0.2, 42)
+    sp = split_stratified(s.select("listing_id", "name_clean", "label"), "listing_id", "label", 0.2, 42)
+    # read several times downstream (document count, vocabulary, weights, fit, scoring)
+    return cut_lineage(sp)
 
 
 _G7_SQL = WN + r"""
