@@ -12,10 +12,11 @@ from __future__ import annotations
 import posixpath
 import uuid
 from collections.abc import Iterable, Iterator
+from functools import reduce
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tabprism.session import cut_lineage, ensure_checkpoint_dir
@@ -71,3 +72,25 @@ def require_columns(df: DataFrame, *names: str) -> None:
     missing = [n for n in names if n not in df.columns]
     if missing:
         raise ValueError(f"missing columns: {', '.join(missing)}")
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a scratch table through the file system that holds it."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def positions(df: DataFrame, parts: list[str], order: list[str], out: str) -> DataFrame:
+    """``df`` plus the gapless position (from 0) of each row within its ``parts``, in
+    ``order``. Rows are dealt by ranges of (parts, order), so a part that holds most rows
+    is still spread over many tasks; only one row per part and task is summed up."""
+    own = F.col("__seq").bitwiseAND(F.lit((1 << 33) - 1))
+    dealt = (df.repartitionByRange(*parts, *order).sortWithinPartitions(*parts, *order)
+             .withColumn("__seq", F.monotonically_increasing_id()))
+    dealt = checkpoint(dealt.withColumn("__task", F.shiftright("__seq", 33)).withColumn("__seq", own))
+    cells = dealt.groupBy(*parts, "__task").agg(F.min("__seq").alias("__low"), F.count("*").alias("__n"))
+    before = Window.partitionBy(*parts).orderBy("__task").rowsBetween(Window.unboundedPreceding, -1)
+    cells = cells.withColumn("__before", F.coalesce(F.sum("__n").over(before), F.lit(0)))
+    same = [F.col(f"d.{c}").eqNullSafe(F.col(f"c.{c}")) for c in [*parts, "__task"]]
+    return (dealt.alias("d").join(cells.alias("c"), on=reduce(Column.__and__, same))
+            .select(*[F.col(f"d.{c}") for c in df.columns], (F.col("__before") + F.col("__seq") - F.col("__low")).alias(out)))
