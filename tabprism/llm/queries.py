@@ -5,21 +5,54 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tabprism.llm import simhash
+from tabprism.llm import line_runs, lpt_shards, simhash
 from tabprism.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_lpt_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents dealt to 8 shards of near equal bytes, equal texts together."""
+    out = lpt_shards.lpt_shards(read_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+                      F.lit(None).cast("int").alias("grown_shard"))
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash near-duplicate components of all documents."""
     return simhash.simhash_near_dups(read_table(spark, sf_dir, "documents"))
 
 
+def op10_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of 40 or more code points in 5 or more documents kept in the last one only."""
+    return line_runs.dedup_lines(read_table(spark, sf_dir, "documents")).drop("kept_text")
+
+
+OP10_SQL = """
+WITH lines AS (
+  SELECT doc_id, generate_subscripts(parts, 1) AS pos, unnest(parts) AS line
+  FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents)
+), keyed AS (
+  SELECT doc_id, pos, line, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM lines
+), common AS (
+  SELECT key, max(doc_id) AS last FROM (SELECT DISTINCT doc_id, key FROM keyed WHERE length(key) >= 40)
+  GROUP BY key HAVING count(*) >= 5
+), judged AS (
+  SELECT doc_id, pos, line, coalesce(doc_id <> last, false) AS gone FROM keyed LEFT JOIN common USING (key)
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
+FROM judged GROUP BY doc_id
+"""
+
+
 def queries() -> dict[str, Query]:
-    return {"op9_simhash": op9_simhash}
+    return {"op2_lpt_shards": op2_lpt_shards, "op9_simhash": op9_simhash, "op10_line_runs": op10_line_runs}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op10_line_runs": OP10_SQL}
