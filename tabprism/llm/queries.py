@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabprism.llm import line_runs, lpt_shards, simhash
+from tabprism.llm import divergence, line_runs, lpt_shards, simhash
 from tabprism.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +20,11 @@ def op2_lpt_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op3_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base figures, distances to the language reference and verdict for all documents."""
+    return divergence.quality(read_table(spark, sf_dir, "documents"))
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash near-duplicate components of all documents."""
     return simhash.simhash_near_dups(read_table(spark, sf_dir, "documents"))
@@ -30,6 +35,64 @@ def op10_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_runs.dedup_lines(read_table(spark, sf_dir, "documents")).drop("kept_text")
 
 
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+_COUNTS = ", ".join(f"length(t) - length(regexp_replace(t, {_quoted(run)}, '', 'g')) AS k_{name}" for name, run in divergence.CLASSES.items())
+_BINS = [f"k_{b}" for b in divergence.BINS]
+_SUMS = ", ".join(f"sum({b})::DOUBLE / sum(length(t)) AS q_{b}" for b in _BINS)
+_CHAR_SUM = " + ".join(
+    f"CASE WHEN {b} > 0 THEN {b} / n * log2(2 * {b} / n / ({b} / n + q_{b})) + CASE WHEN q_{b} > 0 THEN q_{b} * log2(2 * q_{b} / ({b} / n + q_{b})) ELSE 0 END ELSE q_{b} END"
+    for b in _BINS)
+
+OP3_SQL = f"""
+WITH docs AS (SELECT row_number() OVER () AS rid, doc_id, lang, coalesce(text, '') AS t FROM documents),
+words AS (SELECT rid, lang, generate_subscripts(ws, 1) AS pos, unnest(ws) AS w
+          FROM (SELECT rid, lang, regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+') AS ws FROM docs)),
+spans AS (SELECT rid, pos, list(w) OVER (PARTITION BY rid ORDER BY pos ROWS BETWEEN CURRENT ROW AND 7 FOLLOWING) AS win FROM words),
+twice AS (SELECT rid, pos, count(*) OVER (PARTITION BY rid, win) AS times FROM spans WHERE len(win) = 8),
+covered AS (SELECT rid, sum(least(8, coalesce(next - pos, 8))) AS n FROM
+            (SELECT rid, pos, lead(pos) OVER (PARTITION BY rid ORDER BY pos) AS next FROM twice WHERE times > 1) GROUP BY rid),
+wordy AS (SELECT rid, count(*) AS n_words, sum(length(w))::BIGINT AS word_chars FROM words GROUP BY rid),
+text_lines AS (SELECT rid, unnest(string_split(t, chr(10))) AS line FROM docs),
+dups AS (SELECT rid, count(*) - count(DISTINCT line) AS n_dup_lines FROM text_lines
+         WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]') GROUP BY rid),
+base AS (SELECT d.rid, doc_id, lang, t, coalesce(n_words, 0) AS n_words, coalesce(word_chars, 0) AS word_chars,
+                length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols, coalesce(n_dup_lines, 0) AS n_dup_lines,
+                coalesce(c.n, 0)::BIGINT AS n_repeat_words
+         FROM docs d LEFT JOIN wordy USING (rid) LEFT JOIN dups USING (rid) LEFT JOIN covered c USING (rid)),
+classed AS (SELECT *, {" + ".join(_BINS[:-2])} + k_space AS known, length(t) - known AS k_other FROM
+            (SELECT *, {_COUNTS}, length(t) - word_chars AS k_space FROM base)),
+char_ref AS (SELECT lang AS char_lang, {_SUMS} FROM classed GROUP BY lang),
+totals AS (SELECT lang AS total_lang, count(*) AS total FROM words GROUP BY lang),
+common AS (SELECT lang AS common_lang, lower(w) AS cw, count(*)::DOUBLE / total AS q
+           FROM words JOIN totals ON lang IS NOT DISTINCT FROM total_lang
+           GROUP BY lang, lower(w), total HAVING count(*) >= {divergence.COMMON_SHARE} * total),
+mass AS (SELECT common_lang AS mass_lang, sum(q) AS all_q FROM common GROUP BY common_lang),
+counted AS (SELECT rid, lang, lower(w) AS lw, count(*)::DOUBLE AS c FROM words GROUP BY ALL),
+shares AS (SELECT rid, sum(p * log2(2 * p / (p + q)) + q * log2(2 * q / (p + q))) AS d, sum(p) AS sp, sum(q) AS sq
+           FROM (SELECT rid, c / n_words AS p, q FROM counted JOIN wordy USING (rid)
+                 JOIN common ON lang IS NOT DISTINCT FROM common_lang AND lw = cw) GROUP BY rid),
+joined AS (SELECT *, length(t)::DOUBLE AS n, 1 - coalesce(sp, 0) AS po, greatest(1 - coalesce(all_q, 0), 0) AS qo,
+                  coalesce(d, 0) + coalesce(all_q, 0) - coalesce(sq, 0) AS ds
+           FROM classed LEFT JOIN char_ref ON lang IS NOT DISTINCT FROM char_lang
+           LEFT JOIN totals ON lang IS NOT DISTINCT FROM total_lang
+           LEFT JOIN mass ON lang IS NOT DISTINCT FROM mass_lang LEFT JOIN shares USING (rid)),
+summed AS (SELECT *, {_CHAR_SUM} AS char_sum,
+                  ds + CASE WHEN po > 1e-12 THEN po * log2(2 * po / (po + qo)) + CASE WHEN qo > 0 THEN qo * log2(2 * qo / (po + qo)) ELSE 0 END ELSE qo END AS word_sum
+           FROM joined),
+measured AS (SELECT *, n_words < {divergence.MIN_WORDS} OR 100 * n_repeat_words > {divergence.MAX_REPEAT_PERCENT} * n_words AS base_failed,
+                    CASE WHEN total >= {divergence.MIN_REFERENCE_WORDS} AND n_words > 0 THEN round(sqrt(greatest(char_sum / 2, 0)), 6) END AS char_distance,
+                    CASE WHEN total >= {divergence.MIN_REFERENCE_WORDS} AND n_words >= {divergence.MIN_WORDS_FOR_WORDS} THEN round(sqrt(greatest(word_sum / 2, 0)), 6) END AS word_distance
+             FROM summed)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT (base_failed OR (n_words > 0 AND (coalesce(char_distance > {divergence.CHAR_LIMIT[0]} + {divergence.CHAR_LIMIT[1]} / sqrt(n_words), false)
+                            OR coalesce(word_distance > {divergence.WORD_LIMIT[0]} + {divergence.WORD_LIMIT[1]} / sqrt(n_words), false)))) AS kept,
+       char_distance, word_distance
+FROM measured
+"""
+
 OP10_SQL = """
 WITH lines AS (
   SELECT doc_id, generate_subscripts(parts, 1) AS pos, unnest(parts) AS line
@@ -51,8 +114,8 @@ FROM judged GROUP BY doc_id
 
 
 def queries() -> dict[str, Query]:
-    return {"op2_lpt_shards": op2_lpt_shards, "op9_simhash": op9_simhash, "op10_line_runs": op10_line_runs}
+    return {"op2_lpt_shards": op2_lpt_shards, "op3_divergence": op3_divergence, "op9_simhash": op9_simhash, "op10_line_runs": op10_line_runs}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_line_runs": OP10_SQL}
+    return {"op3_divergence": OP3_SQL, "op10_line_runs": OP10_SQL}
