@@ -92,12 +92,23 @@ class LineRuns:
                 remove(self.spark, path)
             level += 1
 
-    def drops(self, keys: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
-        """Those (id, row, key) rows whose lines go, by what the runs know so far."""
+    def compact(self) -> None:
+        """Merge all runs into one, a level above."""
         paths = [p for level in self.levels for p in level]
-        if not paths:
+        if len(paths) > 1:
+            self._write(self._merged(paths), len(self.levels))
+            self.levels = [[] for _ in self.levels[:-1]] + self.levels[-1:]
+            for path in paths:
+                remove(self.spark, path)
+
+    def drops(self, keys: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
+        """Those (id, row, key) rows whose lines go, by what the runs know so far. The runs
+        are merged to a table first: a join of two plain tables is one whose large
+        partitions Spark can split, so a line that most documents hold is no single task."""
+        self.compact()
+        if not self._made:
             return keys.limit(0)
-        common = self._merged(paths).where(F.col("n") >= min_docs)
+        common = self.spark.read.parquet(self.levels[-1][-1]).where(F.col("n") >= min_docs)
         return keys.join(common, "key").where(~F.col("id").eqNullSafe(F.col("last")) & F.col("last").isNotNull()).select("id", "row", "key")
 
 
