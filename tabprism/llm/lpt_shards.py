@@ -92,7 +92,7 @@ def lpt_shards(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", sh
         F.crc32(text_bytes(text_col)).alias("text_crc32"), sha_key(F.col(text_col)).alias("group"),
         F.monotonically_increasing_id().alias("seq")))
     groups = checkpoint(rows.groupBy("group").agg(F.sum("size").alias("group_size")))
-    placed = positions(groups, ["group_size"], ["group"], "at").join(_quotas(groups, shards), F.col("group_size") == F.col("of_size"))
+    placed = positions(groups, ["group_size"], ["group"], "at").join(_quotas(groups, shards).hint("merge"), F.col("group_size") == F.col("of_size"))
     placed = placed.select(F.col("group").alias("of_group"), F.size(F.filter("ends", lambda e: e <= F.col("at"))).alias("shard"))
     dealt = rows.join(placed, F.col("group").eqNullSafe(F.col("of_group"))).select("id", "size", "text_crc32", "seq", "shard")
     return positions(dealt, ["shard"], ["id", "seq"], "slot").select(F.col("id").alias(id_col), "size", "text_crc32", "shard", "slot")
