@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabprism.llm import divergence, line_runs, lpt_shards, simhash
+from tabprism.llm import bpe_dp, divergence, line_runs, lpt_shards, simhash
 from tabprism.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +25,19 @@ def op3_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.quality(read_table(spark, sf_dir, "documents"))
 
 
+def tokenizer_file(name: str) -> str:
+    """Place of an installed public tokenizer file; the same on every machine of a cluster."""
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
+def op6_bpe_dp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Byte-level BPE ids of all documents by prefix dynamic programming, and back."""
+    out = bpe_dp.encode_decode(read_table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
+    return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), bpe_dp.ids_sha256(F.col("ids")).alias("ids_sha256"),
+                      F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash near-duplicate components of all documents."""
     return simhash.simhash_near_dups(read_table(spark, sf_dir, "documents"))
@@ -114,7 +127,7 @@ FROM judged GROUP BY doc_id
 
 
 def queries() -> dict[str, Query]:
-    return {"op2_lpt_shards": op2_lpt_shards, "op3_divergence": op3_divergence, "op9_simhash": op9_simhash, "op10_line_runs": op10_line_runs}
+    return {"op2_lpt_shards": op2_lpt_shards, "op3_divergence": op3_divergence, "op6_bpe_dp": op6_bpe_dp, "op9_simhash": op9_simhash, "op10_line_runs": op10_line_runs}
 
 
 def oracle_sql() -> dict[str, str]:
