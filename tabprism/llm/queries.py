@@ -7,12 +7,26 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabprism.llm import bpe_dp, divergence, line_runs, lpt_shards, simhash
+from tabprism.llm import bpe_dp, divergence, line_runs, lpt_shards, mph_index, simhash
 from tabprism.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def tokenizer_file(name: str) -> str:
+    """Place of an installed public tokenizer file; the same on every machine of a cluster."""
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
+def op1_mph_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of all documents, written to shards and read back through the index."""
+    docs = read_table(spark, sf_dir, "documents")
+    index = mph_index.write_index(docs, tokenizer_file("word_bpe_49k.json"), end_id=2)
+    out = mph_index.lookup(index, docs.select("doc_id"))
+    return out.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def op2_lpt_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents dealt to 8 shards of near equal bytes, equal texts together."""
     out = lpt_shards.lpt_shards(read_table(spark, sf_dir, "documents"))
@@ -25,12 +39,6 @@ def op3_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.quality(read_table(spark, sf_dir, "documents"))
 
 
-def tokenizer_file(name: str) -> str:
-    """Place of an installed public tokenizer file; the same on every machine of a cluster."""
-    import public_tokenizers
-    return public_tokenizers.path(name)
-
-
 def op6_bpe_dp(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Byte-level BPE ids of all documents by prefix dynamic programming, and back."""
     out = bpe_dp.encode_decode(read_table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
@@ -127,7 +135,7 @@ FROM judged GROUP BY doc_id
 
 
 def queries() -> dict[str, Query]:
-    return {"op2_lpt_shards": op2_lpt_shards, "op3_divergence": op3_divergence, "op6_bpe_dp": op6_bpe_dp, "op9_simhash": op9_simhash, "op10_line_runs": op10_line_runs}
+    return {"op1_mph_index": op1_mph_index, "op2_lpt_shards": op2_lpt_shards, "op3_divergence": op3_divergence, "op6_bpe_dp": op6_bpe_dp, "op9_simhash": op9_simhash, "op10_line_runs": op10_line_runs}
 
 
 def oracle_sql() -> dict[str, str]:
