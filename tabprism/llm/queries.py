@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabprism.llm import bpe_dp, divergence, line_runs, lpt_shards, mph_index, simhash
+from tabprism.llm import bpe_dp, decontaminate, divergence, line_runs, lpt_shards, mph_index, simhash
 from tabprism.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -46,6 +47,16 @@ def op6_bpe_dp(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document and benchmark item whose question and answer it holds."""
+    return decontaminate.contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages of corpus_pipeline.py over the documents."""
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash near-duplicate components of all documents."""
     return simhash.simhash_near_dups(read_table(spark, sf_dir, "documents"))
@@ -87,11 +98,11 @@ classed AS (SELECT *, {" + ".join(_BINS[:-2])} + k_space AS known, length(t) - k
             (SELECT *, {_COUNTS}, length(t) - word_chars AS k_space FROM base)),
 char_ref AS (SELECT lang AS char_lang, {_SUMS} FROM classed GROUP BY lang),
 totals AS (SELECT lang AS total_lang, count(*) AS total FROM words GROUP BY lang),
-common AS (SELECT lang AS common_lang, lower(w) AS cw, count(*)::DOUBLE / total AS q
+common AS (SELECT lang AS common_lang, w AS cw, count(*)::DOUBLE / total AS q
            FROM words JOIN totals ON lang IS NOT DISTINCT FROM total_lang
-           GROUP BY lang, lower(w), total HAVING count(*) >= {divergence.COMMON_SHARE} * total),
+           GROUP BY lang, w, total HAVING count(*) >= {divergence.COMMON_SHARE} * total),
 mass AS (SELECT common_lang AS mass_lang, sum(q) AS all_q FROM common GROUP BY common_lang),
-counted AS (SELECT rid, lang, lower(w) AS lw, count(*)::DOUBLE AS c FROM words GROUP BY ALL),
+counted AS (SELECT rid, lang, w AS lw, count(*)::DOUBLE AS c FROM words GROUP BY ALL),
 shares AS (SELECT rid, sum(p * log2(2 * p / (p + q)) + q * log2(2 * q / (p + q))) AS d, sum(p) AS sp, sum(q) AS sq
            FROM (SELECT rid, c / n_words AS p, q FROM counted JOIN wordy USING (rid)
                  JOIN common ON lang IS NOT DISTINCT FROM common_lang AND lw = cw) GROUP BY rid),
@@ -135,7 +146,8 @@ FROM judged GROUP BY doc_id
 
 
 def queries() -> dict[str, Query]:
-    return {"op1_mph_index": op1_mph_index, "op2_lpt_shards": op2_lpt_shards, "op3_divergence": op3_divergence, "op6_bpe_dp": op6_bpe_dp, "op9_simhash": op9_simhash, "op10_line_runs": op10_line_runs}
+    own = (op1_mph_index, op2_lpt_shards, op3_divergence, op6_bpe_dp, op8_decontaminate, op9_simhash, op10_line_runs, pipeline)
+    return {f.__name__: f for f in own}
 
 
 def oracle_sql() -> dict[str, str]:
