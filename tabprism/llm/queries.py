@@ -8,7 +8,7 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabprism.llm import bpe_dp, decontaminate, divergence, line_runs, lpt_shards, mph_index, simhash
+from tabprism.llm import bpe_dp, decontaminate, divergence, license_rules, line_runs, lpt_shards, mph_index, simhash, warc_derive
 from tabprism.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,6 +40,18 @@ def op3_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.quality(read_table(spark, sf_dir, "documents"))
 
 
+def op4_license_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence sentences and licences of all documents."""
+    return license_rules.scan_licenses(read_table(spark, sf_dir, "documents"))
+
+
+def op5_warc_derive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metadata and plain-text records of all pages."""
+    out = warc_derive.derive(warc_derive.responses(read_table(spark, sf_dir, "pages")))
+    return out.select(F.col("id").alias("page_id"), "warc_type", "record_id", "refers_to", "target_uri", "date", "content_type",
+                      "block_digest", "payload_digest", "n_links", "header", F.col("content").cast("string").alias("content"))
+
+
 def op6_bpe_dp(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Byte-level BPE ids of all documents by prefix dynamic programming, and back."""
     out = bpe_dp.encode_decode(read_table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
@@ -125,6 +137,26 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM measured
 """
 
+_TAKEN = "ids"
+for _name, _ids in license_rules.RULES:
+    _TAKEN = f"replace({_TAKEN}, {_quoted(''.join(f'<{i}>' for i in _ids))}, {_quoted('{' + _name + '}')})"
+
+OP4_SQL = f"""
+WITH docs AS (SELECT row_number() OVER () AS rid, doc_id, lower(coalesce(text, '')) AS t FROM documents),
+known(sentence, sid) AS (VALUES {", ".join(f"({_quoted(k)}, {_quoted(v)})" for k, v in license_rules.SENTENCES.items())}),
+cut AS (SELECT rid, doc_id, generate_subscripts(parts, 1) AS pos, unnest(parts) AS part
+        FROM (SELECT rid, doc_id, string_split(regexp_replace(t, '[.!?;:][ \\t\\r]+', chr(10), 'g'), chr(10)) AS parts FROM docs)),
+plain AS (SELECT rid, doc_id, pos, trim(regexp_replace(part, '[^\\p{{L}}\\p{{N}}.]+', ' ', 'g'), ' .') AS s FROM cut),
+gathered AS (SELECT rid, doc_id, count(*) FILTER (s <> '') AS n_sentences, count(sid) AS n_known,
+                    coalesce(string_agg('<' || sid || '>', '' ORDER BY pos), '') AS ids
+             FROM plain LEFT JOIN known ON s = sentence GROUP BY rid, doc_id),
+taken AS (SELECT *, {_TAKEN} AS taken FROM gathered)
+SELECT doc_id, n_sentences, n_known, ids AS sentence_ids,
+       array_to_string(regexp_extract_all(taken, '\\{{([^}}]+)\\}}', 1), ',') AS licenses,
+       regexp_replace(taken, '\\{{[^}}]+\\}}', '', 'g') AS left_over
+FROM taken
+"""
+
 OP10_SQL = """
 WITH lines AS (
   SELECT doc_id, generate_subscripts(parts, 1) AS pos, unnest(parts) AS line
@@ -146,9 +178,9 @@ FROM judged GROUP BY doc_id
 
 
 def queries() -> dict[str, Query]:
-    own = (op1_mph_index, op2_lpt_shards, op3_divergence, op6_bpe_dp, op8_decontaminate, op9_simhash, op10_line_runs, pipeline)
+    own = (op1_mph_index, op2_lpt_shards, op3_divergence, op4_license_rules, op5_warc_derive, op6_bpe_dp, op8_decontaminate, op9_simhash, op10_line_runs, pipeline)
     return {f.__name__: f for f in own}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_divergence": OP3_SQL, "op10_line_runs": OP10_SQL}
+    return {"op3_divergence": OP3_SQL, "op4_license_rules": OP4_SQL, "op10_line_runs": OP10_SQL}
