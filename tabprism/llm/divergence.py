@@ -3,9 +3,9 @@
 Base rules: too few words, or too many words inside 8-word windows that the text holds
 twice or more. Then each document is compared with its language's reference, gathered
 from all documents of that language: Jensen-Shannon distance (base 2) between
- * character-class histograms (lower, upper, digit, space, symbol, punctuation, other);
- * common-word histograms (every word with at least ``COMMON_SHARE`` of the language's
-   words is a bin, all others share one).
+ * character-class histograms (lower, upper, symbol, space, all others);
+ * common-word histograms (every word, as it is written, with at least ``COMMON_SHARE``
+   of the language's words is a bin, all others share one).
 A short text strays from its reference by chance, in proportion to 1/sqrt(words), so each
 limit is ``floor + slope / sqrt(n_words)``; the word histogram is not judged below
 ``MIN_WORDS_FOR_WORDS`` words, and a language with fewer than ``MIN_REFERENCE_WORDS``
@@ -29,10 +29,11 @@ from tabprism.llm.common import checkpoint
 
 SPACE = r"[\x20\x09-\x0D]+"
 TRIM = " \t\n\x0b\x0c\r"
-CLASSES = {"symbol": r"[#*$%&|<>]+", "lower": r"\p{Ll}+", "upper": r"\p{Lu}+", "digit": r"\p{Nd}+",
-           "punct": r"[!\"'()+,./:;=?@\\\[\]^_`{}~-]+"}
+CLASSES = {"symbol": r"[#*$%&|<>]+", "lower": r"\p{Ll}+", "upper": r"\p{Lu}+"}
 BINS = [*CLASSES, "space", "other"]
 
+FIGURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
+
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
 WINDOW = 8
@@ -69,8 +70,13 @@ def _shifted(array: str, back: bool) -> str:
 def _with_base(df: DataFrame) -> DataFrame:
     """Adds the base figures to rows with ``__text`` (not null)."""
     own = df.withColumn("__words", _words(F.col("__text"))).withColumn("n_words", F.size("__words").cast("long"))
-    own = own.withColumn("__hashes", F.when(F.col("n_words") >= WINDOW, F.expr(
-        f"transform(sequence(1, size(__words) - {WINDOW - 1}), i -> xxhash64(slice(__words, i, {WINDOW})))")))
+    # Hashes of 1, 2, 4 and 8 words in a row, each made of two of the former.
+    own = own.withColumn("__w1", F.when(F.col("n_words") >= WINDOW, F.transform("__words", lambda w: F.xxhash64(w))))
+    for n in (1, 2, 4):
+        left = f"size(__w{n}) - {n}"
+        own = own.withColumn(f"__w{2 * n}", F.expr(
+            f"zip_with(slice(__w{n}, 1, {left}), slice(__w{n}, {n + 1}, {left}), (a, b) -> xxhash64(a, b))"))
+    own = own.withColumnRenamed(f"__w{WINDOW}", "__hashes").drop("__w1", "__w2", "__w4")
     # Sorted (hash, position) pairs, only where some window repeats at all.
     own = own.withColumn("__pairs", F.when(F.size(F.array_distinct("__hashes")) < F.size("__hashes"), F.expr(
         "sort_array(transform(__hashes, (h, i) -> struct(h, i)))")))
@@ -94,35 +100,27 @@ def _with_base(df: DataFrame) -> DataFrame:
     return own.withColumn("base_failed", failed).drop("__hashes", "__pairs", "__twice", "__at", "__lines")
 
 
-def references(df: DataFrame) -> DataFrame:
-    """One row per language of rows (__lang, __text): its words in all, its common words
-    with their shares, and the shares of its character classes."""
-    words = df.select("__lang", F.explode(F.transform(_words(F.col("__text")), lambda w: F.lower(w))).alias("w"))
+def common_words(df: DataFrame) -> DataFrame:
+    """One row per language of rows (__lang, __text): ``total`` words, the map ``common``
+    of its common words and their shares, and the ``longest`` of them."""
+    words = df.select("__lang", F.explode(_words(F.col("__text"))).alias("w"))
     words = words.withColumn("bucket", F.pmod(F.xxhash64("w"), F.lit(BUCKETS)))
     buckets = checkpoint(words.groupBy("__lang", "bucket").count())
-    totals = buckets.groupBy("__lang").agg(F.sum("count").alias("total"))
-    totals = checkpoint(totals)
+    totals = checkpoint(buckets.groupBy("__lang").agg(F.sum("count").alias("total")))
     few = totals.count() <= MAX_BROADCAST_LANGUAGES
     small = F.broadcast if few else lambda table: table
-    totals = small(totals)
-    heavy = small(buckets.alias("b").join(totals.alias("t"), F.col("b.__lang").eqNullSafe(F.col("t.__lang")))
+    same = F.col("b.__lang").eqNullSafe(F.col("t.__lang"))
+    heavy = small(buckets.alias("b").join(small(totals.alias("t")), same)
                   .where(F.col("count") >= COMMON_SHARE * F.col("total"))  # at most 1 / COMMON_SHARE rows a language
                   .select(F.col("b.__lang").alias("hl"), F.col("bucket").alias("hb")))
     counted = (words.join(heavy, F.col("__lang").eqNullSafe(F.col("hl")) & (F.col("bucket") == F.col("hb")), "leftsemi")
                .groupBy("__lang", "w").count())
-    common = (counted.alias("c").join(totals.alias("t"), F.col("c.__lang").eqNullSafe(F.col("t.__lang")))
-              .where(F.col("count") >= COMMON_SHARE * F.col("total"))
-              .groupBy(F.col("c.__lang").alias("__lang")).agg(F.map_from_entries(F.collect_list(F.struct("w", F.col("count") / F.col("total")))).alias("common")))
-    text = F.col("__text")
-    spaces = F.length(text) - F.length(F.regexp_replace(text, SPACE, ""))
-    counts = _char_counts(text, F.length(text) - spaces)
-    chars = df.groupBy("__lang").agg(F.greatest(F.sum(F.length(text)), F.lit(1)).alias("chars"), *[F.sum(c).alias(n) for n, c in counts.items()])
-    shares = [F.col(n) / F.col("chars") for n in counts]
-    chars = chars.select("__lang", F.array(*shares, 1 - sum(shares, F.lit(0.0))).alias("classes"))
-    return checkpoint(chars.alias("k").join(totals.alias("t"), F.col("k.__lang").eqNullSafe(F.col("t.__lang")))
-                      .join(common.alias("c"), F.col("k.__lang").eqNullSafe(F.col("c.__lang")), "left")
-                      .select(F.col("k.__lang").alias("ref_lang"), "total", "classes",
-                              F.coalesce("common", F.create_map().cast("map<string,double>")).alias("common")))
+    shares = (counted.alias("b").join(small(totals.alias("t")), same).where(F.col("count") >= COMMON_SHARE * F.col("total"))
+              .select(F.col("b.__lang").alias("cl"), "w", (F.col("count") / F.col("total")).alias("q")))
+    common = shares.groupBy("cl").agg(F.map_from_entries(F.collect_list(F.struct("w", "q"))).alias("common"), F.max(F.length("w")).alias("longest"))
+    return checkpoint(totals.join(common, F.col("__lang").eqNullSafe(F.col("cl")), "left").select(
+        F.col("__lang").alias("ref_lang"), "total", F.coalesce("common", F.create_map().cast("map<string,double>")).alias("common"),
+        F.coalesce("longest", F.lit(0)).alias("longest")))
 
 
 def _term(p: Column, q: Column) -> Column:
@@ -131,53 +129,54 @@ def _term(p: Column, q: Column) -> Column:
     return p * F.log2(2 * p / m) + F.when(q > 0, q * F.log2(2 * q / m)).otherwise(0.0)
 
 
-def judge(df: DataFrame, lang_col: str = "lang", text_col: str = "text") -> DataFrame:
-    """``df`` as column ``__row`` plus the base figures, both distances, ``base_failed``
-    and ``kept``."""
-    rows = df.select(F.struct(*[F.col(f"`{n}`") for n in df.columns]).alias("__row"), F.col(lang_col).alias("__lang"),
+def judge(df: DataFrame, lang_col: str, text_col: str, kept_cols: list[str]) -> DataFrame:
+    """The named columns of ``df`` as struct ``__row``, the figures, both distances and the
+    verdict, one row per row."""
+    rows = df.select(F.struct(*[F.col(f"`{n}`") for n in kept_cols]).alias("__row"), F.col(lang_col).alias("__lang"),
                      F.coalesce(F.col(text_col), F.lit("")).alias("__text"))
-    refs = references(rows.select("__lang", "__text"))
-    if refs.count() <= MAX_BROADCAST_LANGUAGES:
-        refs = F.broadcast(refs)
-    own = _with_base(rows).join(refs, F.col("__lang").eqNullSafe(F.col("ref_lang")), "left")
-    # Words found among the common ones, sorted; a run's length is that word's count.
-    own = own.withColumn("__known", F.expr("sort_array(filter(transform(__words, w -> lower(w)), w -> map_contains_key(common, w)))"))
+    refs = common_words(rows.select("__lang", "__text"))
+    few = refs.count() <= MAX_BROADCAST_LANGUAGES
+    small = F.broadcast if few else lambda table: table
+    own = _with_base(rows.join(small(refs), F.col("__lang").eqNullSafe(F.col("ref_lang")), "left"))
+    # Words that are common ones, sorted; the length of a run is that word's count.
+    own = own.withColumn("__known", F.expr("sort_array(filter(__words, w -> length(w) <= longest AND map_contains_key(common, w)))"))
     own = own.withColumn("__last", F.expr(f"zip_with(__known, {_shifted('__known', False)}, (a, b) -> if(a <=> b, null, a))"))
     own = own.withColumn("__runs", F.expr("filter(transform(__last, (w, i) -> struct(w, i)), r -> r.w IS NOT NULL)"))
     own = own.withColumn("__bins", F.expr("""
         zip_with(__runs, concat(array(-1), transform(slice(__runs, 1, greatest(size(__runs) - 1, 0)), r -> r.i)),
                  (r, before) -> if(r IS NULL, null, struct((r.i - before) / n_words AS p, common[r.w] AS q)))"""))
-    bins = F.filter("__bins", lambda b: b.isNotNull())
-    own = own.withColumn("__bins", bins)
+    own = own.withColumn("__bins", F.filter("__bins", lambda b: b.isNotNull()))
     own = own.withColumn("__sums", F.aggregate("__bins", F.struct(F.lit(0.0).alias("d"), F.lit(0.0).alias("p"), F.lit(0.0).alias("q")), lambda s, b: F.struct(
         (s["d"] + _term(b["p"], b["q"])).alias("d"), (s["p"] + b["p"]).alias("p"), (s["q"] + b["q"]).alias("q"))))
     own = own.withColumn("__q", F.expr("aggregate(map_values(common), 0D, (s, x) -> s + x)"))
     p_other, q_other = 1 - F.col("__sums.p"), F.greatest(1 - F.col("__q"), F.lit(0.0))
     other = F.when(p_other > 1e-12, _term(p_other, q_other)).otherwise(q_other)
-    word_sum = F.col("__sums.d") + (F.col("__q") - F.col("__sums.q")) + other
+    own = own.withColumn("__word_sum", F.col("__sums.d") + (F.col("__q") - F.col("__sums.q")) + other)
+    counts = [f"__{b}" for b in BINS]
+    own = checkpoint(own.select("__row", "__lang", "total", "__word_sum", *FIGURES, *counts))
+
+    chars = sum((F.col(c) for c in counts), F.lit(0))
+    refs = own.groupBy(F.col("__lang").alias("ref_lang")).agg(*[F.sum(c).alias(f"{c}_all") for c in counts])
+    own = own.join(small(refs), F.col("__lang").eqNullSafe(F.col("ref_lang")))
+    all_chars = F.greatest(sum((F.col(f"{c}_all") for c in counts), F.lit(0)), F.lit(1))
     char_sum = F.lit(0.0)
-    for i, name in enumerate(BINS):
-        p, q = F.col(f"__{name}") / F.greatest(F.length("__text"), F.lit(1)), F.col("classes")[i]
+    for c in counts:
+        p, q = F.col(c) / F.greatest(chars, F.lit(1)), F.col(f"{c}_all") / all_chars
         char_sum = char_sum + F.when(p > 0, _term(p, q)).otherwise(q)
     distance = lambda s: F.round(F.sqrt(F.greatest(s / 2, F.lit(0.0))), 6)
     judged = F.col("total") >= MIN_REFERENCE_WORDS
     own = own.withColumn("char_distance", F.when(judged & (F.col("n_words") > 0), distance(char_sum)))
-    own = own.withColumn("word_distance", F.when(judged & (F.col("n_words") >= MIN_WORDS_FOR_WORDS), distance(word_sum)))
+    own = own.withColumn("word_distance", F.when(judged & (F.col("n_words") >= MIN_WORDS_FOR_WORDS), distance(F.col("__word_sum"))))
     limit = lambda pair: pair[0] + pair[1] / F.sqrt(F.greatest("n_words", F.lit(1)))
     strays = [F.coalesce(F.col(c) > limit(x), F.lit(False)) for c, x in (("char_distance", CHAR_LIMIT), ("word_distance", WORD_LIMIT))]
-    own = own.withColumn("kept", ~(F.col("base_failed") | strays[0] | strays[1])).withColumn("__seq", F.monotonically_increasing_id())
-    # A filter on the verdict must not be pushed below (and written out in terms of) all of
-    # the steps above; a condition on a row number, true of every row, holds it back.
-    return own.where(F.col("__seq") >= 0).select("__row", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-                                               "base_failed", "kept", "char_distance", "word_distance")
+    return own.withColumn("kept", ~(F.col("base_failed") | strays[0] | strays[1])).select("__row", *FIGURES, "kept", "char_distance", "word_distance")
 
 
 def quality(df: DataFrame, id_col: str = "doc_id", lang_col: str = "lang", text_col: str = "text") -> DataFrame:
-    """One row per document: its id, the figures and the verdict."""
-    return judge(df, lang_col, text_col).select(F.col(f"__row.`{id_col}`").alias(id_col), "n_words", "word_chars", "n_symbols",
-                                                "n_dup_lines", "n_repeat_words", "base_failed", "kept", "char_distance", "word_distance")
+    """One row per document: its id, the figures, the distances and the verdict."""
+    return judge(df, lang_col, text_col, [id_col]).select(f"__row.{id_col}", *FIGURES, "kept", "char_distance", "word_distance")
 
 
 def keep_good(df: DataFrame, lang_col: str = "lang", text_col: str = "text") -> DataFrame:
     """Rows of ``df`` that the rules keep, with its own columns."""
-    return judge(df, lang_col, text_col).where("kept").select(*[F.col(f"__row.`{n}`").alias(n) for n in df.columns])
+    return judge(df, lang_col, text_col, df.columns).where("kept").select(*[F.col(f"__row.`{n}`").alias(n) for n in df.columns])
