@@ -8,7 +8,7 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabprism.llm import bpe_dp, decontaminate, divergence, license_rules, line_runs, lpt_shards, mph_index, simhash, warc_derive
+from tabprism.llm import bpe_dp, bwt_dedup, decontaminate, divergence, license_rules, line_runs, lpt_shards, mph_index, simhash, warc_derive
 from tabprism.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -59,6 +59,13 @@ def op6_bpe_dp(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op7_bwt_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the 100-byte strings that start earlier too."""
+    out = bwt_dedup.remove_repeats(read_table(spark, sf_dir, "documents"))
+    n_removed = (F.col("n_bytes") - F.octet_length("kept")).cast("long")
+    return out.select("doc_id", "n_bytes", n_removed.alias("n_removed"), (F.size("spans") / 2).cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document and benchmark item whose question and answer it holds."""
     return decontaminate.contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
@@ -178,7 +185,7 @@ FROM judged GROUP BY doc_id
 
 
 def queries() -> dict[str, Query]:
-    own = (op1_mph_index, op2_lpt_shards, op3_divergence, op4_license_rules, op5_warc_derive, op6_bpe_dp, op8_decontaminate, op9_simhash, op10_line_runs, pipeline)
+    own = (op1_mph_index, op2_lpt_shards, op3_divergence, op4_license_rules, op5_warc_derive, op6_bpe_dp, op7_bwt_dedup, op8_decontaminate, op9_simhash, op10_line_runs, pipeline)
     return {f.__name__: f for f in own}
 
 
