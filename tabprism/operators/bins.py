@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from tabprism.functions.binning import (BinSpec, bin_table, left_closed_position,
                                         right_closed_bin)
+from tabprism.operators.attach import attach
 
 
 def reindex_counts(counts: DataFrame, spec: BinSpec, key: str = "ord", n: str = "n",
@@ -42,10 +43,10 @@ def reindex_counts(counts: DataFrame, spec: BinSpec, key: str = "ord", n: str =
 def bucket_counts(df: DataFrame, value: Column | str, spec: BinSpec, by: Sequence[str] = ()) -> DataFrame:
     """Rows per right-closed bin for every label in order, with share in percent."""
     v = F.col(value) if isinstance(value, str) else value
-    # drop the out-of-range (NULL) bin after aggregating: filtering first would make
-    # Catalyst push the whole CASE chain (and the value expression) into the scan filter
-    binned = df.select(*by, v.alias("_v")).select(*by, right_closed_bin(F.col("_v"), spec).alias("ord"))
-    counts = binned.groupBy(*by, "ord").agg(F.count(F.lit(1)).alias("n")).where(F.col("ord").isNotNull())
+    # out of range is ordinal 0, which no label has: a filter on the ordinal would be
+    # pushed down and copy the whole CASE chain into the scan filter
+    binned = df.select(*by, v.alias("_v")).select(*by, F.coalesce(right_closed_bin(F.col("_v"), spec), F.lit(0)).alias("ord"))
+    counts = binned.groupBy(*by, "ord").agg(F.count(F.lit(1)).alias("n"))
     out = reindex_counts(counts, spec, by=by)
     # share over the (tiny, already aggregated) per-group label rows
     from pyspark.sql import Window
@@ -63,10 +64,9 @@ def bucket_position(stat: Column, spec: BinSpec) -> Column:
 def binned_mean(df: DataFrame, value: Column | str, spec: BinSpec, target: str) -> DataFrame:
     """Mean target per non-empty right-closed bin of ``value``."""
     v = F.col(value) if isinstance(value, str) else value
-    binned = df.select(v.alias("_v"), F.col(target)).select(right_closed_bin(F.col("_v"), spec).alias("ord"),
-                                                           F.col(target))
-    agg = binned.groupBy("ord").agg(F.count(F.lit(1)).alias("n"), F.avg(target).alias("mean_target")) \
-                .where(F.col("ord").isNotNull())
+    binned = df.select(v.alias("_v"), F.col(target)).select(
+        F.coalesce(right_closed_bin(F.col("_v"), spec), F.lit(0)).alias("ord"), F.col(target))
+    agg = binned.groupBy("ord").agg(F.count(F.lit(1)).alias("n"), F.avg(target).alias("mean_target"))
     labels = bin_table(df.sparkSession, spec).select("ord", "label")
     return agg.join(F.broadcast(labels), "ord").select("ord", "label", "n", "mean_target")
 
@@ -76,8 +76,7 @@ def histogram(df: DataFrame, value: str, bins: int, by: Sequence[str] = ()) -> D
     (``numpy.histogram`` semantics), every bin reported (empty ones as 0).
 
     Without groups the range comes from one scalar subquery; with groups from a
-    per-group aggregate joined back on the group key (its size is the number of
-    groups; AQE broadcasts it at runtime when small).
+    per-group aggregate attached to the rows (see :mod:`attach`).
     """
     by = list(by)
     data = df.select(*by, value).where(F.col(value).isNotNull())
@@ -85,7 +84,7 @@ def histogram(df: DataFrame, value: str, bins: int, by: Sequence[str] = ()) -> D
         data = data.where(F.col(b).isNotNull())
     if by:
         rng = data.groupBy(*by).agg(F.min(value).alias("_lo"), F.max(value).alias("_hi"))
-        data = data.join(rng, by)
+        data = attach(data, rng, by)
         lo, hi = F.col("_lo"), F.col("_hi")
     else:
         mm = data.select(F.struct(F.min(value).alias("lo"), F.max(value).alias("hi"))).scalar()

@@ -215,8 +215,3 @@ def shap_sampled(model, obs: DataFrame, feature_names: Sequence[str], background
     names = F.array(*[F.lit(n) for n in feature_names])
     out = diffs.groupBy("obs_id", "_added").agg(F.avg("delta").alias("weight"))
     return out.select(F.lit(model_name).alias("model"), "obs_id", names[F.col("_added")].alias("feature"), "weight")
-
-
-def top_features(expl: DataFrame, by: Sequence[str], k: int = 5) -> DataFrame:
-    """E5 on explanation tables: top k by |weight| per group."""
-    return top_abs(expl, by, "weight", k)

@@ -39,18 +39,25 @@ def model_grid() -> list[Config]:
     for i, (n, d, leaf, feat) in enumerate(rf, 1):
         g.append(Config("RandomForest", i, f"C{i}: n={n},d={d},leaf={leaf},feat={feat}",
                         {"n_estimators": n, "max_depth": d, "min_samples_leaf": leaf, "max_features": feat}))
-    xgb = [(100, 4, 0.10, 0.8, 0.8, 0.0, 1.0), (200, 6, 0.05, 0.8, 0.8, 0.0, 1.0),
-           (300, 6, 0.05, 0.9, 0.8, 0.0, 1.0), (300, 8, 0.03, 0.9, 0.7, 0.0, 1.0),
-           (300, 8, 0.03, 0.9, 0.7, 0.1, 1.0), (500, 6, 0.02, 0.9, 0.7, 0.1, 2.0)]
-    for i, (n, d, lr, sub, col, l1, l2) in enumerate(xgb, 1):
-        g.append(Config("XGBoost", i, f"C{i}: n={n},d={d},lr={lr},sub={sub}",
+    xgb = [("C1: n=100,d=4,lr=0.10,sub=0.8", 100, 4, 0.10, 0.8, 0.8, 0.0, 1.0),
+           ("C2: n=200,d=6,lr=0.05,sub=0.8", 200, 6, 0.05, 0.8, 0.8, 0.0, 1.0),
+           ("C3: n=300,d=6,lr=0.05,sub=0.9", 300, 6, 0.05, 0.9, 0.8, 0.0, 1.0),
+           ("C4: n=300,d=8,lr=0.03,sub=0.9", 300, 8, 0.03, 0.9, 0.7, 0.0, 1.0),
+           ("C5: n=300,d=8,lr=0.03,L1=0.1", 300, 8, 0.03, 0.9, 0.7, 0.1, 1.0),
+           ("C6: n=500,d=6,lr=0.02,L1=0.1,L2=2", 500, 6, 0.02, 0.9, 0.7, 0.1, 2.0)]
+    for i, (label, n, d, lr, sub, col, l1, l2) in enumerate(xgb, 1):
+        g.append(Config("XGBoost", i, label,
                         {"n_estimators": n, "max_depth": d, "learning_rate": lr, "subsample": sub,
                          "colsample_bytree": col, "reg_alpha": l1, "reg_lambda": l2},
                         ("reg_alpha", "reg_lambda")))
-    cb = [(200, 6, 0.10, 3, 1.0, 128), (300, 6, 0.05, 3, 1.0, 128), (500, 8, 0.03, 5, 1.0, 128),
-          (500, 8, 0.03, 10, 1.0, 128), (500, 8, 0.03, 5, 0.5, 64), (700, 6, 0.02, 5, 0.5, 64)]
-    for i, (n, d, lr, l2, bt, bc) in enumerate(cb, 1):
-        g.append(Config("CatBoost", i, f"C{i}: iter={n},d={d},lr={lr},l2={l2}",
+    cb = [("C1: iter=200,d=6,lr=0.10,l2=3", 200, 6, 0.10, 3, 1.0, 128),
+          ("C2: iter=300,d=6,lr=0.05,l2=3", 300, 6, 0.05, 3, 1.0, 128),
+          ("C3: iter=500,d=8,lr=0.03,l2=5", 500, 8, 0.03, 5, 1.0, 128),
+          ("C4: iter=500,d=8,lr=0.03,l2=10", 500, 8, 0.03, 10, 1.0, 128),
+          ("C5: iter=500,d=8,lr=0.03,l2=5,bt=0.5", 500, 8, 0.03, 5, 0.5, 64),
+          ("C6: iter=700,d=6,lr=0.02,l2=5,bt=0.5", 700, 6, 0.02, 5, 0.5, 64)]
+    for i, (label, n, d, lr, l2, bt, bc) in enumerate(cb, 1):
+        g.append(Config("CatBoost", i, label,
                         {"iterations": n, "depth": d, "learning_rate": lr, "l2_leaf_reg": l2,
                          "bagging_temperature": bt, "border_count": bc},
                         ("l2_leaf_reg", "bagging_temperature")))
@@ -58,7 +65,8 @@ def model_grid() -> list[Config]:
 
 
 def scaled(cfg: Config, trees: float = 1.0, depth_cap: int | None = None) -> Config:
-    """A lighter copy of a config (fewer trees / iterations, capped depth) for smoke runs."""
+    """A lighter copy of a config (fewer trees / iterations, capped depth) for smoke runs;
+    its label says what was really fitted."""
     p = dict(cfg.params)
     for k in ("n_estimators", "iterations"):
         if k in p:
@@ -66,7 +74,9 @@ def scaled(cfg: Config, trees: float = 1.0, depth_cap: int | None = None) -> Con
     for k in ("max_depth", "depth"):
         if k in p and depth_cap is not None:
             p[k] = depth_cap if p[k] is None else min(p[k], depth_cap)
-    return Config(cfg.family, cfg.no, cfg.label, p, cfg.not_applied)
+    changed = [f"{k}={p[k]}" for k in p if p[k] != cfg.params[k]]
+    label = f"{cfg.label} [reduced: {', '.join(changed)}]" if changed else cfg.label
+    return Config(cfg.family, cfg.no, label, p, cfg.not_applied)
 
 
 def label_std(train: DataFrame, label: str = "label") -> float:

@@ -6,14 +6,15 @@ of the rows) would pull every distinct value into a single task. Here the ranks
 computed with bounded per-task state instead:
 
 1. pre-aggregate to distinct ``(group, value, count)`` (map-side combine);
-2. cut every group into ``B`` value ranges at approximate quantiles (a bounded
-   sketch per group), so a hot group is split over ``B`` tasks;
+2. deal the distinct values by ranges of (group, value), so a large group is split over
+   as many tasks as its size asks for, at a cost per row that does not depend on the
+   number of partitions;
 3. per ``(group, range)`` total counts (a tiny table) give each range's offset;
 4. a window per ``(group, range)`` gives the count of strictly smaller values;
 5. the rows whose rank interval covers a target rank are picked and interpolated
    exactly like ``percentile`` / ``quantile_cont`` (linear, position q*(n-1)).
 
-The value of every statistic is exact; only the work split uses the sketch.
+The value of every statistic is exact, whatever the number of partitions.
 """
 
 from __future__ import annotations
@@ -23,13 +24,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabprism.session import shuffle_partitions
-
-_SKETCH_ACCURACY = 10000
-
-
-def _ranges(spark, buckets: int | None) -> int:
-    return max(1, buckets if buckets is not None else shuffle_partitions(spark))
+from tabprism.session import cut_lineage
 
 
 def ranked_counts(df: DataFrame, value: str, by: Sequence[str] = (), buckets: int | None = None) -> DataFrame:
@@ -38,27 +33,14 @@ def ranked_counts(df: DataFrame, value: str, by: Sequence[str] = (), buckets: in
     Also returns ``_n`` (group size). NULL values and NULL group keys are dropped.
     """
     by = list(by)
-    spark = df.sparkSession
-    nb = _ranges(spark, buckets)
     cond = F.col(value).isNotNull()
     for b in by:
         cond = cond & F.col(b).isNotNull()
     base = df.select(*by, value).where(cond)
     vc = base.groupBy(*by, value).agg(F.count(F.lit(1)).alias("_cnt"))
-    if nb > 1:
-        # Range cuts over the distinct values: the window work per range is proportional
-        # to the distinct values in it, and the sketch reads the (smaller) aggregate.
-        fracs = F.array(*[F.lit(i / nb) for i in range(1, nb)])
-        cuts_agg = F.approx_percentile(F.col(value), fracs, _SKETCH_ACCURACY).alias("_cuts")
-        if by:
-            cuts = vc.groupBy(*by).agg(cuts_agg)
-            vc = vc.join(cuts, by)
-        else:
-            vc = vc.withColumn("_cuts", vc.select(cuts_agg).scalar())
-        rng = F.size(F.filter(F.col("_cuts"), lambda s: s < F.col(value)))
-        vc = vc.withColumn("_rng", rng).drop("_cuts")
-    else:
-        vc = vc.withColumn("_rng", F.lit(0))
+    parts = [buckets] if buckets is not None else []
+    # Read twice below: the cut into ranges must be the same for both readers.
+    vc = cut_lineage(vc.repartitionByRange(*parts, *by, value).withColumn("_rng", F.spark_partition_id()))
     totals = vc.groupBy(*by, "_rng").agg(F.sum("_cnt").alias("_rtot"))
     w_off = Window.partitionBy(*by).orderBy("_rng")
     totals = (totals

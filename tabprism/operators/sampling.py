@@ -58,8 +58,7 @@ def split_stratified(df: DataFrame, key: str, label: str, test_frac: float = 0.2
     a ``row_number`` window holding a whole class in one task.
     """
     from tabprism.operators.quantiles import ranked_counts
-    # a 60-bit prefix of the hash orders rows like the full hex string does
-    keyed = df.withColumn("_h", F.conv(F.substring(hash_order(key, seed), 1, 15), 16, 10).cast("bigint"))
+    keyed = df.withColumn("_h", hash_order(key, seed))  # the full hash: no ties among keys
     rc = ranked_counts(keyed.select(label, "_h"), "_h", [label, *by])
     cut = F.ceil(F.lit(test_frac) * F.col("_n"))
     ranks = rc.select(label, *by, "_h", (F.col("_before") < cut).alias("_test"))

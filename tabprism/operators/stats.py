@@ -11,10 +11,12 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tabprism.operators.attach import attach
 from tabprism.operators.quantiles import exact_quantiles
+from tabprism.session import cut_lineage
 
 
 def to_long(df: DataFrame, ids: Sequence[str], cols: Sequence[str], name: str = "feature",
@@ -82,12 +84,12 @@ def box_stats(df: DataFrame, value: str, by: Sequence[str]) -> DataFrame:
     data = df.select(*by, value).where(F.col(value).isNotNull())
     for b in by:
         data = data.where(F.col(b).isNotNull())
-    q = exact_quantiles(data, value, [0.25, 0.5, 0.75], by, ["q1", "median", "q3"])
+    q = cut_lineage(exact_quantiles(data, value, [0.25, 0.5, 0.75], by, ["q1", "median", "q3"]))  # two readers
     fences = q.select(*by, "n", "q1", "median", "q3",
                       (F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))).alias("_lo"),
                       (F.col("q3") + 1.5 * (F.col("q3") - F.col("q1"))).alias("_hi"))
     v = F.col(value)
-    agg = data.join(fences.select(*by, "_lo", "_hi"), by).groupBy(*by).agg(
+    agg = attach(data, fences.select(*by, "_lo", "_hi"), by).groupBy(*by).agg(
         F.min(F.when(v >= F.col("_lo"), v)).alias("whisker_lo"),
         F.max(F.when(v <= F.col("_hi"), v)).alias("whisker_hi"),
         F.count(F.when((v < F.col("_lo")) | (v > F.col("_hi")), v)).alias("n_outliers"))
@@ -95,25 +97,25 @@ def box_stats(df: DataFrame, value: str, by: Sequence[str]) -> DataFrame:
         *by, "n", "q1", "median", "q3", "whisker_lo", "whisker_hi", "n_outliers")
 
 
-def group_median_order(df: DataFrame, by: str, value: str) -> DataFrame:
-    """Median per category, ranked descending (ties by category)."""
-    med = exact_quantiles(df, value, [0.5], [by], ["median"]).drop("n")
-    w = Window.orderBy(F.desc("median"), F.col(by))  # over one row per category
-    return med.withColumn("rnk", F.row_number().over(w))
-
-
 def group_mean(df: DataFrame, by: str, cols: Sequence[str]) -> DataFrame:
     """Mean of ``cols`` per group after dropping rows with NULLs in them."""
     data = df.select(by, *cols).dropna()
     return data.groupBy(by).agg(*[F.avg(c).alias(f"{c}_mean") for c in cols])
 
 
-def pivot_mean(df: DataFrame, row: str, col: str, value: str, values: Sequence[str],
-               prefix: str) -> DataFrame:
+MAX_PIVOT_COLUMNS = 1000
+
+
+def pivot_mean(df: DataFrame, row: str, col: str, value: str, prefix: str) -> DataFrame:
     """Mean of ``value`` per row x col, pivoted wide with prefixed column names
     (prefixing avoids a case-insensitive clash between keys and values), plus a flag
-    for the row holding the global maximum cell (within 1e-6)."""
+    for the row holding the global maximum cell (within 1e-6). The columns are the values
+    of ``col`` in the data, sorted; more than ``MAX_PIVOT_COLUMNS`` raise an error."""
     data = df.select(row, col, value).where(F.col(row).isNotNull() & F.col(col).isNotNull())
+    values = [r[0] for r in data.select(col).distinct().limit(MAX_PIVOT_COLUMNS + 1).collect()]
+    if len(values) > MAX_PIVOT_COLUMNS:
+        raise ValueError(f"{col} has more than {MAX_PIVOT_COLUMNS} values; aggregate in long form instead")
+    values.sort()
     wide = (data.groupBy(row).pivot(col, list(values)).agg(F.avg(value)))
     wide = wide.select(row, *[F.col(f"`{v}`").alias(f"{prefix}{v}") for v in values])
     cells = [F.col(f"{prefix}{v}") for v in values]
@@ -149,7 +151,7 @@ def kde(df: DataFrame, value: str, points: int = 500, by: Sequence[str] = (), mi
     vc = data.groupBy(*by, value).agg(F.count(F.lit(1)).alias("_c"))
     if grouped:
         # per-group bandwidths: one row per group, joined on the group key
-        vc = vc.join(st, by)
+        vc = attach(vc, st, by)
         grid = st.select(*by, "_g0", "_step", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("i"))
     else:
         # one global group: its parameters are a scalar subquery, no join at all

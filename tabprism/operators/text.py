@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tabprism.operators.attach import attach
+
 # The reference's stop-word list (42 words, domain words included).
 STOP_WORDS = ["the", "a", "an", "and", "or", "in", "of", "to", "is", "with", "for", "at",
               "on", "by", "this", "that", "are", "be", "it", "as", "from", "you", "your",
@@ -90,16 +92,28 @@ def lexicon_table(spark: SparkSession, lexicon=LEXICON) -> DataFrame:
     return spark.createDataFrame(list(lexicon), schema)
 
 
-def lexicon_score(df: DataFrame, key: str, text: Column | str, lexicon: DataFrame,
+MAX_INLINE_LEXICON = 1000
+
+
+def lexicon_score(df: DataFrame, key: str, text: Column | str, lexicon,
                   alpha: float = SENTIMENT_ALPHA) -> DataFrame:
     """Compound score in [-1, 1]: sum of word valences s -> s / sqrt(s^2 + alpha).
 
-    Tokens are exploded and joined to the lexicon (a fixed-size table: broadcast),
-    summed per row key; rows without any lexicon word score 0.
+    ``lexicon``: pairs (word, valence), or a table of them. Up to
+    ``MAX_INLINE_LEXICON`` pairs are looked up in the row itself. A table is joined to
+    the exploded words and summed per row key (broadcast only if its count is small).
+    Rows without any lexicon word score 0.
     """
     text = F.col(text) if isinstance(text, str) else text
+    if not isinstance(lexicon, DataFrame):
+        pairs = dict(lexicon)
+        if len(pairs) <= MAX_INLINE_LEXICON:
+            table = F.create_map(*[F.lit(x) for w, v in pairs.items() for x in (w, float(v))])
+            s = F.aggregate(F.split(text, r"(?U)\s+"), F.lit(0.0), lambda a, w: a + F.coalesce(table[w], F.lit(0.0)))
+            return df.withColumn("_s", s).withColumn("score", F.col("_s") / F.sqrt(F.col("_s") * F.col("_s") + F.lit(alpha))).drop("_s")
+        lexicon = lexicon_table(df.sparkSession, lexicon)
     words = df.select(F.col(key), F.explode(F.split(text, r"(?U)\s+")).alias("word"))
-    hits = words.join(F.broadcast(lexicon), "word").groupBy(key).agg(F.sum("valence").alias("_s"))
+    hits = attach(words, lexicon, ["word"]).groupBy(key).agg(F.sum("valence").alias("_s"))
     out = df.join(hits, key, "left")
     s = F.coalesce(F.col("_s"), F.lit(0.0))
     return out.withColumn("score", s / F.sqrt(s * s + F.lit(alpha))).drop("_s")

@@ -182,9 +182,17 @@ def sweep_report(spark: SparkSession, sf: str) -> DataFrame:
                       best["metrics"].alias("best_metrics"))
 
 
-@query("sweep_report", "I6")
+@query("sweep_report", "I6", oracle=WSW + """SELECT model, config_no, config_label, keys, k, round(rmse, 6) AS RMSE,
+  round(mae, 6) AS MAE, round(r2, 6) AS R2,
+  row_number() OVER (PARTITION BY model ORDER BY rmse, config_no) = 1 AS is_best,
+  first_value(config_label) OVER (PARTITION BY model ORDER BY rmse, config_no) AS best_config,
+  round(first_value(rmse) OVER (PARTITION BY model ORDER BY rmse, config_no), 6) AS best_rmse FROM sw""")
 def q_sweep_report(spark, sf):
-    return sweep_report(spark, sf)
+    """The nested report, one row per entry."""
+    c = sweep_report(spark, sf).select("model", "best_config", F.col("best_metrics.RMSE").alias("best_rmse"), F.explode("configs").alias("c"))
+    return c.select("model", "c.config_no", "c.config_label", F.col("c.hyperparameters")["keys"].alias("keys"),
+                    F.col("c.hyperparameters")["k"].alias("k"), "c.metrics.RMSE", "c.metrics.MAE", "c.metrics.R2", "c.is_best",
+                    "best_config", "best_rmse")
 
 
 def _scratch(spark: SparkSession, name: str) -> str:

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabprism.functions.scalar import CATEGORICAL_FEATURES, NUMERICAL_FEATURES, round_doubles
 from tabprism.operators import features as FE
+from tabprism.operators.attach import attach
 from tabprism.operators.sampling import remove_outliers, split3
 from tabprism.plans.registry import query
 from tabprism.sources.listings import listings_clean, listings_learnable, oracle_with
@@ -116,7 +118,7 @@ def q_one_hot(spark, sf):
     lng = imputed.unpivot(["listing_id", "split"], CAT, "feature", "category")
     cats = lng.where(F.col("split") == "train").select("feature", "category").distinct()
     # categories seen in train; an unseen category has no slot (all-zero block)
-    hot = lng.join(cats, ["feature", "category"])
+    hot = attach(lng, cats, ["feature", "category"])
     return hot.select("listing_id", F.concat_ws("_", "feature", "category").alias("feature_name"))
 
 
@@ -129,10 +131,26 @@ def prepared(spark: SparkSession, sf: str, learnable: bool = True):
     return out, pre
 
 
-@query("feature_vector", "H7")
+# The vector in long form: one row per numeric slot and per one-hot slot that is set.
+_VECTOR_SQL = (_SCALE_SQL.replace("\nSELECT listing_id, split, ", ",\n  zz AS (SELECT listing_id, ", 1) + ")" +
+               _mode_cte() + """, ic AS (SELECT listing_id, split, """ + ", ".join(f"coalesce({c}, mo_{c}) AS {c}" for c in CAT) + """ FROM sp, mo),
+  lg AS (""" + "\nUNION ALL\n".join(f"SELECT listing_id, split, {i} AS fi, '{c}' AS feature, {c} AS category FROM ic" for i, c in enumerate(CAT)) + """),
+  cats AS (SELECT fi, feature, category, CAST(row_number() OVER (ORDER BY fi, category) - 1 AS INTEGER) AS pos
+           FROM (SELECT DISTINCT fi, feature, category FROM lg WHERE split = 'train') q)
+""" + "\nUNION ALL\n".join(f"SELECT listing_id, {i} AS slot, '{c}' AS feature, {c} AS value FROM zz" for i, c in enumerate(NUM)) + f"""
+UNION ALL SELECT lg.listing_id, {len(NUM)} + cats.pos, lg.feature || '_' || lg.category, 1.0
+FROM lg JOIN cats ON cats.feature = lg.feature AND cats.category = lg.category""")
+
+
+@query("feature_vector", "H7", oracle=_VECTOR_SQL)
 def q_feature_vector(spark, sf):
-    out, _ = prepared(spark, sf)
-    return out.select("listing_id", "split", "features", "label")
+    """The assembled vector of each row in long form, with each slot's feature name."""
+    out, pre = prepared(spark, sf, learnable=False)
+    names = pre.feature_names()  # bounded by the feature catalog and its categories
+    long = out.select("listing_id", F.posexplode(vector_to_array("features")).alias("slot", "value"))
+    table = spark.createDataFrame(list(enumerate(names)), "slot int, feature string")
+    long = attach(long, table, ["slot"])
+    return round_doubles(long.where((F.col("slot") < len(NUM)) | (F.col("value") != 0)).select("listing_id", "slot", "feature", "value"))
 
 
 @query("feature_names", "H8", oracle=WS + _mode_cte() + ", im AS (SELECT split, " + ", ".join(

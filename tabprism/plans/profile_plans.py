@@ -7,8 +7,11 @@ and ``exp`` do not change the value hash.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tabprism.functions.binning import (AMENITY_BINS, PRICE_BINS_8, TENURE_BINS, bin_table,
                                         case_sql_left_closed, case_sql_right_closed,
@@ -19,10 +22,12 @@ from tabprism.functions.scalar import (CATEGORICAL_FEATURES, NUMERICAL_FEATURES,
                                        tenure_years)
 from tabprism.operators import bins as B
 from tabprism.operators import stats as S
+from tabprism.operators.attach import attach
 from tabprism.operators.quantiles import exact_quantiles
 from tabprism.operators.sampling import sample_exact
 from tabprism.plans.registry import query
-from tabprism.session import cut_lineage
+from tabprism.session import cut_lineage, ensure_checkpoint_dir
+from tabprism.sources.io import LISTINGS_SCHEMA, read_listings, write_listings_csv
 from tabprism.sources.listings import (LISTING_COLUMNS, listings, listings_clean,
                                        oracle_with)
 
@@ -45,6 +50,17 @@ def listings_scan(spark: SparkSession, sf: str) -> DataFrame:
     return round_doubles(listings(spark, sf, text=True))
 
 
+@query("listings_csv_scan", "A1", oracle=W + "SELECT " + ", ".join(
+    (_r(a) + f" AS {a}") if a in DOUBLE_COLS else a for a, _ in LISTING_COLUMNS if a != "description") + " FROM listings")
+def listings_csv_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """The listings written as CSV to the shared folder and read back with the schema."""
+    rows = listings(spark, sf, text=("name",))
+    path = f"{ensure_checkpoint_dir(spark)}/listings-csv-{uuid.uuid4().hex}"
+    write_listings_csv(rows, path)
+    schema = T.StructType([f for n in rows.columns for f in LISTINGS_SCHEMA if f.name == n])
+    return round_doubles(read_listings(spark, path, schema=schema, multi_line=False))
+
+
 @query("target_clean", "A2", oracle=W + "SELECT listing_id, round(log_price, 6) AS log_price FROM lc")
 def target_clean(spark, sf):
     return round_doubles(listings_clean(spark, sf).select("listing_id", "log_price"))
@@ -117,7 +133,7 @@ def q_clip_p99(spark, sf):
     p = lc.select("listing_id", "city", adaptive_price(lc).alias("price"))
     p99 = exact_quantiles(p, "price", [0.99], names=["p99"]).select("p99").scalar()
     p99c = exact_quantiles(p, "price", [0.99], ["city"], ["p99c"]).drop("n")
-    out = p.join(p99c, "city").select(
+    out = attach(p, p99c, ["city"]).select(
         "listing_id", "city", F.least("price", p99).alias("price_clip_global"),
         F.least("price", "p99c").alias("price_clip_city"))
     return round_doubles(out, 8)
@@ -259,6 +275,14 @@ def q_histogram(spark, sf):
     return round_doubles(out, 8)
 
 
+@query("histogram_target", "C5", oracle=W + ", h_raw AS (SELECT log_price AS v FROM listings WHERE log_price IS NOT NULL)\n"
+       + _hist_sql("target", "h_raw", 80))
+def q_histogram_target(spark, sf):
+    """80 bins of the raw target, before cleaning."""
+    raw = listings(spark, sf).select(F.col("log_price").alias("v"))
+    return round_doubles(B.histogram(raw, "v", 80).select(F.lit("target").alias("series"), "*"), 8)
+
+
 _HEX_NX, _HEX_NY = 40, 23
 
 
@@ -293,8 +317,8 @@ def q_hexbin(spark, sf):
 SELECT bins.ord, bins.label, coalesce(c.n, 0) AS n FROM bins LEFT JOIN c ON c.ord = bins.ord""").replace("\n, c AS", ", c AS", 1))
 def q_domain_reindex(spark, sf):
     lc = listings_clean(spark, sf)
-    counts = (lc.select(right_closed_bin(list_size("amenities"), AMENITY_BINS).alias("ord"))
-              .groupBy("ord").agg(F.count(F.lit(1)).alias("n")).where(F.col("ord").isNotNull()))
+    counts = (lc.select(F.coalesce(right_closed_bin(list_size("amenities"), AMENITY_BINS), F.lit(0)).alias("ord"))
+              .groupBy("ord").agg(F.count(F.lit(1)).alias("n")))  # ordinal 0, out of range, has no label
     return B.reindex_counts(counts, AMENITY_BINS).select("ord", "label", "n")
 
 
@@ -439,9 +463,6 @@ def q_city_centers(spark, sf):
     return round_doubles(S.group_mean(listings_clean(spark, sf), "city", ["latitude", "longitude"]))
 
 
-_ROOMS = ["F", "O", "P"]
-
-
 @query("room_city_pivot", "D11", oracle=W + """
 , m AS (SELECT city, room_type, avg(log_price) AS v FROM lc WHERE city IS NOT NULL AND room_type IS NOT NULL
         GROUP BY city, room_type),
@@ -452,7 +473,7 @@ SELECT city, round(max(CASE WHEN room_type = 'F' THEN v END), 6) AS room_F,
   bool_or(abs(v - (SELECT gmax FROM g)) < 1e-6) AS has_global_max
 FROM m GROUP BY city""".replace("\n, m AS", ", m AS", 1))
 def q_room_city(spark, sf):
-    return round_doubles(S.pivot_mean(listings_clean(spark, sf), "city", "room_type", "log_price", _ROOMS, "room_"))
+    return round_doubles(S.pivot_mean(listings_clean(spark, sf), "city", "room_type", "log_price", "room_"))
 
 
 def _kde_parts(src: str, points: int, by: str | None = None, min_n: int = 0, cut: float = 0.0):
@@ -482,6 +503,21 @@ def q_kde(spark, sf):
     return round_doubles(S.kde(listings_clean(spark, sf), "log_price", 500))
 
 
+_K3 = _kde_parts("k", 500)
+
+
+@query("kde_price_clipped", "D12", oracle=W + f"""
+, p AS (SELECT {PRICE_SQL} AS price FROM lc),
+  k AS (SELECT least(price, (SELECT quantile_cont(price, 0.99) FROM p)) AS v FROM p)
+""".replace("\n, p AS", ", p AS", 1) + _K3[0] + _K3[1])
+def q_kde_price_clipped(spark, sf):
+    """Density of the price clipped at its 99th percentile."""
+    lc = listings_clean(spark, sf)
+    price = lc.select(adaptive_price(lc).alias("p"))
+    p99 = exact_quantiles(price, "p", [0.99], names=["p99"]).select("p99").scalar()
+    return round_doubles(S.kde(price.select(F.least("p", p99).alias("v")), "v", 500))
+
+
 _K2 = _kde_parts("k", 100, "room_type", 0, 2.0)
 
 
@@ -543,7 +579,7 @@ _TREND_X = ["accommodates", "bedrooms", "review_scores_rating"]
     f"SELECT '{x}' AS feature, round(regr_slope(log_price, coalesce({x}, 0)), 6) AS slope, "
     f"round(regr_intercept(log_price, coalesce({x}, 0)), 6) AS intercept FROM s" for x in _TREND_X))
 def q_linear_trend(spark, sf):
-    s = sample_exact(listings_clean(spark, sf), "listing_id", 3000, 42)
+    s = cut_lineage(sample_exact(listings_clean(spark, sf).select("listing_id", "log_price", *_TREND_X), "listing_id", 3000, 42))
     out = None
     for x in _TREND_X:
         t = S.linear_trend(s, x, "log_price").select(F.lit(x).alias("feature"), "*")
@@ -576,7 +612,7 @@ SELECT listing_id, round(longitude, 6) AS longitude, round(latitude, 6) AS latit
   round(log_price, 6) AS log_price, round(least(greatest(log_price, lo), hi), 6) AS color FROM s, b""".replace("\n, s AS", ", s AS", 1))
 def q_geo_color(spark, sf):
     lc = listings_clean(spark, sf).select("listing_id", "latitude", "longitude", "log_price").dropna()
-    s = sample_exact(lc, "listing_id", 8000, 42)
+    s = cut_lineage(sample_exact(lc, "listing_id", 8000, 42))
     band = exact_quantiles(s, "log_price", [0.05, 0.95], names=["lo", "hi"]).select(
         F.struct("lo", "hi")).scalar()
     out = s.select("listing_id", "longitude", "latitude", "log_price",
@@ -593,7 +629,7 @@ def q_stat_broadcast(spark, sf):
     lc = listings_clean(spark, sf)
     cm = lc.groupBy("city").agg(F.avg("log_price").alias("_m"))
     g = lc.select(F.avg("log_price")).scalar()
-    out = lc.join(cm, "city").select("listing_id", "city", (F.col("log_price") - F.col("_m")).alias("dev_city"),
+    out = attach(lc, cm, ["city"]).select("listing_id", "city", (F.col("log_price") - F.col("_m")).alias("dev_city"),
                                      (F.col("log_price") > g).alias("above_global"))
     return round_doubles(out)
 

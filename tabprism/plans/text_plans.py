@@ -11,10 +11,11 @@ from tabprism.functions.scalar import adaptive_price, normalise_text, round_doub
 from tabprism.operators import bins as B
 from tabprism.operators import stats as S
 from tabprism.operators import text as T
+from tabprism.operators.attach import attach
 from tabprism.operators.quantiles import exact_quantiles
 from tabprism.operators.sampling import hash_uniform_bucket, sample_exact, split_stratified
 from tabprism.plans.registry import query
-from tabprism.session import cut_lineage, shuffle_partitions
+from tabprism.session import cut_lineage
 from tabprism.sources.listings import listings_clean, oracle_with
 
 # ----------------------------------------------------------------- shared oracle text
@@ -52,18 +53,15 @@ WN = oracle_with(_NAME_CTE)
 # ----------------------------------------------------------------- Spark frames
 def description_frame(spark: SparkSession, sf: str) -> DataFrame:
     """Cleaned listings with a description: (listing_id, log_price, tokens)."""
-    lc = listings_clean(spark, sf, text=True).where(F.col("description").isNotNull())
-    # whole-text regex work is CPU-heavy: spread it over the shuffle partitions
-    # (hash by listing keeps every text whole in one task)
-    lc = lc.select("listing_id", "log_price", "description").repartition(shuffle_partitions(spark), "listing_id")
+    lc = listings_clean(spark, sf, text=("description",)).where(F.col("description").isNotNull())
     return lc.select("listing_id", "log_price", T.clean_tokens("description").alias("tokens"))
 
 
 def name_sentiment_frame(spark: SparkSession, sf: str) -> DataFrame:
     """Listings with a name: (listing_id, log_price, name_clean, score, label, price)."""
-    lc = listings_clean(spark, sf, text=True).where(F.col("name").isNotNull())
+    lc = listings_clean(spark, sf, text=("name",)).where(F.col("name").isNotNull())
     n2 = lc.select("listing_id", "log_price", normalise_text("name").alias("name_clean"))
-    scored = T.lexicon_score(n2, "listing_id", "name_clean", T.lexicon_table(spark))
+    scored = T.lexicon_score(n2, "listing_id", "name_clean", T.LEXICON)
     return scored.withColumn("label", T.label_by_threshold("score")) \
                  .withColumn("price", adaptive_price(scored))
 
@@ -182,10 +180,28 @@ FROM g LEFT JOIN c ON c.label = g.label AND c.bin = g.bin"""
 def q_hist_group(spark, sf):
     s = name_sentiment_frame(spark, sf)
     p99 = exact_quantiles(s, "price", [0.99], ["label"], ["p99"]).drop("n")
-    cl = s.join(p99, "label").select("label", F.least("price", "p99").alias("v"))
+    cl = attach(s, p99, ["label"]).select("label", F.least("price", "p99").alias("v"))
     return round_doubles(B.histogram(cl, "v", 60, by=["label"]), 8)
 
 
+def _kde_by_label():
+    from tabprism.plans.profile_plans import _kde_parts
+    ctes, select = _kde_parts("k", 400, "label", 10)
+    return WN + """
+, p99 AS (SELECT label, quantile_cont(price, 0.99) AS p FROM lab GROUP BY label),
+  k AS (SELECT lab.label, least(lab.price, p99.p) AS v FROM lab JOIN p99 ON p99.label = lab.label)
+""" + ctes + select
+
+
+@query("kde_by_sentiment", "D12", oracle=_kde_by_label())
+def q_kde_by_sentiment(spark, sf):
+    """Density of the clipped price per sentiment label, for labels of over 10 rows."""
+    s = name_sentiment_frame(spark, sf)
+    p99 = exact_quantiles(s, "price", [0.99], ["label"], ["p99"]).drop("n")
+    cl = attach(s, p99, ["label"]).select("label", F.least("price", "p99").alias("v"))
+    return round_doubles(S.kde(cl, "v", 400, by=["label"], min_n=10))
+
+
 @query("sentiment_trend", "G6", oracle=WN + """
 , s AS (SELECT * FROM lab ORDER BY md5(CAST(listing_id AS VARCHAR) || '|42'), listing_id LIMIT 5000),
   c AS (SELECT score, least(price, (SELECT quantile_cont(price, 0.99) FROM s)) AS y FROM s)

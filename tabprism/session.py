@@ -7,7 +7,6 @@ already present, and the checkpoint folder is always read from the session's
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -48,12 +47,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the session.
 
     Order: ``spark.checkpoint.dir`` from the session, then the SparkContext's
-    checkpoint directory; only when neither is set (local tests) is a scratch
-    folder created and registered.
+    checkpoint directory. Only a local session (tests) without either gets a scratch
+    folder; on a cluster that is an error, as executors would not share it.
     """
     sc = spark.sparkContext
     current = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     existing = sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None
+    if not (current or existing) and not (sc.master == "local" or sc.master.startswith("local[")):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not current:
         current = existing or tempfile.mkdtemp(prefix="tabprism-ckpt-")
         try:
@@ -69,12 +70,3 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared folder (survives executor loss)."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
-
-
-def shuffle_partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-
-
-def scratch_dir(prefix: str = "tabprism-") -> str:
-    """Local scratch for tests only (never used for cluster checkpoints)."""
-    return tempfile.mkdtemp(prefix=prefix, dir=os.environ.get("TMPDIR", "/tmp"))

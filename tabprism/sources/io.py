@@ -34,14 +34,23 @@ def nan_to_null(df: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
-def read_listings(spark: SparkSession, path: str, fmt: str = "csv",
-                  schema: T.StructType | None = LISTINGS_SCHEMA) -> DataFrame:
-    """Read listings; ``schema=None`` infers types (an extra pass over the CSV)."""
+def read_listings(spark: SparkSession, path: str, fmt: str = "csv", schema: T.StructType | None = LISTINGS_SCHEMA,
+                  multi_line: bool = True, corrupt_column: str | None = None) -> DataFrame:
+    """Read listings; ``schema=None`` infers types (an extra pass over the CSV).
+
+    ``multi_line=False`` lets Spark split files (for data without line ends in fields;
+    with it each file is one task). Rows that do not parse raise an error, unless
+    ``corrupt_column`` names a column to keep them in.
+    """
     if fmt == "parquet":
         df = spark.read.parquet(path)
     elif fmt == "csv":
-        reader = (spark.read.option("header", True).option("multiLine", True)
-                  .option("escape", '"').option("quote", '"').option("mode", "PERMISSIVE"))
+        reader = (spark.read.option("header", True).option("multiLine", multi_line)
+                  .option("escape", '"').option("quote", '"').option("mode", "PERMISSIVE" if corrupt_column else "FAILFAST"))
+        if corrupt_column:
+            reader = reader.option("columnNameOfCorruptRecord", corrupt_column)
+            if schema is not None and corrupt_column not in schema.fieldNames():
+                schema = T.StructType([*schema.fields, T.StructField(corrupt_column, T.StringType())])
         reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", True)
         df = reader.csv(path)
     else:

@@ -78,10 +78,10 @@ def oracle_with(*extra_ctes: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n"
 
 
-_TEXT_COLUMNS = ("description", "name")
+TEXT_COLUMNS = ("description", "name")
 
 
-def listings(spark: SparkSession, sf_dir: str, text: bool = False) -> DataFrame:
+def listings(spark: SparkSession, sf_dir: str, text: bool | tuple[str, ...] = False) -> DataFrame:
     """Build ``listings`` from the driver tables with the DataFrame API.
 
     Only the columns the view needs are read (parquet column pruning). ``nation`` is
@@ -89,8 +89,8 @@ def listings(spark: SparkSession, sf_dir: str, text: bool = False) -> DataFrame:
     planner/AQE, which broadcasts at runtime only below its size threshold.
     ``documents`` and ``part`` join on the order key, so one hash partitioning of
     the order side serves both joins. They only feed ``description`` and ``name``,
-    so they are joined only when ``text`` is requested (Spark does not drop unused
-    outer joins on its own); without them those two columns are absent.
+    so each is joined only when ``text`` names its column (True: both; Spark does not
+    drop unused outer joins on its own); columns that are not named are absent.
     """
     o = read_table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority").alias("o")
@@ -101,25 +101,26 @@ def listings(spark: SparkSession, sf_dir: str, text: bool = False) -> DataFrame:
     p = read_table(spark, sf_dir, "part").select("p_partkey", "p_name").alias("p")
     joined = (o.join(c, F.col("c.c_custkey") == F.col("o.o_custkey"))
               .join(n, F.col("n.n_nationkey") == F.col("c.c_nationkey")))
-    cols = LISTING_COLUMNS
-    if text:
-        joined = (joined.join(d, F.col("d.doc_id") == F.col("o.o_orderkey"), "left")
-                  .join(p, F.col("p.p_partkey") == F.col("o.o_orderkey"), "left"))
-    else:
-        cols = [(a, e) for a, e in LISTING_COLUMNS if a not in _TEXT_COLUMNS]
+    wanted = TEXT_COLUMNS if text is True else text or ()
+    if "description" in wanted:
+        joined = joined.join(d, F.col("d.doc_id") == F.col("o.o_orderkey"), "left")
+    if "name" in wanted:
+        joined = joined.join(p, F.col("p.p_partkey") == F.col("o.o_orderkey"), "left")
+    cols = [(a, e) for a, e in LISTING_COLUMNS if a not in TEXT_COLUMNS or a in wanted]
     return joined.selectExpr(*[f"{expr} AS {alias}" for alias, expr in cols])
 
 
 def clean_target(df: DataFrame, target: str = "log_price") -> DataFrame:
-    """A2: keep rows whose target is present and positive."""
-    return df.filter(F.col(target).isNotNull() & (F.col(target) > 0))
+    """A2: keep rows whose target is present (neither NULL nor NaN) and positive."""
+    kept = F.col(target).isNotNull() & (F.col(target) > 0)
+    return df.filter(kept & ~F.isnan(target) if dict(df.dtypes)[target] in ("double", "float") else kept)
 
 
-def listings_clean(spark: SparkSession, sf_dir: str, text: bool = False) -> DataFrame:
+def listings_clean(spark: SparkSession, sf_dir: str, text: bool | tuple[str, ...] = False) -> DataFrame:
     """``Lc``: the cleaned listings."""
     return clean_target(listings(spark, sf_dir, text))
 
 
-def listings_learnable(spark: SparkSession, sf_dir: str, text: bool = False) -> DataFrame:
+def listings_learnable(spark: SparkSession, sf_dir: str, text: bool | tuple[str, ...] = False) -> DataFrame:
     """``Ls``: ``Lc`` plus the learnable target ``y``."""
     return listings_clean(spark, sf_dir, text).withColumn("y", F.expr(LEARNABLE_TARGET))
