@@ -55,6 +55,9 @@ def fit_categories(train: DataFrame, cols: Sequence[str], modes: dict[str, str])
     return lng.withColumn("pos", F.row_number().over(w) - 1)
 
 
+MAX_CATEGORIES = 100_000  # labels the driver holds; they become the width of the vectors
+
+
 @dataclass
 class FittedPreprocessor:
     numeric: list[str]
@@ -95,7 +98,9 @@ def fit_preprocessor(train: DataFrame, numeric: Sequence[str], categorical: Sequ
     med = {r["feature"]: r["median"] for r in fit_medians(train, num).collect()}
     sc = {r["feature"]: (r["mean"], r["std"]) for r in fit_scaling(train, num, med).collect()}
     modes = {r["feature"]: r["mode"] for r in fit_modes(train, cat).collect()}
-    cats_rows = fit_categories(train, cat, modes).collect()
+    cats_rows = fit_categories(train, cat, modes).limit(MAX_CATEGORIES + 1).collect()
+    if len(cats_rows) > MAX_CATEGORIES:
+        raise ValueError(f"more than {MAX_CATEGORIES} categories; hash or drop the widest columns first")
     cats = {c: [r["category"] for r in sorted((r for r in cats_rows if r["feature"] == c), key=lambda r: r["pos"])]
             for c in cat}
     means = {c: sc[c][0] for c in num}

@@ -131,13 +131,16 @@ def config_sweep(train: DataFrame, evaluate: DataFrame, configs: Sequence[Config
     """Fit every config on ``train``, score on ``evaluate``; one row per config.
 
     Predictions of all configs are unioned into one long table and scored with a
-    single grouped aggregate.
+    single grouped aggregate. Configs that differ only in parameters that are not applied
+    share one fit and are reported each.
     """
-    n = train.count()
-    ys = label_std(train)
-    preds = None
+    n, ys = train.agg(F.count(F.lit(1)), F.stddev_pop("label")).first()
+    preds, fitted = None, {}
     for cfg in configs:
-        m = estimator(cfg, n, ys).fit(train)
+        same = (cfg.family, tuple((k, v) for k, v in cfg.params.items() if k not in cfg.not_applied))
+        if same not in fitted:
+            fitted[same] = estimator(cfg, n, ys).fit(train)
+        m = fitted[same]
         p = m.transform(evaluate).select(F.lit(cfg.family).alias("model"), F.lit(cfg.no).alias("config_no"),
                                          "label", "prediction")
         preds = p if preds is None else preds.unionByName(p)
