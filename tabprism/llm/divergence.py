@@ -39,7 +39,7 @@ MAX_REPEAT_PERCENT = 30
 WINDOW = 8
 COMMON_SHARE = 0.002
 BUCKETS = 8192
-MIN_WORDS_FOR_WORDS = 50
+MIN_WORDS_FOR_WORDS = 20
 MIN_REFERENCE_WORDS = 1000
 CHAR_LIMIT = (0.17, 0.9)
 WORD_LIMIT = (0.20, 1.6)
