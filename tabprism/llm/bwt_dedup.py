@@ -47,8 +47,8 @@ START_ORDER, STEP = 8, 2  # bytes that the shards are sorted by; symbols read at
 PIECE = 4096  # windows in a piece at most; longer runs are cut
 POSITION = (1 << 24) - 1
 SEGMENT = 1 << 23
-BATCH_BYTES = 12 << 20
-BUCKET_BYTES = 6 << 20
+BATCH_BYTES = 20 << 20
+BUCKET_BYTES = 9 << 20
 NO_ID = -(1 << 63)
 
 
@@ -129,7 +129,7 @@ def _pack_pieces(p: dict[str, np.ndarray], text: np.ndarray) -> bytes:
     n = len(p["value"])
     key = np.diff(p["key"], prepend=np.int64(0))  # ids mostly rise: small differences compress
     columns = [np.ascontiguousarray((key if name == "key" else p[name]).astype(kind)).view(np.uint8).reshape(n, -1).T.tobytes() for name, kind in _FIELDS]
-    return zstandard.ZstdCompressor(level=3).compress(np.int64(n).tobytes() + b"".join(columns) + text.tobytes())
+    return zstandard.ZstdCompressor(level=5).compress(np.int64(n).tobytes() + b"".join(columns) + text.tobytes())
 
 
 def _unpack_pieces(blob: bytes) -> tuple[dict[str, np.ndarray], np.ndarray]:
