@@ -26,6 +26,7 @@ import os
 import re
 import threading
 import uuid
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import groupby
@@ -38,14 +39,16 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tabprism.llm.bpe_dp import byte_letters
 from tabprism.llm.common import checkpoint, partitions_for, shared_folder, slices, text_bytes
 
 SHARD_BYTES = 64 << 20
 KEYS_PER_BUCKET = 200_000
 SMALL_TABLE_ROWS = 200_000
 GAMMA = 2.0
-MEMO = 600_000
+MEMO = 900_000
 ODD_SPACE = re.compile("[\x1c-\x1f]")
+NOT_LATIN = re.compile("[^\x00-\u024f]")
 
 
 # ---- minimal perfect hash --------------------------------------------------------------
@@ -145,7 +148,11 @@ class Bucket:
 class LibraryEncoder:
     """The tokenizers library behind a memo of words. A file that drops white space, ends
     words by a suffix and splits by a pattern without white space encodes each word by
-    itself; then words go to the library once. Any other file gets whole texts."""
+    itself; then words go to the library once. If such a file also lower-cases, texts of
+    Latin letters without combining marks (for which composing changes nothing) are
+    lower-cased beforehand, and a word of such letters alone, or with one stop or comma
+    behind, is what the pattern would cut: it goes straight to the library's BPE model.
+    Any other file gets whole texts."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -159,25 +166,50 @@ class LibraryEncoder:
         self.word_wise = (bool(spec["model"].get("end_of_word_suffix")) and split.get("behavior") == "Removed" and bool(split.get("invert"))
                           and r"[^\s\p{L}\p{N}]+" in split["pattern"].get("Regex", "") and spec.get("post_processor") is None
                           and not any(t["lstrip"] or t["rstrip"] or t["single_word"] or " " in t["content"] for t in spec["added_tokens"]))
+        lowers = [n["type"] for n in (spec.get("normalizer") or {}).get("normalizers", [])]
+        self.lower = lowers[:1] == ["NFC"] and lowers[-1:] == ["Lowercase"] and set(lowers) <= {"NFC", "Replace", "Lowercase"}
         self.type = np.dtype("<u2" if max(self.library.get_vocab(with_added_tokens=True).values()) < 1 << 16 else "<u4")
+        self.special = [t["content"] for t in spec["added_tokens"]]
+        self.code = {2: "H", 4: "I"}[self.type.itemsize]
+        self.letters = {b: c for c, b in byte_letters().items()}
+        self.stops = {c: self._whole(c) for c in ".,"}
         self.memo: dict[str, bytes] = {}
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, dtype=self.type).tobytes()
 
+    def _words(self, text: str) -> list[str]:
+        if self.lower and not NOT_LATIN.search(text):
+            low = text.lower()
+            if not any(t in low for t in self.special):
+                return low.split()
+        return text.split()
+
+    def _learn(self, words: set[str]) -> None:
+        """Add the ids of words to the memo."""
+        memo, code, tokenize, rest = self.memo, self.code, self.library.model.tokenize, []
+        for w in words:
+            base = w if w.isalpha() else w[:-1] if w[-1] in self.stops else ""
+            if self.lower and base.isalpha() and not NOT_LATIN.search(base) and base == base.lower():
+                mapped = base if base.isascii() else "".join(map(self.letters.__getitem__, base.encode()))
+                ids = array(code, [t.id for t in tokenize(mapped)]).tobytes()
+                memo[w] = ids if base is w else ids + self.stops[w[-1]]
+            else:
+                rest.append(w)
+        for w, e in zip(rest, self.library.encode_batch_fast(rest, add_special_tokens=False)):
+            memo[w] = array(code, e.ids).tobytes()
+
     def encode_batch(self, texts: list[str]) -> list[bytes]:
         if not self.word_wise:
             return [self._whole(t) for t in texts]
         memo = self.memo
-        cut = [None if ODD_SPACE.search(t) else t.split() for t in texts]
+        cut = [None if ODD_SPACE.search(t) else self._words(t) for t in texts]
         new = {w for own in cut if own for w in own if w not in memo}
-        if new and len(memo) + len(new) > MEMO:
-            memo.clear()
-            new = {w for own in cut if own for w in own}
         if new:
-            words = list(new)
-            for w, e in zip(words, self.library.encode_batch_fast(words, add_special_tokens=False)):
-                memo[w] = np.array(e.ids, dtype=self.type).tobytes()
+            if len(memo) + len(new) > MEMO:
+                memo.clear()
+                new = {w for own in cut if own for w in own}
+            self._learn(new)
         return [self._whole(t) if own is None else b"".join(map(memo.__getitem__, own)) for t, own in zip(texts, cut)]
 
 

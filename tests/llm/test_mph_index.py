@@ -20,8 +20,9 @@ def test_encoder_equals_the_library(library):
     rng = random.Random(7)
     cases = ["", " ", "Hello WORLD's don't  'S", "a\x1cb \x1f c", "é é ́x İ Σας ΑΣ", "x y　z\x85w\xa0v", "<|endoftext|> a<|startoftext|>b<|endoftext|",
              "日本 12345 ½ 👩‍👩‍👧", "a " * 3000, "b" * 5000, "\t\n\r\x0b\x0c"]
-    for _ in range(1500):
-        letters = rng.choice(["ab \n", "thein ra,.", "aA1 -=\t'", "éà́ 日ǅ"])
+    cases += ["The end. And, so on... (it), 3.5, x., y,, z.\n'S. don't, ŒUVRE ÀÉÎÕÜ ŸžĲǄ ŉ ß. İ, I'LL.", "ABC<|ENDOFTEXT|> <|endoftext|>, x.", "x<|ENDOFTEXT|>y"]
+    for _ in range(2500):
+        letters = rng.choice(["ab \n", "Ab., '\n", "éÉàßİŸǅ,. a", "thein ra,.", "aA1 -=\t'", "éà́ 日ǅ"])
         cases.append("".join(rng.choice(letters) for _ in range(rng.randint(1, 60))))
     mine = mph_index.encoder(FILE)
     assert mine.word_wise and mine.type == np.dtype("<u2")
