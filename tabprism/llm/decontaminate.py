@@ -5,8 +5,8 @@ words of the longest item, passages are windows of 2 L words, L apart, so a copy
 item lies whole in one of them. Weights are BM25 impacts divided by the item's own wanted
 score (``MIN_SCORE`` times what its full text scores), so an item is retrieved at a sum of
 1. Block-max pruning in two exact steps: a passage whose terms cannot reach 1 by their
-largest weights anywhere is skipped, then of the blocks of 64 items those whose block
-maxima cannot reach 1; terms whose maxima together stay below ``NON_ESSENTIAL`` join only
+largest weights anywhere is skipped, then the blocks of 16 items (of like length) whose
+block maxima cannot reach 1; terms whose maxima together stay below ``NON_ESSENTIAL`` join only
 in the final scores. All items at or above 1 are retrieved (no top-k), then verified: the
 shares of the word trigrams of its question and of its answer that the passage holds
 must both reach ``MIN_OVERLAP``. An item's answer starts after its last question mark or,
@@ -26,6 +26,7 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +39,7 @@ K1, B = 1.2, 0.75
 MIN_SCORE = 0.7
 MIN_OVERLAP = 0.5
 NON_ESSENTIAL = 0.1
-BLOCK = 64
+BLOCK = 16
 GROUP_BYTES = 16 << 20
 GRAM = 3
 WORD = re.compile(r"\w+")
@@ -76,6 +77,7 @@ class ItemIndex:
     def __init__(self, rows: list[tuple[int, str | None, str]], postings: list[tuple[int, str, int, int]], stats: tuple[int, float], stride: int):
         """rows: (item number, id, text); postings: (number, term, tf, df)."""
         n_items, mean = stats
+        rows = sorted(rows, key=lambda r: len(words_of(r[2])))  # a block's items have like weights
         self.stride = max(1, stride)
         self.ids = [r[1] for r in rows]
         self.texts = [r[2] for r in rows]
@@ -109,34 +111,35 @@ class ItemIndex:
     def search(self, words: list[str]) -> list[tuple[int, int, float]]:
         """(passage, item number, weight sum) of every passage and item that reach 1."""
         get = self.terms.get
-        ids = np.fromiter((get(w, -1) for w in words), dtype=np.int64, count=len(words))
+        ids = np.fromiter(map(get, words, repeat(-1)), dtype=np.int64, count=len(words))
         pos = np.flatnonzero(ids >= 0)
         if not len(pos):
             return []
-        n = len(self.terms)
+        n, blocks = len(self.terms), self.n_blocks
         piece = pos // self.stride  # passage k holds the pieces k and k + 1
-        pairs = np.unique(np.concatenate([piece * n + ids[pos], (piece[piece > 0] - 1) * n + ids[pos][piece > 0]]))
+        passages = int(piece[-1]) + 1
+        pairs = _distinct(np.concatenate([piece * n + ids[pos], (piece[piece > 0] - 1) * n + ids[pos][piece > 0]]), passages * n)
         passage, term = np.divmod(pairs, n)
         own = self.essential[term]
-        bound = np.bincount(passage[own], weights=self.top[term[own]], minlength=int(passage[-1]) + 1) + self.rest
+        bound = np.bincount(passage[own], weights=self.top[term[own]], minlength=passages) + self.rest
         live = bound[passage] >= 1 - 1e-9
         if not live.any():
             return []
         passage, term = passage[live], term[live]
         own = self.essential[term]
         which, entry = _expand(self.block_first, term[own])
-        cell, inverse = np.unique(passage[own][which] * self.n_blocks + self.block[entry], return_inverse=True)
-        bound = np.bincount(inverse, weights=self.block_top[entry]) + self.rest
-        cell = cell[bound >= 1 - 1e-9]
+        cell, bound = _sums(passage[own][which] * blocks + self.block[entry], self.block_top[entry], passages * blocks)
+        cell = cell[bound + self.rest >= 1 - 1e-9]
         if not len(cell):
             return []
-        live = np.isin(passage, cell // self.n_blocks)
+        some = np.zeros(passages, dtype=bool)
+        some[cell // blocks] = True
+        live = some[passage]
         passage, term = passage[live], term[live]
         which, entry = _expand(self.first, term)
-        hit = np.isin(passage[which] * self.n_blocks + self.item[entry] // BLOCK, cell)
+        hit = _among(passage[which] * blocks + self.item[entry] // BLOCK, cell, passages * blocks)
         which, entry = which[hit], entry[hit]
-        found, inverse = np.unique(passage[which] * len(self.ids) + self.item[entry], return_inverse=True)
-        score = np.bincount(inverse, weights=self.weight[entry])
+        found, score = _sums(passage[which] * len(self.ids) + self.item[entry], self.weight[entry], passages * len(self.ids))
         return [(int(f) // len(self.ids), int(f) % len(self.ids), float(s)) for f, s in zip(found, score) if s >= 1 - 1e-9]
 
     def hits(self, text: str) -> list[tuple[int, float, float, float]]:
@@ -151,6 +154,35 @@ class ItemIndex:
         return [(item, *x) for item, x in sorted(best.items())]
 
 
+DENSE = 1 << 22  # cells that are kept as an array; more are sorted instead
+
+
+def _distinct(cell: np.ndarray, size: int) -> np.ndarray:
+    if size > DENSE:
+        return np.unique(cell)
+    seen = np.zeros(size, dtype=bool)
+    seen[cell] = True
+    return np.flatnonzero(seen)
+
+
+def _sums(cell: np.ndarray, weight: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Cells with a weight, and the sums of their weights."""
+    if size > DENSE:
+        own, inverse = np.unique(cell, return_inverse=True)
+        return own, np.bincount(inverse, weights=weight)
+    total = np.bincount(cell, weights=weight)
+    own = np.flatnonzero(total)
+    return own, total[own]
+
+
+def _among(cell: np.ndarray, wanted: np.ndarray, size: int) -> np.ndarray:
+    if size > DENSE:
+        return np.isin(cell, wanted)
+    seen = np.zeros(size, dtype=bool)
+    seen[wanted] = True
+    return seen[cell]
+
+
 def _expand(first: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """For each key k the entries first[k] to first[k + 1]: (position of the key, entry)."""
     n = first[keys + 1] - first[keys]

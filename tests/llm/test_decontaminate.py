@@ -55,6 +55,17 @@ def fixture():
     return docs + [(None, items[8][1]), (5, items[9][1]), (5, items[9][1]), (900, None), (901, ""), (902, say(20_000) + items[11][1])], items
 
 
+def test_sorted_and_dense_sums_agree(monkeypatch):
+    docs, items = fixture()
+    own = [(n, i, t) for n, (i, t) in enumerate(items) if D.words_of(t)]
+    df = Counter(w for _, _, t in own for w in set(D.words_of(t)))
+    posted = [(n, w, c, df[w]) for n, _, t in own for w, c in Counter(D.words_of(t)).items()]
+    index = D.ItemIndex(own, posted, (len(own), 20.0), 45)
+    dense = [index.hits(t or "") for _, t in docs]
+    monkeypatch.setattr(D, "DENSE", 0)
+    assert dense == [index.hits(t or "") for _, t in docs] and any(dense)
+
+
 def test_against_exhaustive_scoring(spark):
     docs, items = fixture()
     d = spark.createDataFrame([(i, t, 1.0) for i, t in docs], "doc_id long, text string, score double")
