@@ -19,8 +19,13 @@ are judged on the input.
    an interval are repeated.
 3. Removal. Repeated ranges are gathered by document and cut out.
 
-Every bucket is of bounded size (their number follows the input), and a string that many
-documents share meets in a bucket once per batch, not once per document.
+The number of buckets follows the input, and a string that many documents share meets in a
+bucket once per batch, not once per document. A short frequent phrase with differing text
+round it would still bring one piece per occurrence under one hash. So the bytes of the
+different pieces per smallest hash are counted before cutting: windows of a hash that may
+hold more than ``HOT_BYTES`` (all that hold more, none that hold less than half) are dealt
+one by one, by a 128-bit hash of the whole window; equal windows travel once per
+``HOT_WINDOWS`` windows of a batch. Each hash that stays holds ``HOT_BYTES`` at most.
 
 Defined results: null text is empty; a null id comes before all others; rows that share an
 id are ordered by a hash of their text, and rows that share both are one document, each
@@ -49,6 +54,8 @@ POSITION = (1 << 24) - 1
 SEGMENT = 1 << 23
 BATCH_BYTES = 20 << 20
 BUCKET_BYTES = 9 << 20
+HOT_BYTES = 9 << 20  # bytes of different pieces under one smallest hash
+HOT_WINDOWS = 1 << 20
 NO_ID = -(1 << 63)
 
 
@@ -75,22 +82,28 @@ def _sliding_min(a: np.ndarray, n: int) -> np.ndarray:
     return np.minimum(a[:len(a) - (n - k)], a[n - k:]) if k < n else a
 
 
-def cut_pieces(text: bytes, width: int = WIDTH) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def cut_pieces(text: bytes, width: int = WIDTH, places: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Pieces of a text: smallest hash (40 bits), first window, number of windows, and
     whether the smallest hash occurs at two places of the run (only then can one piece
-    hold equal windows)."""
+    hold equal windows; not found out without ``places``)."""
     parts = []
     for base in range(0, max(0, len(text) - width + 1), SEGMENT):
         h = _gram_hashes(text[base:base + SEGMENT + width - 1])
-        at = np.arange(len(h), dtype=np.uint64)
-        top = h & ~np.uint64(POSITION)
-        low = _sliding_min(top | at, width - GRAM + 1)
-        high = _sliding_min(top | (np.uint64(POSITION) - at), width - GRAM + 1) & np.uint64(POSITION)
-        value, left = low >> np.uint64(24), low & np.uint64(POSITION)
+        if places:
+            at = np.arange(len(h), dtype=np.uint64)
+            top = h & ~np.uint64(POSITION)
+            low = _sliding_min(top | at, width - GRAM + 1)
+            high = _sliding_min(top | (np.uint64(POSITION) - at), width - GRAM + 1) & np.uint64(POSITION)
+            value, left = low >> np.uint64(24), low & np.uint64(POSITION)
+        else:
+            value = _sliding_min(h >> np.uint64(24), width - GRAM + 1)
         first = np.flatnonzero(np.r_[True, value[1:] != value[:-1]])
         last = np.r_[first[1:], len(value)] - 1
-        two = np.r_[0, np.cumsum(left != np.uint64(POSITION) - high)]
-        twice = (two[last + 1] > two[first]) | (left[first] != left[last])
+        if places:
+            two = np.r_[0, np.cumsum(left != np.uint64(POSITION) - high)]
+            twice = (two[last + 1] > two[first]) | (left[first] != left[last])
+        else:
+            twice = np.zeros(len(first), bool)
         n = last - first + 1
         cuts = -(-n // PIECE)
         which = np.repeat(np.arange(len(n)), cuts)
@@ -122,20 +135,38 @@ def _later_copies(value: np.ndarray, print_: np.ndarray, key: np.ndarray, tag: n
     return first, order[away]
 
 
+def heavy_hashes(texts: list[bytes], least: float, width: int = WIDTH) -> tuple[np.ndarray, np.ndarray]:
+    """(smallest hash, bytes) of those whose different pieces hold over ``least`` bytes."""
+    cols, base = [], 0
+    for text in texts:
+        value, first, n, _ = cut_pieces(text, width, places=False)
+        cols.append((value, base + first, n + width - 1))
+        base += len(text)
+    value, at, size = (np.concatenate(x) for x in zip(*cols))
+    value, which = np.unique(value, return_inverse=True)
+    rows = np.flatnonzero(np.bincount(which, weights=size, minlength=len(value))[which] > least)
+    zero = np.zeros(len(rows), np.int64)
+    first, _ = _later_copies(which[rows], _digests(b"".join(texts), at[rows], size[rows]), zero, zero, at[rows]) if len(rows) else (rows, rows)
+    held = np.bincount(which[rows[first]], weights=size[rows[first]], minlength=len(value))
+    hot = np.flatnonzero(held > least)
+    return value[hot], held[hot].astype(np.int64)
+
+
 _FIELDS = (("value", "<u4"), ("key", "<i8"), ("tag", "<u4"), ("start", "<u4"), ("windows", "<u2"), ("twice", "?"))
+_WINDOW_FIELDS = (("high", "<u8"), ("low", "<u8"), ("key", "<i8"), ("tag", "<u4"), ("start", "<u4"))
 
 
-def _pack_pieces(p: dict[str, np.ndarray], text: np.ndarray) -> bytes:
-    n = len(p["value"])
+def _pack_pieces(p: dict[str, np.ndarray], text: np.ndarray, fields: tuple = _FIELDS) -> bytes:
+    n = len(p["key"])
     key = np.diff(p["key"], prepend=np.int64(0))  # ids mostly rise: small differences compress
-    columns = [np.ascontiguousarray((key if name == "key" else p[name]).astype(kind)).view(np.uint8).reshape(n, -1).T.tobytes() for name, kind in _FIELDS]
+    columns = [np.ascontiguousarray((key if name == "key" else p[name]).astype(kind)).view(np.uint8).reshape(n, -1).T.tobytes() for name, kind in fields]
     return zstandard.ZstdCompressor(level=5).compress(np.int64(n).tobytes() + b"".join(columns) + text.tobytes())
 
 
-def _unpack_pieces(blob: bytes) -> tuple[dict[str, np.ndarray], np.ndarray]:
+def _unpack_pieces(blob: bytes, fields: tuple = _FIELDS) -> tuple[dict[str, np.ndarray], np.ndarray]:
     raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), dtype=np.uint8)
     n, at, p = int(raw[:8].view("<i8")[0]), 8, {}
-    for name, kind in _FIELDS:
+    for name, kind in fields:
         size = np.dtype(kind).itemsize * n
         p[name] = np.ascontiguousarray(raw[at:at + size].reshape(-1, n).T).reshape(-1).view(kind)
         at += size
@@ -143,8 +174,28 @@ def _unpack_pieces(blob: bytes) -> tuple[dict[str, np.ndarray], np.ndarray]:
     return p, raw[at:]
 
 
-def _batch_rows(docs: list[tuple[int, int, bytes]], buckets: int, width: int) -> Iterator[tuple[int, int, bytes]]:
-    """(bucket, kind, payload): kind 0 pieces, kind 1 ranges that are repeated for sure."""
+def _window_rows(raw: bytes, at: np.ndarray, n: np.ndarray, key: np.ndarray, tag: np.ndarray, start: np.ndarray, buckets: int, width: int) -> Iterator[tuple[int, int, bytes]]:
+    """As _batch_rows, of the single windows of pieces: kind 2 windows, kind 1."""
+    nth = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    at, start, key, tag = np.repeat(at, n) + nth, np.repeat(start, n) + nth, np.repeat(key, n), np.repeat(tag, n)
+    view = memoryview(raw)
+    prints = np.frombuffer(b"".join(xxhash.xxh3_128_digest(view[a:a + width]) for a in at.tolist()), "<u8").reshape(-1, 2)
+    high, low = prints[:, 0], prints[:, 1]
+    first, copies = _later_copies(high, low, key, tag, start)
+    for k, payload in _pack_ranges(key[copies], tag[copies], start[copies], start[copies] + width):
+        yield int(k % buckets), 1, payload
+    bucket = (high % np.uint64(buckets)).astype(np.int64)
+    order = first[np.lexsort((start[first], key[first], bucket[first]))]
+    edge = np.searchsorted(bucket[order], np.arange(buckets + 1))
+    for b in np.flatnonzero(np.diff(edge)).tolist():
+        own = order[edge[b]:edge[b + 1]]
+        window = {"high": high[own], "low": low[own], "key": key[own], "tag": tag[own], "start": start[own]}
+        yield b, 2, _pack_pieces(window, np.empty(0, np.uint8), _WINDOW_FIELDS)
+
+
+def _batch_rows(docs: list[tuple[int, int, bytes]], buckets: int, width: int, hot: np.ndarray | None = None) -> Iterator[tuple[int, int, bytes]]:
+    """(bucket, kind, payload): kind 0 pieces, kind 1 ranges that are repeated for sure,
+    kind 2 single windows of the ``hot`` smallest hashes."""
     cols, base = [], 0
     for key, tag, text in docs:
         value, first, n, twice = cut_pieces(text, width)
@@ -155,6 +206,15 @@ def _batch_rows(docs: list[tuple[int, int, bytes]], buckets: int, width: int) ->
     if not len(value):
         return
     raw = b"".join(d[2] for d in docs)
+    if hot is not None and len(hot):
+        apart = np.isin(value, hot)
+        rows = np.flatnonzero(apart)
+        turn = np.cumsum(n[rows]) // HOT_WINDOWS
+        for own in np.split(rows, np.flatnonzero(np.diff(turn)) + 1) if len(rows) else []:
+            yield from _window_rows(raw, at[own], n[own], key[own], tag[own], start[own], buckets, width)
+        value, start, n, twice, key, tag, at = (x[~apart] for x in (value, start, n, twice, key, tag, at))
+        if not len(value):
+            return
     first, copies = _later_copies(value, _digests(raw, at, n + width - 1), key, tag, start)
     for k, payload in _pack_ranges(key[copies], tag[copies], start[copies], (start + n + width - 1)[copies]):
         yield int(k % buckets), 1, payload
@@ -274,9 +334,43 @@ def bucket_ranges(blobs: list[bytes], width: int = WIDTH) -> tuple[np.ndarray, n
     return tuple(np.concatenate(x) for x in zip(*out))
 
 
+def window_ranges(blobs: list[bytes], width: int = WIDTH) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(key, tag, start, end) of the repeated ones among a bucket's single windows."""
+    parts = [_unpack_pieces(b, _WINDOW_FIELDS)[0] for b in blobs]
+    p = {name: np.concatenate([x[name] for x in parts]) for name, _ in _WINDOW_FIELDS}
+    tag, start = p["tag"].astype(np.int64), p["start"].astype(np.int64)
+    _, copies = _later_copies(p["high"], p["low"], p["key"], tag, start)
+    return p["key"][copies], tag[copies], start[copies], start[copies] + width
+
+
 # ---- Spark -----------------------------------------------------------------------------
 
 
+def hot_hashes(texts: DataFrame, total: int, width: int = WIDTH, limit: int | None = None) -> np.ndarray:
+    """Smallest hashes whose pieces hold over ``limit`` bytes, equal ones of a batch counted
+    once. texts: one binary column of ``total`` bytes. A batch leaves out hashes below its
+    share of half the limit, so no count is short by more than that half."""
+    limit = HOT_BYTES if limit is None else limit
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[bytes] = []
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            if held:
+                value, size = heavy_hashes(held, limit / 2 * sum(map(len, held)) / total, width)
+                held.clear()
+                yield pa.RecordBatch.from_arrays([pa.array(value.astype(np.int64)), pa.array(size)], ["value", "size"])
+
+        for b in slices(batches, 0):
+            held += [t for t in b.column(0).to_pylist() if len(t) >= width]
+            if sum(map(len, held)) >= BATCH_BYTES:
+                yield from flush()
+        yield from flush()
+
+    sizes = texts.mapInArrow(count, "value long, size long").groupBy("value").agg(F.sum("size").alias("size"))
+    return np.sort(np.array([r["value"] for r in sizes.where(F.col("size") > limit / 2).collect()], dtype=np.uint64))
+
+
 def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH) -> DataFrame:
     """One row per document: id, n_bytes, ``spans`` (start and end of each maximal removed
     run, one after the other) and ``kept``, the remaining bytes."""
@@ -288,11 +382,13 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     tag = F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).bitwiseAND(F.lit(0xFFFFFFFF))
     docs = df.select(F.col(id_col).alias("id"), F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("key"), tag.alias("tag"), text_bytes(text_col).alias("t"))
 
+    hot = hot_hashes(docs.select("t"), total or 0, width)
+
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[int, int, bytes]] = []
 
         def flush() -> Iterator[pa.RecordBatch]:
-            rows = list(_batch_rows(held, buckets, width)) if held else []
+            rows = list(_batch_rows(held, buckets, width, hot)) if held else []
             held.clear()
             for i in range(0, len(rows), 64):
                 part = list(zip(*rows[i:i + 64]))
@@ -309,17 +405,24 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows() -> Iterator[bytes]:
-            blobs: dict[int, list[bytes]] = {}
+            blobs: dict[int, tuple[list[bytes], list[bytes]]] = {}
+
+            def settled(pieces: list[bytes], windows: list[bytes]) -> Iterator[bytes]:
+                if pieces:
+                    yield from (r for _, r in _pack_ranges(*bucket_ranges(pieces, width)))
+                if windows:
+                    yield from (r for _, r in _pack_ranges(*window_ranges(windows, width)))
+
             for b in batches:
                 for bucket, kind, payload in zip(*(c.to_pylist() for c in b.columns)):
-                    if kind:
+                    if kind == 1:
                         yield payload
                         continue
                     for done in [x for x in blobs if x != bucket]:
-                        yield from (r for _, r in _pack_ranges(*bucket_ranges(blobs.pop(done), width)))
-                    blobs.setdefault(bucket, []).append(payload)
+                        yield from settled(*blobs.pop(done))
+                    blobs.setdefault(bucket, ([], []))[kind // 2].append(payload)
             for own in blobs.values():
-                yield from (r for _, r in _pack_ranges(*bucket_ranges(own, width)))
+                yield from settled(*own)
 
         held: list[bytes] = []
 

@@ -81,3 +81,47 @@ def test_query(spark):
     got = sorted((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in queries.op7_bwt_dedup(spark, SF).collect())
     assert got == brute(docs)
     assert any(g[2] for g in got)
+
+
+def phrase_texts(n):
+    """Texts of 1 KB that share a phrase of 31 bytes, and a few repeats."""
+    rng = random.Random(3)
+    say = lambda k: "".join(rng.choice("abcdefghijklmnop ") for _ in range(k))
+    long = say(300)
+    return [say(rng.randint(300, 700)) + " all rights reserved worldwide " + (long if i % 40 == 0 else say(300)) for i in range(n)]
+
+
+def test_short_phrase_in_all_documents_is_dealt_apart(spark, monkeypatch):
+    texts = phrase_texts(600)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    total, limit = sum(map(len, texts)), 12_000
+    hot = bwt_dedup.hot_hashes(df.select(bwt_dedup.text_bytes("text").alias("t")), total, limit=limit)
+    assert len(hot)
+    docs = [(i, 1, t.encode()) for i, t in enumerate(texts)]
+
+    def largest(own):
+        """Bytes of pieces under one smallest hash, and rows under one window hash."""
+        held, windows = {}, {}
+        for bucket, kind, blob in (r for at in range(0, 600, 200) for r in bwt_dedup._batch_rows(docs[at:at + 200], 1, 100, own)):
+            if kind == 0:
+                p, _ = bwt_dedup._unpack_pieces(blob)
+                for v, n in zip(p["value"].tolist(), p["windows"].tolist()):
+                    held[v] = held.get(v, 0) + n + 99
+            elif kind == 2:
+                for v in bwt_dedup._unpack_pieces(blob, bwt_dedup._WINDOW_FIELDS)[0]["high"].tolist():
+                    windows[v] = windows.get(v, 0) + 1
+        return max(held.values()), max(windows.values(), default=0)
+
+    assert largest(None)[0] > 3 * limit
+    assert largest(hot)[0] <= limit and largest(hot)[1] <= 3  # equal windows once per batch
+    monkeypatch.setattr(bwt_dedup, "HOT_BYTES", limit)
+    got = sorted((r.doc_id, r.n_bytes, sum(r.spans[1::2]) - sum(r.spans[::2]), len(r.spans) // 2, hashlib.sha256(bytes(r.kept)).hexdigest()) for r in bwt_dedup.remove_repeats(df).collect())
+    assert got == brute([(i, t.encode()) for i, t in enumerate(texts)]) and any(g[2] for g in got)
+
+
+def test_all_hashes_hot_changes_nothing(spark, monkeypatch):
+    monkeypatch.setattr(bwt_dedup, "HOT_BYTES", 1)
+    texts = fixture()
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)] + [(500, None)], "doc_id long, text string").repartition(4)
+    got = sorted((r.doc_id, r.n_bytes, sum(r.spans[1::2]) - sum(r.spans[::2]), len(r.spans) // 2, hashlib.sha256(bytes(r.kept)).hexdigest()) for r in bwt_dedup.remove_repeats(df).collect())
+    assert got == brute([(i, t.encode()) for i, t in enumerate(texts)] + [(500, b"")])
