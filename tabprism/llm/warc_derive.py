@@ -7,6 +7,11 @@ WARC-Refers-To-Payload-Digest; the metadata names the conversion and the other w
 (WARC-Concurrent-To). Record ids are UUIDs of the response id, type and block digest, so
 a repeated run gives the same records. Digests are SHA-1 in base 32.
 
+Links are those of the page without comments and without the bodies of scripts and styles;
+their opening tags, and what noscript and template hold, count. The source's HTTP headers
+stand in ``fields`` as [name, value] in their order, repeated ones each; ``headers`` gives
+them by name, a name that repeats with the list of its values.
+
 Defined results: a null URL gives no target header, null HTML an empty payload and text;
 ids may be null; repeated rows give repeated records; an empty table gives none; other
 columns are ignored.
@@ -31,6 +36,7 @@ from tabprism.llm.common import slices
 
 DATE = "1970-01-01T00:00:00Z"
 HIDDEN = re.compile(r"<!--.*?-->|<(script|style|noscript|template)\b.*?</\1\s*>", re.S | re.I)
+UNREAD = re.compile(r"<!--.*?-->|(<(script|style)\b[^>]*>).*?</\2\s*>", re.S | re.I)
 TITLE = re.compile(r"<title\b[^>]*>(.*?)</title\s*>", re.S | re.I)
 HEAD = re.compile(r"<head\b[^>]*>.*?</head\s*>", re.S | re.I)
 BLOCK = re.compile(r"</?(?:p|div|br|hr|li|ul|ol|dl|dt|dd|table|tr|h[1-6]|section|article|header|footer|nav|main|aside|blockquote|pre|form|figure|title)\b[^>]*>", re.I)
@@ -57,7 +63,7 @@ def plain_text(page: str) -> str:
 def links(page: str, base: str) -> list[dict[str, str]]:
     """Links in order of appearance, made absolute where the URL allows."""
     out = []
-    for m in LINK.finditer(HIDDEN.sub(" ", page)):
+    for m in LINK.finditer(UNREAD.sub(lambda u: u[1] or " ", page)):
         to = html.unescape(next(x for x in m.group(3, 4, 5) if x is not None)).strip()
         try:
             to = urljoin(base, to)
@@ -67,6 +73,27 @@ def links(page: str, base: str) -> list[dict[str, str]]:
     return out
 
 
+def http_fields(lines: list[str]) -> list[list[str | None]]:
+    """[name, value] of each header line; a folded line goes on with the value before it,
+    a line without a colon has no value."""
+    out: list[list[str | None]] = []
+    for line in lines:
+        if out and line[:1] in (" ", "\t"):
+            out[-1][1] = f"{out[-1][1] or ''} {line.strip()}".strip()
+        elif line.strip():
+            name, colon, value = line.partition(":")
+            out.append([name.strip(), value.strip() if colon else None])
+    return out
+
+
+def by_name(fields: list[list[str | None]]) -> dict[str, str | None | list[str | None]]:
+    """Values by name; all of them in order where a name repeats."""
+    out: dict[str, list[str | None]] = {}
+    for name, value in fields:
+        out.setdefault(name, []).append(value)
+    return {name: own if len(own) > 1 else own[0] for name, own in out.items()}
+
+
 def header(fields: list[tuple[str, str | None]]) -> str:
     return "WARC/1.1\r\n" + "".join(f"{k}: {v}\r\n" for k, v in fields if v is not None) + "\r\n"
 
@@ -96,9 +123,10 @@ def derive(records: DataFrame) -> DataFrame:
         page, found = payload.decode("utf-8", "replace"), digest(payload)
         title, own = TITLE.search(page), links(page, uri or "")
         text = plain_text(page).encode()
-        status, *fields = http.rstrip("\r\n").split("\r\n")
+        status, *lines = http.rstrip("\r\n").split("\r\n")
+        fields = http_fields(lines)
         envelope = {"source": {"record_id": source, "target_uri": uri, "date": date, "payload_digest": found, "payload_length": len(payload)},
-                    "http": {"status": status, "headers": dict(f.split(": ", 1) for f in fields if ": " in f)},
+                    "http": {"status": status, "headers": by_name(fields), "fields": fields},
                     "html": {"title": html.unescape(TAG.sub("", title[1])).strip() if title else None, "links": own},
                     "text": {"digest": digest(text), "length": len(text)}}
         meta = json.dumps(envelope, ensure_ascii=False, sort_keys=True).encode()

@@ -65,3 +65,24 @@ def test_edge_rows(spark):
         parse(r.header.encode() + bytes(r.content) + b"\r\n\r\n")
     assert len({(r.record_id) for r in got}) == 12
     assert warc_derive.derive(warc_derive.responses(pages.limit(0))).count() == 0
+
+
+def test_external_scripts_and_noscript_are_links():
+    page = ("<head><script src='/a.js' defer></script><SCRIPT type=module SRC=b.js>var x = '<img src=no.png>';</SCRIPT ><style>a{} <a href=no></style></head>"
+            "<!-- <script src=no.js></script> --><noscript><img src='n.png'><iframe src=f.html></iframe></noscript><template><a href=t>t</a></template><script>'<a href=no>'</script>")
+    assert [(x["path"], x["url"]) for x in warc_derive.links(page, "http://h.example/d/")] == [
+        ("SCRIPT@/src", "http://h.example/a.js"), ("SCRIPT@/src", "http://h.example/d/b.js"), ("IMG@/src", "http://h.example/d/n.png"),
+        ("IFRAME@/src", "http://h.example/d/f.html"), ("A@/href", "http://h.example/d/t")]
+    assert warc_derive.plain_text(page) == ""
+
+
+def test_source_headers_are_all_kept_in_order(spark):
+    http = "HTTP/1.1 200 OK\r\nSet-Cookie: a=1; Path=/\r\nName:value\r\nVary: Accept\r\nSet-Cookie: b=2\r\nLong: one\r\n two\r\nEmpty:\r\nodd\r\n\r\n"
+    records = spark.createDataFrame([(1, "<urn:uuid:1>", "http://h.example/", warc_derive.DATE, http, bytearray(b"<script src=x.js></script>"))],
+                                    "id long, record_id string, target_uri string, date string, http string, payload binary")
+    r = next(r for r in warc_derive.derive(records).collect() if r.warc_type == "metadata")
+    data = json.loads(bytes(r.content))
+    assert data["http"]["fields"] == [["Set-Cookie", "a=1; Path=/"], ["Name", "value"], ["Vary", "Accept"], ["Set-Cookie", "b=2"], ["Long", "one two"], ["Empty", ""], ["odd", None]]
+    assert data["http"]["headers"]["Set-Cookie"] == ["a=1; Path=/", "b=2"] and data["http"]["headers"]["Name"] == "value"
+    assert r.n_links == 1 and data["html"]["links"] == [{"path": "SCRIPT@/src", "url": "http://h.example/x.js"}]
+    assert r.block_digest == sha(bytes(r.content))
