@@ -7,9 +7,11 @@ from all documents of that language: Jensen-Shannon distance (base 2) between
  * common-word histograms (every word, as it is written, with at least ``COMMON_SHARE``
    of the language's words is a bin, all others share one).
 A short text strays from its reference by chance, in proportion to 1/sqrt(words), so each
-limit is ``floor + slope / sqrt(n_words)``; the word histogram is not judged below
-``MIN_WORDS_FOR_WORDS`` words, and a language with fewer than ``MIN_REFERENCE_WORDS``
-words in the corpus judges nothing.
+limit is ``floor + slope / sqrt(n_words)``. That term alone guards short texts: the word
+histogram is not judged below ``MIN_WORDS_FOR_WORDS`` words, but this is ``MIN_WORDS``, below
+which the base rules fail a text anyway, and the character histogram is judged from one word
+on. ``MIN_WORDS_FOR_WORDS`` was lowered from 50 by counts over labelled documents (README).
+A language with fewer than ``MIN_REFERENCE_WORDS`` words in the corpus judges nothing.
 
 Common words are found exactly without shuffling every distinct word: a word with the
 share s sits in a hash bucket with at least the share s, and at most 1/s buckets per
