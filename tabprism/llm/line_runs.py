@@ -4,10 +4,11 @@ A line's key is the line with ASCII white space stripped at both ends and A-Z
 lower-cased; the index holds 128-bit hashes of the keys that are long enough. A run is a
 table sorted by hash: (key, n documents, last document id). Each batch adds one run to
 level 0; ``fanout`` runs of a level are merged into one run of the next, so a key is
-rewritten a logarithmic number of times. A batch is cleaned by a merge join of its line
-hashes with the runs: lines whose key has ``min_docs`` documents go, except in the
-largest document id that holds it. Both facts only grow, so a line that a batch lost is
-never wanted back.
+rewritten a logarithmic number of times. Lines whose key has ``min_docs`` documents go,
+except in the largest document id that holds it. Both facts are known only when all batches
+are in, so the batches are not cleaned one by one: after the last one all runs become one
+table, which is joined once with the lines of all batches. The merges group by key with a
+shuffle and do not use the runs' order.
 
 Defined results: null text = one empty line; a row is a document (repeated rows count
 each; an id that repeats keeps the line in all its rows); null ids count as documents,
