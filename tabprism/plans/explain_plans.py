@@ -155,7 +155,7 @@ SAMPLING_METHODS = ["gaussian", "lhs"]
 def _explained_model(spark, sf):
     prep, pre = prepared(spark, sf)
     train = prep.where(F.col("split") == "train")
-    cfg = M.scaled(M.model_grid()[6], 0.05, 6)  # forest C1, smoke-sized
+    cfg = M.model_grid()[6]  # forest C1, whole
     model = M.estimator(cfg, 1, 1.0).fit(train)
     return prep, model
 
