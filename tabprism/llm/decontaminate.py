@@ -9,7 +9,8 @@ largest weights anywhere is skipped, then the blocks of 16 items (of like length
 block maxima cannot reach 1; terms whose maxima together stay below ``NON_ESSENTIAL`` join only
 in the final scores. All items at or above 1 are retrieved (no top-k), then verified: the
 shares of the word trigrams of its question and of its answer that the passage holds
-must both reach ``MIN_OVERLAP``. An item's answer starts after its last question mark or,
+must both reach ``MIN_OVERLAP``. An item of fewer words than two trigrams has no shares
+that tell: the passage must hold all its words in a row. An item's answer starts after its last question mark or,
 without one, at its middle word.
 
 The index is broadcast only while the items it holds are within ``GROUP_BYTES`` of text;
@@ -71,6 +72,10 @@ def overlap(part: list[str], passage: list[str]) -> float:
     return len(wanted & grams(passage, min(GRAM, len(part)) or GRAM)) / len(wanted) if wanted else 1.0
 
 
+def in_a_row(item: list[str], passage: list[str]) -> bool:
+    return any(passage[i:i + len(item)] == item for i in range(len(passage) - len(item) + 1))
+
+
 class ItemIndex:
     """Postings of one group of items, by term, with list and block maxima."""
 
@@ -148,6 +153,9 @@ class ItemIndex:
         words, best = words_of(text), {}
         for passage, item, score in self.search(words):
             held = words[passage * self.stride:(passage + 2) * self.stride]
+            own = words_of(self.texts[item])
+            if len(own) < 2 * GRAM and not in_a_row(own, held):
+                continue
             q, a = (overlap(part, held) for part in question_and_answer(self.texts[item]))
             if min(q, a) >= MIN_OVERLAP:
                 best[item] = max(best.get(item, (0.0, 0.0, 0.0)), (round(score * MIN_SCORE, 6), round(q, 6), round(a, 6)))

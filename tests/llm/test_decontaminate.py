@@ -95,3 +95,11 @@ def test_empty_tables(spark):
     assert D.contaminated(docs, items.limit(0)).count() == 0
     assert D.without_leaks(docs, items.limit(0)).count() == 1
     assert D.contaminated(docs, items).count() == 1
+
+
+def test_scattered_words_of_short_items_stay(spark):
+    items = spark.createDataFrame([(1, "blue whale"), (2, "Who sings? nobody"), (3, " ".join(f"w{i}" for i in range(30)))], "item_id long, text string")
+    rows = [(1, "a whale swims in the blue sea"), (2, "the Blue Whale swims"), (3, "nobody here knows who sings"), (4, "who sings nobody"), (5, "plain text")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted((r.doc_id, r.item_id) for r in D.contaminated(docs, items).collect()) == [(2, 1), (4, 2)]
+    assert sorted(r.doc_id for r in D.without_leaks(docs, items).collect()) == [1, 3, 5]
