@@ -8,7 +8,7 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabprism.llm import bpe_dp, bpe_matrix, bwt_dedup, conversations, decontaminate, divergence, license_rules, line_runs, lpt_shards, mph_index, simhash, warc_derive
+from tabprism.llm import bpe_dp, bpe_matrix, bwt_dedup, conversations, decontaminate, divergence, license_rules, line_runs, lpt_shards, mph_index, simhash, spelling, warc_derive
 from tabprism.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -86,6 +86,11 @@ def op10_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_runs.dedup_lines(read_table(spark, sf_dir, "documents")).drop("kept_text")
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spelling variants among the words of all documents, with planted deletions."""
+    return spelling.spelling_groups(read_table(spark, sf_dir, "documents"), damage=spelling.DAMAGE_PRIME)
+
+
 def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cheapest repair of every damaged conversation."""
     rows, copies = conversations.damaged(read_table(spark, sf_dir, "conversations"))
@@ -198,7 +203,8 @@ FROM judged GROUP BY doc_id
 
 
 def queries() -> dict[str, Query]:
-    own = (op1_mph_index, op2_lpt_shards, op3_divergence, op4_license_rules, op5_warc_derive, op6_bpe_dp, op7_bwt_dedup, op8_decontaminate, op9_simhash, op10_line_runs, op12_conversation_repair, op13_bpe_matrix, pipeline)
+    own = (op1_mph_index, op2_lpt_shards, op3_divergence, op4_license_rules, op5_warc_derive, op6_bpe_dp, op7_bwt_dedup, op8_decontaminate, op9_simhash,
+           op10_line_runs, op11_spelling, op12_conversation_repair, op13_bpe_matrix, pipeline)
     return {f.__name__: f for f in own}
 
 
