@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabprism.llm import bpe_dp, decontaminate, divergence, line_runs, simhash
-from tabprism.llm.common import shared_folder
+from tabprism.llm.common import remove, shared_folder
 from tabprism.sources.tables import read_table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -74,7 +74,8 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Apply all stages to the documents of ``sf_dir``; each result is written and reread."""
+    """Apply all stages to the documents of ``sf_dir``; each result is written and reread, and
+    removed when the next one is there. The last one stays: the returned rows come from it."""
     folder = shared_folder(spark, "corpus-pipeline")
     docs = read_table(spark, sf_dir, "documents")
     for k, (_, stage) in enumerate(STAGES):
@@ -82,4 +83,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         path = f"{folder}/stage-{k}"
         out.write.parquet(path)
         docs = spark.read.schema(out.schema).parquet(path)
+        if k:
+            remove(spark, f"{folder}/stage-{k - 1}")
     return docs

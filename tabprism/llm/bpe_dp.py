@@ -8,8 +8,9 @@ across the border between them. Back-pointers then give the ids. The result is t
 of greedy merging, in time linear in the text for any pre-token length.
 
 The tokenizer file (byte-level BPE) is a parameter; every Python worker builds the tables
-once and keeps the ids of the pre-tokens it has met in a dictionary of bounded size (a
-memo only: what is not in it is encoded anew).
+once and keeps the ids of the short pre-tokens it has met in a dictionary of up to
+``MEMO_BYTES`` (a memo only: what is not in it is encoded anew), dropped when a task ends.
+A very long text, or one unbroken run of letters, is encoded whole.
 
 Defined results: null text encodes as ''; special tokens of the file that occur in a text
 become their ids and decode to their strings, as the tokenizers library does by default;
@@ -45,8 +46,10 @@ PATTERN = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^" + SPACE + r"\p{L}\p
 CHUNKS = re.compile(r"\s?\S+|\s+(?=\s\S)|\s+")
 ODD_SPACE = re.compile("[\x1c-\x1f]")
 
-MEMO = 600_000
-PAIRS = 1_000_000
+MEMO_BYTES = 48 << 20
+MEMO_CHARS = 64  # longer ones are not kept
+MEMO_ENTRY = 200  # bytes of two small objects and their place in the dictionary
+PAIRS = 300_000
 NEVER = 1 << 40
 START = 1 << 19  # stands for the start of a word in place of a token
 
@@ -98,7 +101,7 @@ class BpeTables:
         self._fit: dict[int, bool] = {}
         self.split = regex.compile(PATTERN)
         self.at_special = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
-        self.memo: dict[str, bytes] = {}
+        self.forget()
         self.length = [len(self.bytes.get(i, b"")) for i in range(max(self.bytes) + 1)]
         self._size = np.array(self.length)
         self._start = np.cumsum(self._size) - self._size
@@ -170,9 +173,22 @@ class BpeTables:
         words.update(c for c in chunks if c not in mixed)
         new = list(words)
         memo.update(zip(new, self.encode_words(new)))
-        for c, own in mixed.items():
-            if len(own) > 1:
-                memo[c] = b"".join(map(memo.__getitem__, own))
+        made = [c for c, own in mixed.items() if len(own) > 1]
+        for c in made:
+            memo[c] = b"".join(map(memo.__getitem__, mixed[c]))
+        new += made
+        self._long += [c for c in new if len(c) > MEMO_CHARS]
+        self._held += sum(map(len, new)) + sum(len(memo[c]) for c in new) + MEMO_ENTRY * len(new)
+
+    def forget(self) -> None:
+        """Drop the memo."""
+        self.memo: dict[str, bytes] = {}
+        self._held, self._long = 0, []
+
+    def _forget_long(self) -> None:
+        for c in self._long:
+            self._held -= len(c) + len(self.memo.pop(c)) + MEMO_ENTRY
+        self._long = []
 
     def _cut(self, text: str) -> list[str]:
         return ([text] if text else []) if ODD_SPACE.search(text) else CHUNKS.findall(text)
@@ -186,12 +202,11 @@ class BpeTables:
             else:
                 cut.append([x for i, p in enumerate(self.at_special.split(text))
                             for x in ([self.special[p].to_bytes(4, "little")] if i % 2 else self._cut(p))])
+        if self._held > MEMO_BYTES:
+            self.forget()
         memo = self.memo
         new = {c for own in cut for c in own if c not in memo and not isinstance(c, bytes)}
         if new:
-            if len(memo) + len(new) > MEMO:
-                memo.clear()
-                new = {c for own in cut for c in own if not isinstance(c, bytes)}
             self._learn(new)
         out = []
         for own in cut:
@@ -200,6 +215,7 @@ class BpeTables:
             except KeyError:  # special tokens
                 ids = b"".join(c if isinstance(c, bytes) else memo[c] for c in own)
             out.append(np.frombuffer(ids, dtype="<i4"))
+        self._forget_long()
         return out
 
     def encode(self, text: str) -> np.ndarray:
@@ -230,12 +246,15 @@ def encode_decode(df: DataFrame, tokenizer: str, id_col: str = "doc_id", text_co
     """Per document: its id, ``ids`` (array of int) and ``decoded``, the text of these ids."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = tables(tokenizer)
-        for b in slices(batches, 1):
-            ids = bpe.encode_batch([t.as_py().decode("utf-8", "replace") for t in b.column(1)])
-            ends = np.cumsum([0] + [len(x) for x in ids], dtype=np.int32)
-            flat = pa.array(np.concatenate(ids) if ids else np.empty(0, np.int32), pa.int32())
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.ListArray.from_arrays(pa.array(ends), flat),
-                                              pa.array(map(bpe.decode, ids), pa.string())], ["id", "ids", "decoded"])
+        try:
+            for b in slices(batches, 1):
+                ids = bpe.encode_batch([t.as_py().decode("utf-8", "replace") for t in b.column(1)])
+                ends = np.cumsum([0] + [len(x) for x in ids], dtype=np.int32)
+                flat = pa.array(np.concatenate(ids) if ids else np.empty(0, np.int32), pa.int32())
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.ListArray.from_arrays(pa.array(ends), flat),
+                                                  pa.array(map(bpe.decode, ids), pa.string())], ["id", "ids", "decoded"])
+        finally:
+            bpe.forget()
 
     kind = df.schema[id_col].dataType.simpleString()
     out = df.select(F.col(id_col).alias("id"), text_bytes(text_col).alias("t")).mapInArrow(run, f"id {kind}, ids array<int>, decoded string")

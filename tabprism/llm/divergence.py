@@ -131,9 +131,24 @@ def _term(p: Column, q: Column) -> Column:
     return p * F.log2(2 * p / m) + F.when(q > 0, q * F.log2(2 * q / m)).otherwise(0.0)
 
 
-def judge(df: DataFrame, lang_col: str, text_col: str, kept_cols: list[str]) -> DataFrame:
+def class_sums(rows: DataFrame) -> DataFrame:
+    """Code points per class and language of rows (__lang, __text); one row a language."""
+    counted = rows.withColumn("__space", F.length("__text") - F.length(F.regexp_replace("__text", SPACE, "")))
+    for name, count in _char_counts(F.col("__text"), F.length("__text") - F.col("__space")).items():
+        counted = counted.withColumn(f"__{name}", count)
+    rest = sum((F.col(f"__{b}") for b in BINS if b != "other"), F.lit(0))
+    return checkpoint(_summed(counted.withColumn("__other", F.length("__text") - rest)))
+
+
+def _summed(counted: DataFrame) -> DataFrame:
+    return counted.groupBy(F.col("__lang").alias("ref_lang")).agg(*[F.sum(f"__{b}").alias(f"__{b}_all") for b in BINS])
+
+
+def judge(df: DataFrame, lang_col: str, text_col: str, kept_cols: list[str], wide: bool = False) -> DataFrame:
     """The named columns of ``df`` as struct ``__row``, the figures, both distances and the
-    verdict, one row per row."""
+    verdict, one row per row. The class histograms of the languages need all texts: either
+    the rows are kept meanwhile with their figures, or (``wide``: the rows hold the texts) the
+    classes are counted in a pass of their own, so that no text is kept."""
     rows = df.select(F.struct(*[F.col(f"`{n}`") for n in kept_cols]).alias("__row"), F.col(lang_col).alias("__lang"),
                      F.coalesce(F.col(text_col), F.lit("")).alias("__text"))
     refs = common_words(rows.select("__lang", "__text"))
@@ -155,10 +170,12 @@ def judge(df: DataFrame, lang_col: str, text_col: str, kept_cols: list[str]) ->
     other = F.when(p_other > 1e-12, _term(p_other, q_other)).otherwise(q_other)
     own = own.withColumn("__word_sum", F.col("__sums.d") + (F.col("__q") - F.col("__sums.q")) + other)
     counts = [f"__{b}" for b in BINS]
-    own = checkpoint(own.select("__row", "__lang", "total", "__word_sum", *FIGURES, *counts))
+    own = own.select("__row", "__lang", "total", "__word_sum", *FIGURES, *counts)
+    if not wide:
+        own = checkpoint(own)
 
     chars = sum((F.col(c) for c in counts), F.lit(0))
-    refs = own.groupBy(F.col("__lang").alias("ref_lang")).agg(*[F.sum(c).alias(f"{c}_all") for c in counts])
+    refs = class_sums(rows.select("__lang", "__text")) if wide else _summed(own)
     own = own.join(small(refs), F.col("__lang").eqNullSafe(F.col("ref_lang")))
     all_chars = F.greatest(sum((F.col(f"{c}_all") for c in counts), F.lit(0)), F.lit(1))
     char_sum = F.lit(0.0)
@@ -181,4 +198,6 @@ def quality(df: DataFrame, id_col: str = "doc_id", lang_col: str = "lang", text_
 
 def keep_good(df: DataFrame, lang_col: str = "lang", text_col: str = "text") -> DataFrame:
     """Rows of ``df`` that the rules keep, with its own columns."""
-    return judge(df, lang_col, text_col, df.columns).where("kept").select(*[F.col(f"__row.`{n}`").alias(n) for n in df.columns])
+    # The number keeps the filter above the projection: below it the figures would be spelled out again in the condition.
+    judged = judge(df, lang_col, text_col, df.columns, wide=True).select("__row", "kept", F.monotonically_increasing_id().alias("__number"))
+    return judged.where("kept AND __number >= 0").select(*[F.col(f"__row.`{n}`").alias(n) for n in df.columns])

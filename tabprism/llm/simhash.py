@@ -27,7 +27,7 @@ import numpy as np
 import pyarrow as pa
 import pyspark.sql.functions as F
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 
 from tabprism.llm.common import LOWER_AZ, checkpoint, partitions_for, slices, text_bytes
 from tabprism.llm.components import components
@@ -54,15 +54,6 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
     return int.from_bytes(np.packbits(counts * 2 > len(hashes), bitorder="little").tobytes(), "little")
 
 
-def with_fingerprint(df: DataFrame, text_col: str = "text", out: str = "__fp", shingle: int = SHINGLE) -> DataFrame:
-    """``df`` plus a signed 64-bit fingerprint column; rows and their columns pass whole."""
-    @F.arrow_udf("long")
-    def simhash64(texts: pa.Array) -> pa.Array:
-        return pa.array(np.fromiter((fingerprint(t.as_py() or b"", shingle) for t in texts), dtype="<u8", count=len(texts)).view("<i8"))
-
-    return df.withColumn(out, simhash64(text_bytes(text_col)))
-
-
 def _fingerprints(df: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, 1):
@@ -244,15 +235,29 @@ def simhash_near_dups(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("first_id").alias("component_id"))
 
 
+def _row_hash(df: DataFrame) -> list[Column]:
+    """Two hashes of a whole row (map columns aside), for telling rows of one id apart."""
+    own = [F.col(f"`{f.name}`") for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
+    return [F.xxhash64(*[c.isNull() for c in own], *own).alias("__h1"), F.hash(*reversed(own), F.lit(1)).alias("__h2")]
+
+
 def keep_first(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """Rows of ``df`` with one document of each component left: that of the smallest id.
-    Rows that share this id: exactly one of them stays, whichever Spark reads first."""
-    names = df.columns
-    wide = df.select(F.struct(*[F.col(f"`{n}`") for n in names]).alias("__row"), F.col(id_col).alias("__id"), F.col(text_col).alias("__text"))
-    prints = checkpoint(_fingerprints(wide, "__id", "__text", shingle))
+    """Rows of ``df`` with one document of each component left: that of the smallest id. Of
+    rows that share this id, the one with the smallest hash of its columns stays, whatever
+    the partitions; of rows equal in all columns, one."""
+    hashes = _row_hash(df)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches, 3):
+            prints = np.fromiter((fingerprint(t.as_py(), shingle) for t in b.column(3)), dtype="<u8", count=b.num_rows)
+            yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(prints.view("<i8"))], ["h1", "h2", "id", "fp"])
+
+    kind = df.schema[id_col].dataType.simpleString()
+    narrow = df.select(*hashes, F.col(id_col).alias("id"), text_bytes(text_col).alias("t")).mapInArrow(run, f"h1 long, h2 int, id {kind}, fp long")
+    prints = checkpoint(narrow)
     groups = simhash_groups(prints, "id", "fp", radius)
-    tagged = with_fingerprint(wide, "__text", "__fp", shingle).drop("__text")
-    kept = (tagged.join(groups, F.col("__fp") == F.col("fp"))
-            .where(F.col("__id").eqNullSafe(F.col("first_id"))).dropDuplicates(["root"]))
-    return kept.select(*[F.col(f"__row.`{n}`").alias(n) for n in names])
+    first = prints.join(groups, "fp").where(F.col("id").eqNullSafe(F.col("first_id")))
+    first = first.groupBy("root").agg(F.min(F.struct("h1", "h2")).alias("h")).select(F.col("h.h1").alias("__k1"), F.col("h.h2").alias("__k2"))
+    wide = df.select("*", *hashes).join(first.hint("merge"), (F.col("__h1") == F.col("__k1")) & (F.col("__h2") == F.col("__k2")))
+    return wide.dropDuplicates(["__h1", "__h2"]).select(*[F.col(f"`{n}`") for n in df.columns])

@@ -47,7 +47,7 @@ def test_decode_of_broken_bytes(library):
 
 
 def test_memo_limit_changes_nothing(library, monkeypatch):
-    monkeypatch.setattr(bpe_dp, "MEMO", 10)
+    monkeypatch.setattr(bpe_dp, "MEMO_BYTES", 2000)
     monkeypatch.setattr(bpe_dp, "PAIRS", 10)
     mine = bpe_dp.BpeTables(FILE)
     text = "the of and to a in is that, it. for on? was with as be by this are at from"
@@ -69,3 +69,18 @@ def test_query_and_edge_rows(spark, library):
     rows = bpe_dp.encode_decode(edge, FILE).collect()
     assert sorted((str(r.doc_id), len(r.ids), len(r.decoded)) for r in rows) == [("3", 0, 0), ("3", 0, 0), ("4", 60_001, 300_000), ("None", 0, 0)]
     assert bpe_dp.encode_decode(edge.limit(0), FILE).count() == 0
+
+
+def test_memo_stays_within_its_bytes_and_is_dropped(monkeypatch):
+    own = bpe_dp.BpeTables(queries.tokenizer_file("byte_bpe_50k.json"))
+    library = Tokenizer.from_file(queries.tokenizer_file("byte_bpe_50k.json"))
+    monkeypatch.setattr(bpe_dp, "MEMO_BYTES", 30_000)
+    draw = random.Random(8)
+    for _ in range(20):
+        text = " ".join("".join(draw.choice("etaoin") for _ in range(draw.randrange(1, 90))) for _ in range(40)) + "z" * 5000
+        assert own.encode(text).tolist() == library.encode(text, add_special_tokens=False).ids
+        assert own._held <= 30_000 + 40 * (64 * 5 + bpe_dp.MEMO_ENTRY)
+        assert own._held == sum(len(c) + len(x) + bpe_dp.MEMO_ENTRY for c, x in own.memo.items())
+        assert all(len(c) <= bpe_dp.MEMO_CHARS for c in own.memo)
+    own.forget()
+    assert not own.memo and not own._held

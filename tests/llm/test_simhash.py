@@ -96,3 +96,16 @@ def test_long_chain_of_links(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(200)] + [(500, 501), (501, 500), (7, 7)], "a long, b long")
     got = {r.node: r.root for r in components(edges, "a", "b").collect()}
     assert got == {**{i: 0 for i in range(1, 201)}, 501: 500}
+
+
+def test_survivor_does_not_depend_on_partitions(spark):
+    text = "one two three four five six seven eight nine ten"
+    rows = [(1, text, c, float(k)) for k, c in enumerate("zyxwvutsrq")] + [(1, text, "z", 0.0)] + [(2, text, "a", 0.0), (None, text, "b", 1.0)]
+    found = set()
+    for parts in (1, 3, 11):
+        for order in (rows, rows[::-1]):
+            df = spark.createDataFrame(order, "doc_id long, text string, source string, h1 double").repartition(parts)
+            out = simhash.keep_first(df)
+            assert out.columns == df.columns
+            found.add(tuple(map(tuple, out.collect())))
+    assert len(found) == 1 and len(found.pop()) == 1
