@@ -1,33 +1,15 @@
-"""Explanations (section 2J), re-aimed from per-row libraries to Spark jobs.
+"""Exact attributions of a linear model (section 2J) and the inverse normal CDF of the draws.
 
-* linear contributions (exact SHAP of a linear model): ``coef * (x - baseline)``,
-  pure column arithmetic on the long (row, feature) table;
-* LIME (Ribeiro et al. 2016): per observation and setting, ``n`` perturbed rows are
-  generated with hash-seeded draws (gaussian or Latin hypercube), scored by the
-  Spark ML model, weighted by an exponential kernel, and a small weighted ridge is
-  solved per (observation, setting) group with ``applyInPandas`` (<= n rows each);
-* sampled SHAP (Strumbelj & Kononenko 2014): per observation, ``P`` hash-ranked
-  feature permutations x (F + 1) prefix rows, scored by the model; the marginal
-  contribution is the difference to the previous prefix (``lag`` inside a group of
-  F + 1 rows), averaged over permutations.
-
-Randomness is always a hash of (observation, setting, sample, feature): results do
-not depend on partitioning and survive task retries.
+Linear contributions (exact SHAP of a linear model) are ``coef * (x - baseline)``: pure
+column arithmetic on the long (row, feature) table. Explanations of any fitted model are
+in :mod:`tabprism.operators.attribution`.
 """
 
 from __future__ import annotations
 
-import math
-from collections.abc import Sequence
-
-import numpy as np
-import pandas as pd
-from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabprism.operators.quantiles import exact_quantiles
-from tabprism.operators.ranking import top_abs
 
 
 # ------------------------------------------------------------------ linear contributions
@@ -52,20 +34,6 @@ def global_importance(contrib: DataFrame, k: int = 5) -> DataFrame:
 
 
 # ------------------------------------------------------------------ draws
-def hash_uniform(*parts: Column) -> Column:
-    """A uniform in (0, 1) from a 53-bit slice of sha2 over the parts."""
-    h = F.sha2(F.concat_ws("|", *[p.cast("string") for p in parts]), 256)
-    v = F.conv(F.substring(h, 1, 13), 16, 10).cast("double")  # 52 bits
-    return (v + 0.5) / F.lit(float(2 ** 52))
-
-
-def gaussian_draw(*parts: Column) -> Column:
-    """Box-Muller normal from two hash uniforms."""
-    u1 = hash_uniform(*parts, F.lit("a"))
-    u2 = hash_uniform(*parts, F.lit("b"))
-    return F.sqrt(-2.0 * F.log(u1)) * F.cos(2.0 * math.pi * u2)
-
-
 # Coefficients of Acklam's rational approximation to the inverse normal CDF.
 _PPF_A = [-3.969683028665376e+01, 2.209460984245205e+02, -2.759285104469687e+02,
           1.383577518672690e+02, -3.066479806614716e+01, 2.506628277459239e+00]
@@ -94,124 +62,3 @@ def normal_ppf(u: Column) -> Column:
     tail_hi = -_poly(_PPF_C, q_hi) / (_poly(_PPF_D, q_hi) * q_hi + 1.0)
     central = _poly(_PPF_A, r) * q / (_poly(_PPF_B, r) * r + 1.0)
     return F.when(u < p_low, tail_lo).when(u > 1.0 - p_low, tail_hi).otherwise(central)
-
-
-# ------------------------------------------------------------------ LIME
-def _with_slots(features: Column, n_slots: int, values: Column) -> Column:
-    """Replace the first ``n_slots`` entries of a vector column with ``values``."""
-    arr = vector_to_array(features)
-    merged = F.concat(values, F.slice(arr, n_slots + 1, F.size(arr) - n_slots))
-    return array_to_vector(merged)
-
-
-def _ridge_group(feature_names: Sequence[str], alpha: float = 1.0):
-    names = list(feature_names)
-
-    def solve(pdf: pd.DataFrame) -> pd.DataFrame:
-        X = np.vstack(pdf["z"].to_numpy()).astype(float)
-        y = pdf["pred"].to_numpy(dtype=float)
-        w = pdf["kw"].to_numpy(dtype=float)
-        sw = w.sum()
-        xm = (w[:, None] * X).sum(0) / sw
-        ym = (w * y).sum() / sw
-        Xc, yc = X - xm, y - ym
-        A = (Xc * w[:, None]).T @ Xc + alpha * np.eye(X.shape[1])
-        coef = np.linalg.solve(A, (Xc * w[:, None]).T @ yc)
-        first = pdf.iloc[0]
-        return pd.DataFrame({"model": first["model"], "obs_id": first["obs_id"],
-                             "setting": first["setting"], "feature": names, "weight": coef})
-    return solve
-
-
-def lime_explain(model, obs: DataFrame, train_scaled: DataFrame, feature_names: Sequence[str],
-                 settings: Sequence[tuple[int, float, str]], model_name: str, key: str = "listing_id",
-                 features: str = "features") -> DataFrame:
-    """LIME weights for each observation x setting ``(n, kernel_width, sampling)``.
-
-    Perturbations live in the standardized numeric slots (the first
-    ``len(feature_names)`` vector entries; train mean 0, std 1); other slots keep the
-    observation's values. The interpretable representation is "same train-quartile
-    bin as the observation" per feature (discretized LIME); weights are a weighted
-    ridge (alpha 1) of the model output on it.
-    """
-    nf = len(feature_names)
-    spark = obs.sparkSession
-    q = exact_quantiles(train_scaled, "value", [0.25, 0.5, 0.75], ["feature"], ["q1", "q2", "q3"]).drop("n")
-    # fitted discretizer: 3 edges per feature (bounded by the feature list), frozen as literals
-    edges = {r["feature"]: (r["q1"], r["q2"], r["q3"]) for r in q.collect()}
-
-    def bin_of(v: Column, feat: str) -> Column:
-        return sum((F.lit(float(e)) < v).cast("int") for e in edges[feat])
-
-    sets = spark.createDataFrame([(i, n, kw, s) for i, (n, kw, s) in enumerate(settings)],
-                                 "setting int, n int, kernel_width double, sampling string")
-    base = obs.select(F.col(key).alias("obs_id"), F.col(features).alias("_f"),
-                      F.slice(vector_to_array(F.col(features)), 1, nf).alias("_x0"))
-    # settings are a fixed small list carried as an array literal: a bounded fan-out
-    # of settings x n samples per observation, no join
-    set_arr = F.array(*[F.struct(F.lit(i).alias("setting"), F.lit(n).alias("n"),
-                                 F.lit(float(kw)).alias("kernel_width"), F.lit(sm).alias("sampling"))
-                        for i, (n, kw, sm) in enumerate(settings)])
-    rows = base.select("*", F.inline(set_arr))
-    rows = rows.select("*", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("s"))
-    draws = []
-    for j in range(nf):
-        g = gaussian_draw(F.col("obs_id"), F.col("n"), F.col("s"), F.lit(j))
-        u = hash_uniform(F.col("obs_id"), F.col("n"), F.col("s"), F.lit(j), F.lit("lhs"))
-        draws.append(F.when(F.col("sampling") == "gaussian", g).otherwise(u).alias(f"_d{j}"))
-    rows = rows.select("*", *draws)
-    # Latin hypercube: stratum = rank of the draw within (obs, setting, feature); n <= a few thousand
-    for j in range(nf):
-        w = Window.partitionBy("obs_id", "setting").orderBy(f"_d{j}", "s")
-        rows = rows.withColumn(f"_r{j}", F.row_number().over(w) - 1)
-    lhs_u = [((F.col(f"_r{j}") + hash_uniform(F.col("obs_id"), F.col("s"), F.lit(j), F.lit("jit"))) / F.col("n"))
-             for j in range(nf)]
-    rows = rows.select("*", *[normal_ppf(u).alias(f"_l{j}") for j, u in enumerate(lhs_u)])
-    zs = [F.when(F.col("sampling") == "gaussian", F.col(f"_d{j}")).otherwise(F.col(f"_l{j}")) for j in range(nf)]
-    # sample 0 is the observation itself
-    zs = [F.when(F.col("s") == 0, F.col("_x0")[j]).otherwise(z) for j, z in enumerate(zs)]
-    rows = rows.select("obs_id", "setting", "s", "kernel_width", "_f", "_x0", F.array(*zs).alias("_z"))
-    same = [(bin_of(F.col("_z")[j], feature_names[j]) == bin_of(F.col("_x0")[j], feature_names[j]))
-            .cast("double") for j in range(nf)]
-    dist2 = sum((1.0 - b) * (1.0 - b) for b in same)
-    rows = rows.select("obs_id", "setting", F.array(*same).alias("z"),
-                       F.sqrt(F.exp(-dist2 / (F.col("kernel_width") ** 2))).alias("kw"),
-                       _with_slots(F.col("_f"), nf, F.col("_z")).alias(features))
-    scored = model.transform(rows).select(F.lit(model_name).alias("model"), "obs_id", "setting", "z", "kw",
-                                          F.col("prediction").alias("pred"))
-    out = scored.groupBy("model", "obs_id", "setting").applyInPandas(
-        _ridge_group(feature_names), "model string, obs_id long, setting int, feature string, weight double")
-    return out.join(F.broadcast(sets), "setting").select(
-        "model", "obs_id", F.col("n").alias("n_samples"), "kernel_width", "sampling", "feature", "weight")
-
-
-# ------------------------------------------------------------------ sampled SHAP
-def shap_sampled(model, obs: DataFrame, feature_names: Sequence[str], background: Sequence[float],
-                 permutations: int, model_name: str, key: str = "listing_id",
-                 features: str = "features") -> DataFrame:
-    """Permutation-sampled Shapley values of the first ``len(feature_names)``
-    slots against a background point; (model, obs_id, feature, weight).
-
-    Rows generated: observations x permutations x (F + 1); each (obs, perm) group
-    holds F + 1 rows, so the ``lag`` window is bounded.
-    """
-    nf = len(feature_names)
-    base = obs.select(F.col(key).alias("obs_id"), F.col(features).alias("_f"),
-                      F.slice(vector_to_array(F.col(features)), 1, nf).alias("_x0"))
-    rows = base.select("*", F.explode(F.sequence(F.lit(0), F.lit(permutations - 1))).alias("p"))
-    order = F.array_sort(F.array(*[F.struct(hash_uniform(F.col("obs_id"), F.col("p"), F.lit(j)).alias("h"),
-                                             F.lit(j).alias("j")) for j in range(nf)]))
-    rows = rows.select("*", F.transform(order, lambda s: s["j"]).alias("_perm"))
-    rows = rows.select("*", F.explode(F.sequence(F.lit(0), F.lit(nf))).alias("k"))
-    bg = F.array(*[F.lit(float(b)) for b in background])
-    # slot j takes the observation's value when it is among the first k of the permutation
-    prefix = F.slice(F.col("_perm"), 1, F.col("k"))
-    vals = F.array(*[F.when(F.array_contains(prefix, j), F.col("_x0")[j]).otherwise(bg[j]) for j in range(nf)])
-    rows = rows.select("obs_id", "p", "k", F.when(F.col("k") > 0, F.element_at("_perm", F.greatest(F.col("k"), F.lit(1)))).alias("_added"),
-                       _with_slots(F.col("_f"), nf, vals).alias(features))
-    scored = model.transform(rows).select("obs_id", "p", "k", "_added", "prediction")
-    w = Window.partitionBy("obs_id", "p").orderBy("k")
-    diffs = scored.withColumn("delta", F.col("prediction") - F.lag("prediction").over(w)).where(F.col("k") > 0)
-    names = F.array(*[F.lit(n) for n in feature_names])
-    out = diffs.groupBy("obs_id", "_added").agg(F.avg("delta").alias("weight"))
-    return out.select(F.lit(model_name).alias("model"), "obs_id", names[F.col("_added")].alias("feature"), "weight")

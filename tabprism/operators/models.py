@@ -8,9 +8,12 @@ long (model, y, yhat) table, so any number of models is scored in a single pass.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark import inheritable_thread_target
 from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import SparseVector, VectorUDT
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession
@@ -64,21 +67,6 @@ def model_grid() -> list[Config]:
     return g
 
 
-def scaled(cfg: Config, trees: float = 1.0, depth_cap: int | None = None) -> Config:
-    """A lighter copy of a config (fewer trees / iterations, capped depth) for smoke runs;
-    its label says what was really fitted."""
-    p = dict(cfg.params)
-    for k in ("n_estimators", "iterations"):
-        if k in p:
-            p[k] = max(2, int(round(p[k] * trees)))
-    for k in ("max_depth", "depth"):
-        if k in p and depth_cap is not None:
-            p[k] = depth_cap if p[k] is None else min(p[k], depth_cap)
-    changed = [f"{k}={p[k]}" for k in p if p[k] != cfg.params[k]]
-    label = f"{cfg.label} [reduced: {', '.join(changed)}]" if changed else cfg.label
-    return Config(cfg.family, cfg.no, label, p, cfg.not_applied)
-
-
 def label_std(train: DataFrame, label: str = "label") -> float:
     return train.select(F.stddev_pop(label)).first()[0]
 
@@ -127,49 +115,120 @@ def hyper_map(cfg: Config):
     return F.create_map(*[x for k, v in cfg.params.items() for x in (F.lit(k), F.lit(str(v)))])
 
 
-def config_sweep(train: DataFrame, evaluate: DataFrame, configs: Sequence[Config]) -> DataFrame:
+# ------------------------------------------------------------------ fits side by side
+ROWS_PER_TASK = 20_000
+FITS_AT_ONCE = 8
+
+
+def sized(train: DataFrame, n: int) -> DataFrame:
+    """``train`` in as many partitions as its rows ask for: a boosted fit is thousands of short
+    jobs, and each costs as much as its number of tasks when the table is small."""
+    parts = max(1, -(-n // ROWS_PER_TASK))
+    return train.coalesce(parts) if parts < train.rdd.getNumPartitions() else train
+
+
+def applied(cfg: Config, seed: int | None = None) -> tuple:
+    """What tells fits apart: the parameters that are applied, and the seed."""
+    return cfg.family, tuple((k, v) for k, v in cfg.params.items() if k not in cfg.not_applied), seed
+
+
+def fit_all(train: DataFrame, configs: Sequence[Config], seeds: Sequence[int | None] | None = None) -> dict[tuple, object]:
+    """Models of all configs by ``applied``, fitted side by side in driver threads (a boosted fit
+    waits for its own jobs most of the time). ``train`` should be materialised: every fit reads it."""
+    n, ys = train.agg(F.count(F.lit(1)), F.stddev_pop("label")).first()
+    rows = sized(train, n)
+    distinct = {applied(c, s): (c, s) for c, s in zip(configs, seeds or [None] * len(configs))}
+
+    def work(k: tuple) -> int:  # the longest first, so that none is left alone at the end
+        p = dict(k[1])
+        return (p.get("iterations") or p.get("n_estimators") or 0) * (p.get("depth") or p.get("max_depth") or 30)
+
+    def fit(k: tuple):
+        cfg, seed = distinct[k]
+        est = estimator(cfg, n, ys)
+        return (est if seed is None else est.setSeed(seed)).fit(rows)
+
+    order = sorted(distinct, key=work, reverse=True)
+    with ThreadPoolExecutor(FITS_AT_ONCE) as pool:
+        return dict(zip(order, pool.map(inheritable_thread_target(train.sparkSession)(fit), order)))
+
+
+def config_sweep(train: DataFrame, evaluate: DataFrame, configs: Sequence[Config], fitted: dict | None = None) -> DataFrame:
     """Fit every config on ``train``, score on ``evaluate``; one row per config.
 
-    Predictions of all configs are unioned into one long table and scored with a
-    single grouped aggregate. Configs that differ only in parameters that are not applied
-    share one fit and are reported each.
+    Predictions of all configs are columns of one pass and scored with a single grouped
+    aggregate. Configs that differ only in parameters that are not applied share one fit and
+    are reported each. ``fitted``: models that are there already.
     """
-    n, ys = train.agg(F.count(F.lit(1)), F.stddev_pop("label")).first()
-    preds, fitted = None, {}
-    for cfg in configs:
-        same = (cfg.family, tuple((k, v) for k, v in cfg.params.items() if k not in cfg.not_applied))
-        if same not in fitted:
-            fitted[same] = estimator(cfg, n, ys).fit(train)
-        m = fitted[same]
-        p = m.transform(evaluate).select(F.lit(cfg.family).alias("model"), F.lit(cfg.no).alias("config_no"),
-                                         "label", "prediction")
-        preds = p if preds is None else preds.unionByName(p)
-    met = regression_metrics(preds, ["model", "config_no"])
+    fitted = fitted or fit_all(train, configs)
+    scored, used = evaluate.select("features", "label"), list(dict.fromkeys(map(applied, configs)))
+    for i, k in enumerate(used):
+        scored = fitted[k].copy({fitted[k].predictionCol: f"p{i}"}).transform(scored)
+    pairs = F.array(*[F.struct(F.lit(c.family).alias("model"), F.lit(c.no).alias("config_no"), F.col(f"p{used.index(applied(c))}").alias("prediction")) for c in configs])
+    met = regression_metrics(scored.select("label", F.inline(pairs)), ["model", "config_no"])
     meta = evaluate.sparkSession.createDataFrame(
         [(c.family, c.no, c.label, {k: str(v) for k, v in c.params.items()}, list(c.not_applied)) for c in configs],
         "model string, config_no int, config_label string, hyperparameters map<string,string>, not_applied array<string>")
     return meta.join(met, ["model", "config_no"])
 
 
-def parameter_curve(train: DataFrame, val: DataFrame, family: str, param: str,
-                    values: Sequence[float], base: dict) -> DataFrame:
-    """Train and validation RMSE for each value of one parameter."""
+def ridge_gradients(train: DataFrame, models: dict[int, tuple[float, object]]) -> DataFrame:
+    """(config_no, slot, gradient): mean over the rows of ``x * (y - prediction)`` less the penalty
+    ``alpha * coefficient / rows``, by coefficient. One aggregate over the set slots of all rows."""
+    rows = train
+    for no, (_, m) in models.items():
+        rows = m.copy({m.predictionCol: f"p{no}"}).transform(rows)
+    residuals = F.array(*[F.col("label") - F.col(f"p{no}") for no in models])
+    slots = rows.select(residuals.alias("e"), F.posexplode(vector_to_array("features")).alias("slot", "x")).where("x <> 0")
+    sums = slots.groupBy("slot").agg(*[F.sum(F.col("x") * F.col("e")[i]).alias(f"g{i}") for i in range(len(models))])
     n = train.count()
-    ys = label_std(train)
-    parts = None
-    for i, v in enumerate(values):
-        cfg = Config(family, i + 1, f"{param}={v}", {**base, param: v})
-        m = estimator(cfg, n, ys).fit(train)
-        for split, d in (("train", train), ("val", val)):
-            p = m.transform(d).select(F.lit(float(v)).alias("param_value"), F.lit(split).alias("split"),
-                                      "label", "prediction")
-            parts = p if parts is None else parts.unionByName(p)
-    met = regression_metrics(parts, ["param_value", "split"])
+    entries = F.array(*[F.struct(F.lit(no).alias("config_no"), (F.col(f"g{i}") / n - F.element_at(F.array(*[F.lit(float(b)) for b in m.coefficients]), F.col("slot") + 1) * (a / n)).alias("gradient"))
+                        for i, (no, (a, m)) in enumerate(models.items())])
+    return sums.select("slot", F.inline(entries)).select("config_no", "slot", (F.col("gradient") + 0.0).alias("gradient"))
+
+
+# The reference's learning curves (family, parameter, values, the other parameters).
+CURVES = [
+    ("LinearRegression", "alpha", [0.01, 0.1, 1.0, 10.0, 100.0], {}),
+    ("RandomForest", "n_estimators", [50, 100, 150, 200, 300], {"max_depth": 15, "min_samples_leaf": 5, "max_features": "all"}),
+    ("XGBoost", "max_depth", [3, 4, 5, 6, 8, 10], {"n_estimators": 200, "learning_rate": 0.05, "subsample": 0.8, "colsample_bytree": 0.8}),
+    ("CatBoost", "iterations", [50, 100, 150, 200, 300], {"depth": 6, "learning_rate": 0.05, "border_count": 254}),
+]
+
+
+def curve_fits(family: str, param: str, values: Sequence[float], base: dict) -> list[tuple[Config, int | None]]:
+    """(config, seed) of the fits a curve needs. Boosting: the largest alone, as every smaller
+    one is its beginning. Forests: the stretches between the values, each with its own seed, as
+    trees are independent and the first stretches together are the smaller forest."""
+    cuts = sorted(values)
+    if param == "iterations":
+        cuts = cuts[-1:]
+    if param == "n_estimators" and family == "RandomForest":
+        return [(Config(family, i + 1, f"{param}={v}", {**base, param: v - low}), RANDOM_STATE + i) for i, (low, v) in enumerate(zip([0, *cuts], cuts))]
+    return [(Config(family, i + 1, f"{param}={v}", {**base, param: v}), None) for i, v in enumerate(cuts)]
+
+
+def parameter_curve(train: DataFrame, val: DataFrame, family: str, param: str, values: Sequence[float], base: dict, models: Sequence) -> DataFrame:
+    """Train and validation RMSE for each value of one parameter; ``models``: those of ``curve_fits``."""
+    spark, cuts = train.sparkSession, sorted(values)
+    if param == "iterations":  # one pass gives the loss after every iteration
+        loss = {s: models[0].evaluateEachIteration(d, "squared") for s, d in (("train", train), ("val", val))}
+        rows = [(family, param, float(v), loss["train"][v - 1] ** 0.5, loss["val"][v - 1] ** 0.5) for v in cuts]
+        return spark.createDataFrame(rows, "model string, param_name string, param_value double, train_rmse double, val_rmse double")
+    scored = train.select("features", "label", F.lit("train").alias("split")).unionByName(val.select("features", "label", F.lit("val").alias("split")))
+    for i, m in enumerate(models):
+        scored = m.copy({m.predictionCol: f"p{i}"}).transform(scored)
+    if param == "n_estimators" and family == "RandomForest":
+        sizes = [v - low for low, v in zip([0, *cuts], cuts)]
+        yhat = [sum((F.col(f"p{j}") * float(sizes[j]) for j in range(i + 1)), F.lit(0.0)) / float(v) for i, v in enumerate(cuts)]
+    else:
+        yhat = [F.col(f"p{i}") for i in range(len(cuts))]
+    pairs = F.array(*[F.struct(F.lit(float(v)).alias("param_value"), y.alias("prediction")) for v, y in zip(cuts, yhat)])
+    met = regression_metrics(scored.select("split", "label", F.inline(pairs)), ["param_value", "split"])
     wide = met.groupBy("param_value").agg(
         F.max(F.when(F.col("split") == "train", F.col("rmse"))).alias("train_rmse"),
         F.max(F.when(F.col("split") == "val", F.col("rmse"))).alias("val_rmse"))
-    return wide.select(F.lit(family).alias("model"), F.lit(param).alias("param_name"), "param_value",
-                       "train_rmse", "val_rmse")
+    return wide.select(F.lit(family).alias("model"), F.lit(param).alias("param_name"), "param_value", "train_rmse", "val_rmse")
 
 
 # ------------------------------------------------------------------ text classifier

@@ -18,9 +18,10 @@ from tabprism.functions.scalar import round_doubles
 from tabprism.operators import models as M
 from tabprism.operators.ranking import best_per_group, best_per_metric
 from tabprism.operators.sampling import hash_order, split3
-from tabprism.plans.prep_plans import prepared
+from tabprism.plans.model_store import FAMILIES, store
+from tabprism.plans.prep_plans import CAT, NUM, WS, _mode_cte
 from tabprism.plans.registry import query
-from tabprism.session import cut_lineage, ensure_checkpoint_dir
+from tabprism.session import ensure_checkpoint_dir
 from tabprism.sources.listings import listings_clean, oracle_with
 
 # ------------------------------------------------------------------ group-mean predictors
@@ -88,6 +89,13 @@ _METRICS_SQL = """SELECT model, sqrt(avg((y - yhat) * (y - yhat))) AS rmse, avg(
 WP = oracle_with() + _SPLIT_LC + ", pr AS (" + _pred_sql(_PRED4) + ")\n"
 
 
+# Feature names in the order of the vector's slots.
+_SLOTS = WS + _mode_cte() + ", im AS (SELECT split, " + ", ".join(f"coalesce({c}, mo_{c}) AS {c}" for c in CAT) + " FROM sp, mo),\n  cats AS (" + "\nUNION ALL\n".join(
+    f"SELECT DISTINCT {i} AS fi, {c} AS category FROM im WHERE split = 'train'" for i, c in enumerate(CAT)) + f""")
+, nm2 AS (SELECT CAST(row_number() OVER () - 1 AS INTEGER) AS ord FROM (SELECT fi FROM cats UNION ALL SELECT unnest(range({len(NUM)}))) q)
+"""
+
+
 @query("regression_metrics", "I8", oracle=WP + "SELECT model, round(rmse, 6) AS rmse, round(mae, 6) AS mae, "
        "round(r2, 6) AS r2 FROM (" + _METRICS_SQL + ") m")
 def q_regression_metrics(spark, sf):
@@ -257,31 +265,12 @@ def q_splits_roundtrip(spark, sf):
     return round_doubles(load_split(spark, path, "test").select("listing_id", "split", "log_price"))
 
 
-# ------------------------------------------------------------------ Spark ML fits (rows)
-def _train_test(spark, sf):
-    prep, pre = prepared(spark, sf)
-    return prep, pre
-
-
-# Smoke scaling for tree ensembles inside queries(); the full grid is config_sweep's default.
-SMOKE_TREES, SMOKE_DEPTH = 0.05, 6
-
-
-def _family(fam: str, smoke: bool = True):
-    cfgs = [c for c in M.model_grid() if c.family == fam]
-    if smoke and fam != "LinearRegression":
-        cfgs = [M.scaled(c, SMOKE_TREES, SMOKE_DEPTH) for c in cfgs]
-    return cfgs
-
-
-def _sweep(spark, sf, fams):
-    prep, _ = _train_test(spark, sf)
-    # every config re-reads train and test: materialize the prepared split once
-    prep = cut_lineage(prep.select("split", "features", "label"))
-    train = prep.where(F.col("split") == "train").select("features", "label")
-    test = prep.where(F.col("split") == "test").select("features", "label")
-    cfgs = [c for f in fams for c in _family(f)]
-    return round_doubles(M.config_sweep(train, test, cfgs))
+# ------------------------------------------------------------------ Spark ML fits
+def _sweep(spark, sf, fams, evaluate="test"):
+    """All configs of the families at full size; ``evaluate`` is the split that scores them."""
+    st = store(spark, sf)
+    cfgs = [c for c in M.model_grid() if c.family in fams]
+    return round_doubles(M.config_sweep(st.split("train"), st.split(evaluate), cfgs, st.fitted(cfgs)))
 
 
 @query("ridge_fit", "I1")
@@ -289,6 +278,16 @@ def q_ridge(spark, sf):
     return _sweep(spark, sf, ["LinearRegression"])
 
 
+@query("ridge_stationarity", "I1", oracle=_SLOTS + """SELECT c.config_no, n.ord AS slot, 0.0 AS gradient
+FROM nm2 n CROSS JOIN (SELECT CAST(unnest(range(1, 7)) AS INTEGER) AS config_no) c""")
+def q_ridge_stationarity(spark, sf):
+    """Gradient of the penalised squares by coefficient, per row: 0 for an exact ridge."""
+    st = store(spark, sf)
+    cfgs = [c for c in M.model_grid() if c.family == "LinearRegression"]
+    fitted = st.fitted(cfgs)
+    return round_doubles(M.ridge_gradients(st.split("train"), {c.no: (c.params["alpha"], fitted[M.applied(c)]) for c in cfgs}))
+
+
 @query("random_forest_fit", "I2")
 def q_forest(spark, sf):
     return _sweep(spark, sf, ["RandomForest"])
@@ -306,47 +305,59 @@ def q_gbt_b(spark, sf):
 
 @query("config_sweep", "I5")
 def q_config_sweep(spark, sf):
-    return _sweep(spark, sf, ["LinearRegression", "RandomForest", "XGBoost", "CatBoost"])
+    return _sweep(spark, sf, FAMILIES)
+
+
+@query("config_sweep_val", "I5")
+def q_config_sweep_val(spark, sf):
+    """The sweep scored on the validation split, with the best config of each family by RMSE."""
+    return best_per_group(_sweep(spark, sf, FAMILIES, "val"), ["model"], "rmse", "config_no")
+
+
+def parameter_curves(spark: SparkSession, sf: str) -> DataFrame:
+    """All learning curves, fitted side by side: 5 + 5 + 6 + 5 points."""
+    st = store(spark, sf)
+    plans = [(curve, M.curve_fits(*curve)) for curve in M.CURVES]
+    fits = [f for _, own in plans for f in own]
+    models = st.fitted([c for c, _ in fits], [s for _, s in fits])
+    train, val, out = st.split("train"), st.split("val"), None
+    for curve, own in plans:
+        part = M.parameter_curve(train, val, *curve, [models[M.applied(c, s)] for c, s in own])
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 @query("parameter_curve", "I7")
 def q_parameter_curve(spark, sf):
-    prep, _ = _train_test(spark, sf)
-    prep = cut_lineage(prep.select("split", "features", "label"))
-    train = prep.where(F.col("split") == "train").select("features", "label")
-    val = prep.where(F.col("split") == "val").select("features", "label")
-    a = M.parameter_curve(train, val, "LinearRegression", "alpha", [0.01, 0.1, 1.0, 10.0, 100.0], {})
-    b = M.parameter_curve(train, val, "RandomForest", "n_estimators", [5, 10, 15],
-                          {"max_depth": SMOKE_DEPTH, "min_samples_leaf": 5, "max_features": "all"})
-    return round_doubles(a.unionByName(b))
+    return round_doubles(parameter_curves(spark, sf))
+
+
+def observations(df: DataFrame, n: int = 1) -> DataFrame:
+    """The first ``n`` test rows in hash order."""
+    return df.where(F.col("split") == "test").orderBy(hash_order("listing_id", 42), "listing_id").limit(n)
 
 
 @query("predict_observation", "I10")
-def q_predict_observation(spark, sf, obs_rank: int = 0):
-    """Prediction and actual for one test row (``obs_rank``-th test row in hash order)."""
-    prep, _ = _train_test(spark, sf)
-    train = prep.where(F.col("split") == "train")
-    cfg = M.model_grid()[2]  # ridge alpha = 1.0
-    model = M.estimator(cfg, train.count(), M.label_std(train)).fit(train)
-    test = prep.where(F.col("split") == "test")
-    obs = test.orderBy(hash_order("listing_id", 42), "listing_id").limit(obs_rank + 1) \
-              .orderBy(hash_order("listing_id", 42).desc()).limit(1)
-    return model.transform(obs).select("listing_id", F.col("label").alias("actual"), "prediction")
+def q_predict_observation(spark, sf):
+    """Prediction of each family's model and the actual value for the first test row in hash order."""
+    st = store(spark, sf)
+    obs, names = observations(st.prep), []
+    for name, model in st.explained_models().items():
+        obs = model.copy({model.predictionCol: f"p_{name}"}).transform(obs)
+        names.append(F.struct(F.lit(name).alias("model"), F.col(f"p_{name}").alias("prediction")))
+    return obs.select("listing_id", F.col("label").alias("actual"), F.inline(F.array(*names))).select("model", "listing_id", "actual", "prediction")
 
 
 @query("model_persist", "A7")
 def q_model_persist(spark, sf):
     """Fit the preprocessor + ridge pipeline, save, load, and predict with both."""
     from pyspark.ml import PipelineModel
-    sp_prep, pre = _train_test(spark, sf)
-    train = sp_prep.where(F.col("split") == "train")
-    ridge = M.estimator(M.model_grid()[2], train.count(), M.label_std(train)).fit(train)
-    full = PipelineModel(pre.model.stages + [ridge])
+    st = store(spark, sf)
+    full = PipelineModel(st.pre.model.stages + [st.explained_models()["LinearRegression"]])
     path = _scratch(spark, "pipeline")
     full.write().overwrite().save(path)
     loaded = PipelineModel.load(path)
-    from tabprism.plans.prep_plans import split_frame
-    test = split_frame(spark, sf, learnable=True).where(F.col("split") == "test")
+    test = st.raw.where(F.col("split") == "test")
     a = full.transform(test).select("listing_id", F.col("prediction").alias("before"))
     b = loaded.transform(test).select("listing_id", F.col("prediction").alias("after"))
     return round_doubles(a.join(b, "listing_id"), 10)

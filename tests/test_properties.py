@@ -75,36 +75,6 @@ def test_ridge_matches_normal_equations(spark):
     assert np.allclose(model.coefficients.toArray(), beta, atol=1e-5)
 
 
-def test_shap_sampled_is_additive_and_exact_on_linear(spark):
-    prep, _ = prepared(spark, SF_SMALL)
-    train = prep.where(F.col("split") == "train")
-    model = M.estimator(M.model_grid()[2], train.count(), M.label_std(train)).fit(train)
-    obs = prep.where(F.col("split") == "test").limit(5)
-    nf = len(NUMERICAL_FEATURES)
-    sh = X.shap_sampled(model, obs, NUMERICAL_FEATURES, [0.0] * nf, 4, "ridge").toPandas()
-    coefs = model.coefficients.toArray()[:nf]
-    from pyspark.ml.functions import vector_to_array
-    xs = {r["listing_id"]: r["a"][:nf] for r in obs.select("listing_id", vector_to_array("features").alias("a")).collect()}
-    for _, r in sh.iterrows():
-        j = NUMERICAL_FEATURES.index(r["feature"])
-        assert abs(r["weight"] - coefs[j] * xs[r["obs_id"]][j]) < 1e-9
-
-
-def test_lime_weights_are_finite(spark):
-    prep, _ = prepared(spark, SF_SMALL)
-    train = prep.where(F.col("split") == "train")
-    model = M.estimator(M.model_grid()[2], train.count(), M.label_std(train)).fit(train)
-    from pyspark.ml.functions import vector_to_array
-    arr = vector_to_array(F.col("features"))
-    ts = train.select(F.inline(F.array(*[F.struct(F.lit(c).alias("feature"), arr[j].alias("value"))
-                                         for j, c in enumerate(NUMERICAL_FEATURES)])))
-    obs = prep.where(F.col("split") == "test").limit(1)
-    out = X.lime_explain(model, obs, ts, NUMERICAL_FEATURES, [(200, 0.75, "gaussian"), (200, 0.75, "lhs")],
-                         "ridge").toPandas()
-    assert len(out) == 2 * len(NUMERICAL_FEATURES)
-    assert np.isfinite(out["weight"]).all()
-
-
 def test_tfidf_rows_have_unit_norm(spark):
     from tabprism.plans.text_plans import binary_split
     from tabprism.operators.text import tfidf
