@@ -1,25 +1,29 @@
 """Benchmark decontamination with a BM25 index of the test items.
 
-Every training passage is a query against an inverted index of the items: with L the
-words of the longest item, passages are windows of 2 L words, L apart, so a copy of an
-item lies whole in one of them. Weights are BM25 impacts divided by the item's own wanted
-score (``MIN_SCORE`` times what its full text scores), so an item is retrieved at a sum of
-1. Block-max pruning in two exact steps: a passage whose terms cannot reach 1 by their
-largest weights anywhere is skipped, then the blocks of 16 items (of like length) whose
-block maxima cannot reach 1; terms whose maxima together stay below ``NON_ESSENTIAL`` join only
-in the final scores. All items at or above 1 are retrieved (no top-k), then verified: the
-shares of the word trigrams of its question and of its answer that the passage holds
-must both reach ``MIN_OVERLAP``. An item of fewer words than two trigrams has no shares
-that tell: the passage must hold all its words in a row. An item's answer starts after its last question mark or,
-without one, at its middle word.
+With L the words of an item, its windows in a document are 2 L words, L apart, so a copy of
+the item lies whole in one of them. Weights are BM25 impacts divided by the item's own wanted
+score (``MIN_SCORE`` times what its full text scores), so a window reaches the item at a sum of
+1. It is then verified: the shares of the word trigrams of its question and of its answer that
+the window holds must both reach ``MIN_OVERLAP``. An item of fewer words than two trigrams has
+no shares that tell: the window must hold all its words in a row. An item's answer starts after
+its last question mark or, without one, at its middle word. So a verdict depends on no other
+item but for the collection's counts.
+
+Windows are found by search: items of like length (their class: the next power of two) share an
+index, and every training passage is a query against it. Passages are four times the class in
+length and overlap by half, so each window lies in one. Block-max pruning in two exact steps: a
+passage whose terms cannot reach 1 by their largest weights anywhere is skipped, then the blocks
+of 16 items whose block maxima cannot reach 1; terms whose maxima together stay below
+``NON_ESSENTIAL`` join only in the final scores. These bounds replace the pivoting of cursors.
+All items at or above 1 are retrieved (no top-k), and their windows in the passage are judged.
 
 The index is broadcast only while the items it holds are within ``GROUP_BYTES`` of text;
 more items are cut into as many groups, each searched by all passages in turn. Collection
 statistics always cover all items.
 
 Defined results: null or wordless texts and items match nothing; ids may be null or
-repeated (each row is searched, each item row is its own item); empty tables give no hits;
-other columns are ignored or passed on.
+repeated (each row is searched, each item row is its own item) and of any type; a very long text
+or item is searched whole; empty tables give no hits; other columns are ignored or passed on.
 """
 
 from __future__ import annotations
@@ -33,6 +37,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from tabprism.llm.common import checkpoint, slices, text_bytes
 
@@ -76,21 +81,32 @@ def in_a_row(item: list[str], passage: list[str]) -> bool:
     return any(passage[i:i + len(item)] == item for i in range(len(passage) - len(item) + 1))
 
 
+def length_class(n: int) -> int:
+    """The words an item of n words is reckoned with: the next power of two, 16 at least."""
+    return max(16, 1 << max(0, n - 1).bit_length())
+
+
 class ItemIndex:
-    """Postings of one group of items, by term, with list and block maxima."""
+    """Postings of items of one class, by term, with list and block maxima."""
 
-    def __init__(self, rows: list[tuple[int, str | None, str]], postings: list[tuple[int, str, int, int]], stats: tuple[int, float], stride: int):
-        """rows: (item number, id, text); postings: (number, term, tf, df)."""
+    def __init__(self, rows: list[tuple[int, object, str]], postings: list[tuple[int, str, int, int]], stats: tuple[int, float], terms: dict[str, int] | None = None):
+        """rows: (item number, id, text); postings: (number, term, tf, df); ``terms``: numbers of
+        the terms, shared with other indexes and complete."""
         n_items, mean = stats
         rows = sorted(rows, key=lambda r: len(words_of(r[2])))  # a block's items have like weights
-        self.stride = max(1, stride)
+        self.stride = 2 * max((length_class(len(words_of(r[2]))) for r in rows), default=16)
         self.ids = [r[1] for r in rows]
         self.texts = [r[2] for r in rows]
         number = {r[0]: i for i, r in enumerate(rows)}
         length = np.array([len(words_of(t)) for t in self.texts], dtype=float)
-        self.terms: dict[str, int] = {}
+        self.words = [len(words_of(t)) for t in self.texts]
+        if terms is None:
+            terms = {}
+            for p in postings:
+                terms.setdefault(p[1], len(terms))
+        self.terms = terms
         at = np.array([number[p[0]] for p in postings], dtype=np.int64)
-        term = np.array([self.terms.setdefault(p[1], len(self.terms)) for p in postings], dtype=np.int64)
+        term = np.array([terms[p[1]] for p in postings], dtype=np.int64)
         tf, df = (np.array([p[i] for p in postings], dtype=float) for i in (2, 3))
         impact = np.log1p((n_items - df + 0.5) / (df + 0.5)) * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length[at] / (mean or 1)))
         self.full = np.bincount(at, weights=impact, minlength=len(rows))
@@ -112,11 +128,18 @@ class ItemIndex:
         self.essential = np.ones(n, dtype=bool)
         self.essential[small] = False
         self.rest = float(self.top[small].sum())
+        by_item = np.argsort(self.item, kind="stable")
+        self._by_item, self._item_first = by_item, np.searchsorted(self.item[by_item], np.arange(len(rows) + 1))
+
+    def weights_of(self, item: int) -> dict[int, float]:
+        own = self._by_item[self._item_first[item]:self._item_first[item + 1]]
+        return dict(zip(self.term[own].tolist(), self.weight[own].tolist()))
 
-    def search(self, words: list[str]) -> list[tuple[int, int, float]]:
+    def term_numbers(self, words: list[str]) -> np.ndarray:
+        return np.fromiter(map(self.terms.get, words, repeat(-1)), dtype=np.int64, count=len(words))
+
+    def search(self, ids: np.ndarray) -> list[tuple[int, int, float]]:
         """(passage, item number, weight sum) of every passage and item that reach 1."""
-        get = self.terms.get
-        ids = np.fromiter(map(get, words, repeat(-1)), dtype=np.int64, count=len(words))
         pos = np.flatnonzero(ids >= 0)
         if not len(pos):
             return []
@@ -147,19 +170,47 @@ class ItemIndex:
         found, score = _sums(passage[which] * len(self.ids) + self.item[entry], self.weight[entry], passages * len(self.ids))
         return [(int(f) // len(self.ids), int(f) % len(self.ids), float(s)) for f, s in zip(found, score) if s >= 1 - 1e-9]
 
-    def hits(self, text: str) -> list[tuple[int, float, float, float]]:
-        """(item number, BM25 score as a share of the full score, question share, answer
-        share) of the verified items, each with its best passage."""
-        words, best = words_of(text), {}
-        for passage, item, score in self.search(words):
-            held = words[passage * self.stride:(passage + 2) * self.stride]
-            own = words_of(self.texts[item])
-            if len(own) < 2 * GRAM and not in_a_row(own, held):
+    def judged(self, words: list[str], ids: np.ndarray, item: int, passage: int) -> tuple[float, float, float] | None:
+        """Best (score as a share of the full score, question share, answer share) of the item's
+        verified windows that lie in the passage."""
+        own, weights, best = self.words[item], self.weights_of(item), None
+        low, high = passage * self.stride, (passage + 2) * self.stride
+        known = np.flatnonzero(np.isin(ids[low:high], list(weights))) + low
+        for k in np.unique(np.r_[known // own, known // own - 1]).tolist():
+            start = k * own
+            if start < low or min(start + 2 * own, len(words)) > high:
+                continue
+            score = sum(weights[t] for t in set(ids[start:start + 2 * own].tolist()) if t in weights)
+            if score < 1 - 1e-9:
+                continue
+            held, text = words[start:start + 2 * own], self.texts[item]
+            if own < 2 * GRAM and not in_a_row(words_of(text), held):
                 continue
-            q, a = (overlap(part, held) for part in question_and_answer(self.texts[item]))
+            q, a = (overlap(part, held) for part in question_and_answer(text))
             if min(q, a) >= MIN_OVERLAP:
-                best[item] = max(best.get(item, (0.0, 0.0, 0.0)), (round(score * MIN_SCORE, 6), round(q, 6), round(a, 6)))
-        return [(item, *x) for item, x in sorted(best.items())]
+                best = max(best or (0.0, 0.0, 0.0), (round(score * MIN_SCORE, 6), round(q, 6), round(a, 6)))
+        return best
+
+    def hits(self, words: list[str], ids: np.ndarray | None = None) -> list[tuple[object, float, float, float]]:
+        """(item id, score, question share, answer share) of the items that the words hold."""
+        ids, best = self.term_numbers(words) if ids is None else ids, {}
+        for passage, item, _ in self.search(ids):
+            got = self.judged(words, ids, item, passage)
+            if got:
+                best[item] = max(best.get(item, got), got)
+        return [(self.ids[item], *x) for item, x in sorted(best.items())]
+
+
+class Indexes:
+    """Indexes of all classes of a group of items, with one numbering of the terms."""
+
+    def __init__(self, parts: list[ItemIndex]):
+        self.parts = parts
+
+    def hits(self, text: str) -> list[tuple[object, float, float, float]]:
+        words = words_of(text)
+        ids = self.parts[0].term_numbers(words)
+        return [h for p in self.parts for h in p.hits(words, ids)]
 
 
 DENSE = 1 << 22  # cells that are kept as an array; more are sorted instead
@@ -198,7 +249,7 @@ def _expand(first: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return which, np.arange(len(which)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(first[keys], n)
 
 
-def item_indexes(items: DataFrame, id_col: str = "item_id", text_col: str = "text", group_bytes: int = GROUP_BYTES) -> Iterator[ItemIndex]:
+def item_indexes(items: DataFrame, id_col: str = "item_id", text_col: str = "text", group_bytes: int = GROUP_BYTES) -> Iterator[Indexes]:
     """Indexes of all items, in groups of about ``group_bytes`` of text."""
     rows = checkpoint(items.select(F.monotonically_increasing_id().alias("n"), F.col(id_col).alias("id"), F.col(text_col).alias("t")).where("t IS NOT NULL"))
 
@@ -212,7 +263,7 @@ def item_indexes(items: DataFrame, id_col: str = "item_id", text_col: str = "tex
             yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.string()), pa.array(cols[2], pa.int64()), pa.array(cols[3], pa.int64())], ["n", "term", "tf", "size"])
 
     postings = checkpoint(rows.select("n", "t").mapInArrow(count, "n long, term string, tf long, size long"))
-    sizes = postings.groupBy("n").agg(F.first("size").alias("size")).agg(F.count("*").alias("n"), F.avg("size").alias("mean"), F.max("size").alias("most")).first()
+    sizes = postings.groupBy("n").agg(F.first("size").alias("size")).agg(F.count("*").alias("n"), F.avg("size").alias("mean")).first()
     if not sizes["n"]:
         return
     total = rows.agg(F.sum(F.octet_length("t"))).first()[0]
@@ -222,8 +273,19 @@ def item_indexes(items: DataFrame, id_col: str = "item_id", text_col: str = "tex
         own = F.pmod(F.xxhash64("n"), F.lit(groups)) == g
         held = [(r["n"], r["id"], r["t"]) for r in rows.where(own).orderBy("n").collect()]
         posted = [(r["n"], r["term"], r["tf"], r["df"]) for r in postings.where(own).select("n", "term", "tf", "df").collect()]
-        if posted:
-            yield ItemIndex(held, posted, (sizes["n"], sizes["mean"]), sizes["most"])
+        if not posted:
+            continue
+        terms: dict[str, int] = {}
+        for p in posted:
+            terms.setdefault(p[1], len(terms))
+        of_class: dict[int, tuple[list, list]] = {}
+        number = {}
+        for r in held:
+            number[r[0]] = length_class(len(words_of(r[2])))
+            of_class.setdefault(number[r[0]], ([], []))[0].append(r)
+        for p in posted:
+            of_class[number[p[0]]][1].append(p)
+        yield Indexes([ItemIndex(*of_class[c], (sizes["n"], sizes["mean"]), terms) for c in sorted(of_class) if of_class[c][1]])
 
 
 def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -231,7 +293,7 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
     """One row per document and item that it holds: ids, score, question and answer shares."""
     doc_kind, item_kind = docs.schema[id_col].dataType.simpleString(), items.schema[item_id_col].dataType.simpleString()
     schema = f"{id_col} {doc_kind}, {item_id_col} {item_kind}, score double, question_share double, answer_share double"
-    spark, out = docs.sparkSession, None
+    spark, out, arrow_kind = docs.sparkSession, None, to_arrow_type(items.schema[item_id_col].dataType)
     for index in item_indexes(items, item_id_col, item_text_col, group_bytes):
         shared = spark.sparkContext.broadcast(index)
 
@@ -243,8 +305,7 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
                     found = own.hits(t.as_py().decode("utf-8", "replace"))
                     at += [i] * len(found)
                     hits += found
-                ids = pa.array([own.ids[h[0]] for h in hits])
-                yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(at, pa.int64())), ids.cast(pa.int64()) if item_kind == "bigint" else ids,
+                yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(at, pa.int64())), pa.array([h[0] for h in hits], arrow_kind),
                                                   *(pa.array([h[k] for h in hits], pa.float64()) for k in (1, 2, 3))],
                                                  [id_col, item_id_col, "score", "question_share", "answer_share"])
 

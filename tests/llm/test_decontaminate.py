@@ -7,11 +7,10 @@ from tests.llm.helpers import SF
 
 
 def brute(docs, items):
-    """Exhaustive scoring of every passage against every item."""
+    """Exhaustive scoring of every window of every item."""
     own = [(i, t, D.words_of(t)) for i, t in items if D.words_of(t)]
     df = Counter(w for _, _, ws in own for w in set(ws))
     mean = sum(len(ws) for _, _, ws in own) / len(own)
-    stride = max(len(ws) for _, _, ws in own)
     impact = []
     for _, _, ws in own:
         tf = Counter(ws)
@@ -19,12 +18,15 @@ def brute(docs, items):
     out = []
     for d, text in docs:
         ws = D.words_of(text)
-        for k, (i, t, _) in enumerate(own):
-            best = None
-            for at in range(0, max(len(ws), 1), stride):
-                held = ws[at:at + 2 * stride]
-                score = sum(impact[k].get(w, 0) for w in set(held)) / sum(impact[k].values())
-                if score >= .7 - 1e-9:
+        here = set(ws)
+        for k, (i, t, item) in enumerate(own):
+            total, best = sum(impact[k].values()), None
+            if sum(x for w, x in impact[k].items() if w in here) < .7 * total - 1e-9:
+                continue
+            for at in range(0, max(len(ws), 1), len(item)):
+                held = ws[at:at + 2 * len(item)]
+                score = sum(impact[k].get(w, 0) for w in set(held)) / total
+                if score >= .7 - 1e-9 and (len(item) >= 6 or D.in_a_row(item, held)):
                     q, a = (D.overlap(part, held) for part in D.question_and_answer(t))
                     if min(q, a) >= .5:
                         best = max(best or (0,), (round(score, 6), round(q, 6), round(a, 6)))
@@ -60,10 +62,10 @@ def test_sorted_and_dense_sums_agree(monkeypatch):
     own = [(n, i, t) for n, (i, t) in enumerate(items) if D.words_of(t)]
     df = Counter(w for _, _, t in own for w in set(D.words_of(t)))
     posted = [(n, w, c, df[w]) for n, _, t in own for w, c in Counter(D.words_of(t)).items()]
-    index = D.ItemIndex(own, posted, (len(own), 20.0), 45)
-    dense = [index.hits(t or "") for _, t in docs]
+    index = D.ItemIndex(own, posted, (len(own), 20.0))
+    dense = [index.hits(D.words_of(t)) for _, t in docs]
     monkeypatch.setattr(D, "DENSE", 0)
-    assert dense == [index.hits(t or "") for _, t in docs] and any(dense)
+    assert dense == [index.hits(D.words_of(t)) for _, t in docs] and any(dense)
 
 
 def test_against_exhaustive_scoring(spark):
@@ -103,3 +105,31 @@ def test_scattered_words_of_short_items_stay(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert sorted((r.doc_id, r.item_id) for r in D.contaminated(docs, items).collect()) == [(2, 1), (4, 2)]
     assert sorted(r.doc_id for r in D.without_leaks(docs, items).collect()) == [1, 3, 5]
+
+
+def test_a_long_item_changes_no_other_verdict(spark):
+    rng = random.Random(12)
+    vocab = [f"v{i}" for i in range(3000)]
+    item = [rng.choice(vocab) for _ in range(17)]
+    spread = [rng.choice(vocab) for _ in range(2400)]
+    for i in range(0, 15, 3):  # its trigrams far apart
+        spread[150 * i:150 * i + 3] = item[i:i + 3]
+    long = " ".join(rng.choice(vocab) for _ in range(4000))
+    docs = spark.createDataFrame([(1, " ".join(spread)), (2, "before " * 40 + " ".join(item) + " after" * 40), (3, "x " * 70 + long)], "doc_id long, text string")
+    short = [(1, " ".join(item)), (2, "who wrote the tale of a grey cat and a red fox? somebody else did")]
+    few = spark.createDataFrame(short, "item_id long, text string")
+    many = spark.createDataFrame([*short, (3, long)], "item_id long, text string")
+    pairs = lambda items: {(r.doc_id, r.item_id) for r in D.contaminated(docs, items).collect()}
+    assert pairs(few) == {(2, 1)}
+    assert pairs(many) == {(2, 1), (3, 3)}
+
+
+def test_item_ids_of_any_type(spark):
+    from pyspark.sql import functions as F
+    docs = spark.createDataFrame([(1, "say who sings the blue song at noon? nobody sings it at noon here")], "doc_id int, text string")
+    items = spark.createDataFrame([(7, "who sings the blue song at noon? nobody sings it at noon"), (None, "other words altogether are here now")], "item_id int, text string")
+    for kind in ("tinyint", "smallint", "int", "bigint", "string", "double", "decimal(12,2)", "date"):
+        own = F.col("item_id").cast(kind) if kind != "date" else F.date_add(F.lit("2020-01-01"), F.col("item_id"))
+        out = D.contaminated(docs, items.withColumn("item_id", own))
+        assert out.schema["item_id"].dataType.simpleString() == kind
+        assert out.count() == 1 and out.first().item_id is not None
