@@ -1,6 +1,8 @@
 import base64
 import hashlib
 import json
+import time
+from html.parser import HTMLParser
 
 from tabprism.llm import queries, warc_derive
 from tests.llm.helpers import SF
@@ -86,3 +88,72 @@ def test_source_headers_are_all_kept_in_order(spark):
     assert data["http"]["headers"]["Set-Cookie"] == ["a=1; Path=/", "b=2"] and data["http"]["headers"]["Name"] == "value"
     assert r.n_links == 1 and data["html"]["links"] == [{"path": "SCRIPT@/src", "url": "http://h.example/x.js"}]
     assert r.block_digest == sha(bytes(r.content))
+
+
+class Parsed(HTMLParser):
+    """Text lines and links by the standard library's parser."""
+
+    def __init__(self, page):
+        super().__init__(convert_charrefs=True)
+        self.hidden, self.out, self.found = 0, [], []
+        self.feed(page)
+        self.close()
+
+    def handle_starttag(self, tag, attrs):
+        if tag in ("head", "noscript", "template", "script", "style"):
+            self.hidden += 1
+        if tag in warc_derive.BLOCKS or tag in ("head",):
+            self.out.append("\n")
+        own = dict(reversed(attrs))
+        if tag in warc_derive.LINKING:
+            self.found += [(tag.upper() + "@/" + k, (own[k] or "").strip()) for k in dict(attrs) if k in ("href", "src")][:1]
+
+    def handle_startendtag(self, tag, attrs):
+        self.handle_starttag(tag, attrs)
+        self.hidden -= tag in ("head", "noscript", "template", "script", "style")
+
+    def handle_endtag(self, tag):
+        if tag in ("head", "noscript", "template", "script", "style"):
+            self.hidden -= 1
+            self.out.append(" ")
+        if tag in warc_derive.BLOCKS:
+            self.out.append("\n")
+
+    def handle_comment(self, data):
+        self.out.append(" ")
+
+    def handle_data(self, data):
+        if not self.hidden:
+            self.out.append(data)
+
+    def text(self):
+        lines = (" ".join(x.replace("\xa0", " ").split(" ")) for x in "".join(self.out).split("\n"))
+        return "\n".join(y for y in (" ".join(x.split()) for x in lines) if y)
+
+
+def test_all_pages_against_the_standard_parser():
+    import pyarrow.parquet as pq
+    pages = pq.read_table("/root/testdata/sf0.01/pages.parquet").to_pylist()
+    assert len(pages) > 100
+    for r in pages:
+        other, own = Parsed(r["html"] or ""), warc_derive.Page(r["html"] or "")
+        assert " ".join(own.text().split()) == " ".join(other.text().split()), r["page_id"]
+        assert own.text().count("\n") == other.text().count("\n")
+        assert [(x["path"], x["url"]) for x in own.links("")] == [(p, u) for p, u in other.found]
+
+
+def test_base_srcset_and_quoted_marks():
+    page = ('<base href="/sub/"><a title="a > b" href=x>one</a><img srcset="s.png 1x, /l.png 2x" src="p.png"><a href=\'q"r\'>two</a>'
+            '<noscript><img src=n.png>no</noscript><SCRIPT SRC=s.js>if (a < b) "</p>";</SCRIPT> 3 < 4 <b')
+    own = warc_derive.Page(page)
+    assert own.text() == "onetwo 3 < 4 <b"
+    assert [x["url"] for x in own.links("http://h.example/d/e")] == ["http://h.example/sub/x", "http://h.example/sub/p.png", "http://h.example/sub/s.png", "http://h.example/l.png",
+                                                                     'http://h.example/sub/q"r', "http://h.example/sub/n.png", "http://h.example/sub/s.js"]
+    assert warc_derive.Page("<title>A &lt; B</title>x").title == "A &lt; B"
+
+
+def test_a_megabyte_of_unclosed_marks_is_read_in_linear_time():
+    for mark in ("<script ", "<a ", "<!--", "<a href='", '<a href="', "<script>", "<noscript>", "<head><a x='", "<", "</", "<a \"'", "<title>", "<p =\"<b ='"):
+        began = time.process_time()
+        warc_derive.Page(mark * (1_000_000 // len(mark))).text()
+        assert time.process_time() - began < 4, mark
