@@ -159,9 +159,9 @@ _BASELINES = [0.25, 0.5, 0.75]
   fs AS (SELECT listing_id, feature, min(q * 100 + r) AS met FROM t5 GROUP BY listing_id, feature),
   fo AS (SELECT *, row_number() OVER (PARTITION BY listing_id ORDER BY met) AS rnk FROM fs)
 SELECT fo.listing_id, CAST(fo.rnk AS INTEGER) AS rnk, fo.feature,
-  round(coalesce((SELECT weight FROM t5 WHERE t5.listing_id = fo.listing_id AND t5.feature = fo.feature AND q = 0.25), 0.0), 6) AS weight_1,
-  round(coalesce((SELECT weight FROM t5 WHERE t5.listing_id = fo.listing_id AND t5.feature = fo.feature AND q = 0.5), 0.0), 6) AS weight_2,
-  round(coalesce((SELECT weight FROM t5 WHERE t5.listing_id = fo.listing_id AND t5.feature = fo.feature AND q = 0.75), 0.0), 6) AS weight_3
+  round(coalesce((SELECT weight FROM t5 WHERE t5.listing_id = fo.listing_id AND t5.feature = fo.feature AND q = 0.25), 0.0), 12) AS weight_1,
+  round(coalesce((SELECT weight FROM t5 WHERE t5.listing_id = fo.listing_id AND t5.feature = fo.feature AND q = 0.5), 0.0), 12) AS weight_2,
+  round(coalesce((SELECT weight FROM t5 WHERE t5.listing_id = fo.listing_id AND t5.feature = fo.feature AND q = 0.75), 0.0), 12) AS weight_3
 FROM fo WHERE rnk <= 5""")
 def q_sensitivity_table(spark, sf):
     """For each test row, the first five features met in the top-5 lists of three baselines."""
@@ -173,7 +173,7 @@ def q_sensitivity_table(spark, sf):
     rows = lng.join(F.broadcast(base.join(coefs, "feature")), "feature")  # one row a feature
     each = F.array(*[F.struct(F.lit(q).alias("q"), (F.col("coef") * (F.coalesce("value", b) - F.col(b)) + 0.0).alias("weight")) for q, b in zip(_BASELINES, ("b1", "b2", "b3"))])
     weights = rows.select("listing_id", "feature", F.inline(each))
-    return round_doubles(A.sensitivity_table(A.packed(weights, ["listing_id", "q"]), ["listing_id"], "q", _BASELINES))
+    return round_doubles(A.sensitivity_table(A.packed(weights, ["listing_id", "q"]), ["listing_id"], "q", _BASELINES), 12)
 
 
 # ------------------------------------------------------------------ fitted models explained
@@ -261,7 +261,7 @@ def q_shap_sampled(spark, sf):
     return round_doubles(shap(spark, sf))
 
 
-@query("shap_additivity", "J6", oracle=WC + """SELECT m.model, te.listing_id AS obs_id, CAST(17 AS BIGINT) AS n_features, 0.0 AS gap
+@query("shap_additivity", "J6", oracle=WC + """SELECT m.model, te.listing_id AS obs_id, CAST(17 AS BIGINT) AS n_features, CAST(0 AS DOUBLE) AS gap
 FROM te CROSS JOIN (SELECT unnest(['LinearRegression', 'RandomForest', 'XGBoost', 'CatBoost']) AS model) m WHERE te.log_price IS NOT NULL""")
 def q_shap_additivity(spark, sf):
     """Sum of an explanation's weights less (prediction - mean prediction of the background): 0."""

@@ -278,7 +278,7 @@ def q_ridge(spark, sf):
     return _sweep(spark, sf, ["LinearRegression"])
 
 
-@query("ridge_stationarity", "I1", oracle=_SLOTS + """SELECT c.config_no, n.ord AS slot, 0.0 AS gradient
+@query("ridge_stationarity", "I1", oracle=_SLOTS + """SELECT c.config_no, n.ord AS slot, CAST(0 AS DOUBLE) AS gradient
 FROM nm2 n CROSS JOIN (SELECT CAST(unnest(range(1, 7)) AS INTEGER) AS config_no) c""")
 def q_ridge_stationarity(spark, sf):
     """Gradient of the penalised squares by coefficient, per row: 0 for an exact ridge."""
