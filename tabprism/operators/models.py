@@ -20,7 +20,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tabprism.session import cut_lineage
+
 RANDOM_STATE = 42
+BOOSTED = ("XGBoost", "CatBoost")
+FOREST_MEMORY_MB = 1024  # node statistics held at once; fewer passes over the rows
 
 
 @dataclass(frozen=True)
@@ -67,6 +71,14 @@ def model_grid() -> list[Config]:
     return g
 
 
+def reduced(cfg: Config, share: float) -> Config:
+    """The config with a share of its trees or iterations; its label says so. Depth and all other
+    parameters stay."""
+    p = {k: max(2, round(v * share)) if k in ("n_estimators", "iterations") else v for k, v in cfg.params.items()}
+    changed = [f"{k}={p[k]}" for k in p if p[k] != cfg.params[k]]
+    return Config(cfg.family, cfg.no, f"{cfg.label} [reduced: {', '.join(changed)}]" if changed else cfg.label, p, cfg.not_applied)
+
+
 def label_std(train: DataFrame, label: str = "label") -> float:
     return train.select(F.stddev_pop(label)).first()[0]
 
@@ -90,6 +102,7 @@ def estimator(cfg: Config, n_train: int, y_std: float, features: str = "features
                                      maxDepth=30 if p["max_depth"] is None else p["max_depth"],
                                      minInstancesPerNode=p["min_samples_leaf"],
                                      featureSubsetStrategy=str(feat) if not isinstance(feat, str) else feat,
+                                     maxMemoryInMB=FOREST_MEMORY_MB,
                                      seed=RANDOM_STATE)
     if cfg.family == "XGBoost":
         return GBTRegressor(featuresCol=features, labelCol=label, maxIter=p["n_estimators"],
@@ -116,15 +129,17 @@ def hyper_map(cfg: Config):
 
 
 # ------------------------------------------------------------------ fits side by side
-ROWS_PER_TASK = 20_000
+BOOST_ROWS, FOREST_ROWS = 20_000, 1_000  # rows a task, where the table is small
 FITS_AT_ONCE = 8
 
 
-def sized(train: DataFrame, n: int) -> DataFrame:
-    """``train`` in as many partitions as its rows ask for: a boosted fit is thousands of short
-    jobs, and each costs as much as its number of tasks when the table is small."""
-    parts = max(1, -(-n // ROWS_PER_TASK))
-    return train.coalesce(parts) if parts < train.rdd.getNumPartitions() else train
+def sized(train: DataFrame, n: int, each: int) -> DataFrame:
+    """``train`` in as many partitions as its rows ask for, up to the session's cores. A boosted fit is
+    thousands of short jobs, each as dear as its number of tasks; a forest is few and heavy ones.
+    A table with more partitions than cores stays as it is."""
+    cores, now = train.sparkSession.sparkContext.defaultParallelism, train.rdd.getNumPartitions()
+    parts = min(cores, max(1, -(-n // each)))
+    return train if now > cores or now == parts else train.coalesce(parts) if parts < now else train.repartition(parts)
 
 
 def applied(cfg: Config, seed: int | None = None) -> tuple:
@@ -136,7 +151,7 @@ def fit_all(train: DataFrame, configs: Sequence[Config], seeds: Sequence[int | N
     """Models of all configs by ``applied``, fitted side by side in driver threads (a boosted fit
     waits for its own jobs most of the time). ``train`` should be materialised: every fit reads it."""
     n, ys = train.agg(F.count(F.lit(1)), F.stddev_pop("label")).first()
-    rows = sized(train, n)
+    boost, forest = sized(train, n, BOOST_ROWS), cut_lineage(sized(train, n, FOREST_ROWS))
     distinct = {applied(c, s): (c, s) for c, s in zip(configs, seeds or [None] * len(configs))}
 
     def work(k: tuple) -> int:  # the longest first, so that none is left alone at the end
@@ -146,7 +161,7 @@ def fit_all(train: DataFrame, configs: Sequence[Config], seeds: Sequence[int | N
     def fit(k: tuple):
         cfg, seed = distinct[k]
         est = estimator(cfg, n, ys)
-        return (est if seed is None else est.setSeed(seed)).fit(rows)
+        return (est if seed is None else est.setSeed(seed)).fit(boost if cfg.family in BOOSTED else forest)
 
     order = sorted(distinct, key=work, reverse=True)
     with ThreadPoolExecutor(FITS_AT_ONCE) as pool:
@@ -196,6 +211,13 @@ CURVES = [
 ]
 
 
+def curves_at(share: float = 1.0) -> list[tuple]:
+    """The curves with a share of the trees and iterations at every point (1: the reference's)."""
+    few = lambda v: max(2, round(v * share))
+    return [(family, param, [few(v) for v in values] if param in ("n_estimators", "iterations") else values,
+             {k: few(v) if k in ("n_estimators", "iterations") else v for k, v in base.items()}) for family, param, values, base in CURVES]
+
+
 def curve_fits(family: str, param: str, values: Sequence[float], base: dict) -> list[tuple[Config, int | None]]:
     """(config, seed) of the fits a curve needs. Boosting: the largest alone, as every smaller
     one is its beginning. Forests: the stretches between the values, each with its own seed, as
@@ -265,7 +287,6 @@ def fit_text_classifier(sp: DataFrame, key: str, text: str, label: str, positive
                .withColumn("w", F.lit(float(n_train)) / (2.0 * F.col("_nc")))
     # the solver passes over the documents many times and they are scored afterwards:
     # materialize the assembled vectors once (reliable checkpoint, shared folder)
-    from tabprism.session import cut_lineage
     docs = cut_lineage(docs)
     lr = LogisticRegression(featuresCol="features", labelCol="y", weightCol="w", maxIter=max_iter,
                             regParam=1.0 / (c_reg * n_train), elasticNetParam=0.0, standardization=False,

@@ -11,7 +11,7 @@ from tabprism.operators import explain as X
 from tabprism.operators import models as M
 from tabprism.operators.quantiles import exact_quantiles
 from tabprism.operators.ranking import align_full, jaccard, minmax_scale, top_abs
-from tabprism.plans.model_plans import _scratch, observations, parameter_curves
+from tabprism.plans.model_plans import CURVE_SHARE, _scratch, observations, parameter_curves
 from tabprism.plans.model_store import EXPLAINED, store
 from tabprism.plans.prep_plans import _SPLIT_CTE, split_frame
 from tabprism.plans.registry import query
@@ -326,7 +326,7 @@ def q_explained_dependence(spark, sf):
 
 
 # ------------------------------------------------------------------ saved artefacts
-def save_artefacts(spark: SparkSession, sf: str, folder: str) -> DataFrame:
+def save_artefacts(spark: SparkSession, sf: str, folder: str, curves: DataFrame) -> DataFrame:
     """Models, learning curves and explanations with a manifest (kind, model, config, path),
     itself a table under ``folder``."""
     st, rows = store(spark, sf), []
@@ -335,7 +335,7 @@ def save_artefacts(spark: SparkSession, sf: str, folder: str) -> DataFrame:
             path = f"{folder}/model-{c.family}"
             st.explained_models()[c.family].write().overwrite().save(path)
             rows.append(("model", c.family, c.label, path))
-    for kind, table in (("curve", parameter_curves(spark, sf)), ("explanation", explanations(spark, sf))):
+    for kind, table in (("curve", curves), ("explanation", explanations(spark, sf))):
         table.write.parquet(f"{folder}/{kind}")
         rows.append((kind, None, None, f"{folder}/{kind}"))
     spark.createDataFrame(rows, "kind string, model string, config string, path string").write.parquet(f"{folder}/manifest")
@@ -354,7 +354,8 @@ def load_models(manifest: DataFrame) -> dict[str, object]:
 def q_artefacts_roundtrip(spark, sf):
     """Everything saved, loaded again and compared by value: predictions of all test rows, and all rows of the tables."""
     st = store(spark, sf)
-    manifest = save_artefacts(spark, sf, _scratch(spark, "artefacts"))
+    curves = cut_lineage(parameter_curves(spark, sf, CURVE_SHARE))
+    manifest = save_artefacts(spark, sf, _scratch(spark, "artefacts"), curves)
     loaded, own = load_models(manifest), st.explained_models()
     scored = st.split("test").select("features")
     for name in own:
@@ -363,7 +364,7 @@ def q_artefacts_roundtrip(spark, sf):
     same = scored.agg(*[F.bool_and(F.col(f"a_{n}") == F.col(f"b_{n}")).alias(n) for n in own])
     out = same.select(F.inline(F.array(*[F.struct(F.lit("model").alias("kind"), F.lit(n).alias("model"), F.col(n).alias("equal")) for n in own])))
     digest = lambda df: df.agg(F.count("*").alias("n"), F.sum(F.xxhash64(*df.columns).cast("decimal(38,0)")).alias("h")).first()
-    for kind, table in (("curve", parameter_curves(spark, sf)), ("explanation", explanations(spark, sf))):
+    for kind, table in (("curve", curves), ("explanation", explanations(spark, sf))):
         back = spark.read.parquet(manifest.where(F.col("kind") == kind).first()["path"])
         out = out.unionByName(spark.createDataFrame([(kind, None, digest(table) == digest(back))], "kind string, model string, equal boolean"))
     return out

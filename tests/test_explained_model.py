@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tabprism.operators import attribution as A
 from tabprism.operators import models as M
+from tabprism.plans.model_plans import query_grid
 from tabprism.plans.model_store import EXPLAINED, store
 from tests.conftest import SF_SMALL
 
@@ -137,4 +138,6 @@ def test_forest_stretches_and_boosted_prefixes(spark, fitted):
 
 def test_curves_are_the_full_ones():
     assert [len(c[2]) for c in M.CURVES] == [5, 5, 6, 5]
-    assert len(M.model_grid()) == 24
+    assert M.curves_at() == M.CURVES and M.curves_at(0.1)[3][2] == [5, 10, 15, 20, 30]
+    assert len(M.model_grid()) == len(query_grid()) == 24 and query_grid(1.0) == M.model_grid()
+    assert sum("reduced" in c.label for c in query_grid()) == 15

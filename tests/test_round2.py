@@ -50,6 +50,10 @@ def test_small_statistics_do_not_shuffle_the_rows(spark):
 def test_labels_state_their_own_parameters():
     grid = M.model_grid()
     assert len(grid) == 24 and len({(c.family, c.label) for c in grid}) == 24
+    for c in grid:
+        small = M.reduced(c, 0.05)
+        assert (small.label == c.label) == (small.params == c.params)
+        assert small.params.get("max_depth") == c.params.get("max_depth")
     assert [c.label for c in grid if c.family == "XGBoost"][4:] == ["C5: n=300,d=8,lr=0.03,L1=0.1", "C6: n=500,d=6,lr=0.02,L1=0.1,L2=2"]
 
 
