@@ -46,6 +46,7 @@ MIN_SCORE = 0.7
 MIN_OVERLAP = 0.5
 NON_ESSENTIAL = 0.1
 BLOCK = 16
+LEAST_CLASS = 64  # shorter items share an index: each index is one more search of every passage
 GROUP_BYTES = 16 << 20
 GRAM = 3
 WORD = re.compile(r"\w+")
@@ -82,31 +83,26 @@ def in_a_row(item: list[str], passage: list[str]) -> bool:
 
 
 def length_class(n: int) -> int:
-    """The words an item of n words is reckoned with: the next power of two, 16 at least."""
-    return max(16, 1 << max(0, n - 1).bit_length())
+    """The words an item of n words is reckoned with: the next power of two, ``LEAST_CLASS`` at least."""
+    return max(LEAST_CLASS, 1 << max(0, n - 1).bit_length())
 
 
 class ItemIndex:
     """Postings of items of one class, by term, with list and block maxima."""
 
-    def __init__(self, rows: list[tuple[int, object, str]], postings: list[tuple[int, str, int, int]], stats: tuple[int, float], terms: dict[str, int] | None = None):
-        """rows: (item number, id, text); postings: (number, term, tf, df); ``terms``: numbers of
-        the terms, shared with other indexes and complete."""
+    def __init__(self, rows: list[tuple[int, object, str]], postings: list[tuple[int, str, int, int]], stats: tuple[int, float]):
+        """rows: (item number, id, text); postings: (number, term, tf, df)."""
         n_items, mean = stats
         rows = sorted(rows, key=lambda r: len(words_of(r[2])))  # a block's items have like weights
-        self.stride = 2 * max((length_class(len(words_of(r[2]))) for r in rows), default=16)
+        self.stride = 2 * max((length_class(len(words_of(r[2]))) for r in rows), default=LEAST_CLASS)
         self.ids = [r[1] for r in rows]
         self.texts = [r[2] for r in rows]
         number = {r[0]: i for i, r in enumerate(rows)}
         length = np.array([len(words_of(t)) for t in self.texts], dtype=float)
         self.words = [len(words_of(t)) for t in self.texts]
-        if terms is None:
-            terms = {}
-            for p in postings:
-                terms.setdefault(p[1], len(terms))
-        self.terms = terms
+        self.terms: dict[str, int] = {}
         at = np.array([number[p[0]] for p in postings], dtype=np.int64)
-        term = np.array([terms[p[1]] for p in postings], dtype=np.int64)
+        term = np.array([self.terms.setdefault(p[1], len(self.terms)) for p in postings], dtype=np.int64)
         tf, df = (np.array([p[i] for p in postings], dtype=float) for i in (2, 3))
         impact = np.log1p((n_items - df + 0.5) / (df + 0.5)) * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length[at] / (mean or 1)))
         self.full = np.bincount(at, weights=impact, minlength=len(rows))
@@ -202,15 +198,22 @@ class ItemIndex:
 
 
 class Indexes:
-    """Indexes of all classes of a group of items, with one numbering of the terms."""
+    """Indexes of all classes of a group of items; words are looked up once for all of them."""
 
     def __init__(self, parts: list[ItemIndex]):
         self.parts = parts
+        self.terms: dict[str, int] = {}
+        for p in parts:
+            for w in p.terms:
+                self.terms.setdefault(w, len(self.terms))
+        self.local = [np.full(len(self.terms) + 1, -1, dtype=np.int64) for _ in parts]  # the last place is that of unknown words
+        for p, own in zip(parts, self.local):
+            own[[self.terms[w] for w in p.terms]] = list(p.terms.values())
 
     def hits(self, text: str) -> list[tuple[object, float, float, float]]:
         words = words_of(text)
-        ids = self.parts[0].term_numbers(words)
-        return [h for p in self.parts for h in p.hits(words, ids)]
+        ids = np.fromiter(map(self.terms.get, words, repeat(-1)), dtype=np.int64, count=len(words))
+        return [h for p, own in zip(self.parts, self.local) for h in p.hits(words, own[ids])]
 
 
 DENSE = 1 << 22  # cells that are kept as an array; more are sorted instead
@@ -275,9 +278,6 @@ def item_indexes(items: DataFrame, id_col: str = "item_id", text_col: str = "tex
         posted = [(r["n"], r["term"], r["tf"], r["df"]) for r in postings.where(own).select("n", "term", "tf", "df").collect()]
         if not posted:
             continue
-        terms: dict[str, int] = {}
-        for p in posted:
-            terms.setdefault(p[1], len(terms))
         of_class: dict[int, tuple[list, list]] = {}
         number = {}
         for r in held:
@@ -285,7 +285,7 @@ def item_indexes(items: DataFrame, id_col: str = "item_id", text_col: str = "tex
             of_class.setdefault(number[r[0]], ([], []))[0].append(r)
         for p in posted:
             of_class[number[p[0]]][1].append(p)
-        yield Indexes([ItemIndex(*of_class[c], (sizes["n"], sizes["mean"]), terms) for c in sorted(of_class) if of_class[c][1]])
+        yield Indexes([ItemIndex(*of_class[c], (sizes["n"], sizes["mean"])) for c in sorted(of_class) if of_class[c][1]])
 
 
 def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
