@@ -81,17 +81,13 @@ def ridge_from_sums(sums: DataFrame, keys: Sequence[str], features: Sequence[str
     """(keys, target, feature, weight): ridges with intercept from the columns ``w``, ``z_i``,
     ``z_i_j`` (i <= j), ``y_t`` and ``z_i_y_t``, sums over rows with weight w."""
     n, out = len(features), None
-    z = [F.col(f"z_{i}") for i in range(n)]
-    for t in targets:
-        y = F.col(f"y_{t}")
-        rows = []
-        for i in range(n):
-            left = [F.col(f"z_{min(i, j)}_{max(i, j)}") - z[i] * z[j] / F.col("w") + (alpha if i == j else 0.0) for j in range(n)]
-            rows.append(F.array(*left, F.col(f"z_{i}_y_{t}") - z[i] * y / F.col("w")))
-        own = sums.select(*keys, F.array(*rows).alias("m"))
+    for t in targets:  # as SQL text: some hundred cells a target
+        cells = [[f"z_{min(i, j)}_{max(i, j)} - z_{i} * z_{j} / w + {float(alpha) if i == j else 0.0}" for j in range(n)] + [f"z_{i}_y_{t} - z_{i} * y_{t} / w"] for i in range(n)]
+        matrix = "array(" + ", ".join("array(" + ", ".join(row) + ")" for row in cells) + ")"
+        own = sums.select(*keys, F.expr(matrix).alias("m"))
         own = own.select(*keys, F.expr(f"""aggregate(sequence(0, {n - 1}), m, (a, k) -> transform(a, (r, i) ->
             IF(i = k, transform(r, v -> v / a[k][k]), zip_with(r, a[k], (x, y) -> x - r[k] * y / a[k][k]))))""").alias("m"))
-        named = F.array(*[F.struct(F.lit(f).alias("feature"), F.col("m")[i][n].alias("weight")) for i, f in enumerate(features)])
+        named = F.arrays_zip(F.array(*map(F.lit, features)).alias("feature"), F.transform("m", lambda r: r[n]).alias("weight"))
         own = own.select(*keys, F.lit(t).alias("model"), F.inline(named))
         out = own if out is None else out.unionByName(own)
     return out
@@ -143,12 +139,11 @@ def lime_weights(models: dict[str, object], obs: DataFrame, space: FeatureSpace,
     scored = score(rows, space.pre, models, ["obs_id", "setting", "kernel_width", "z"])
     far = F.aggregate("z", F.lit(0.0), lambda a, x: a + 1.0 - x)
     scored = scored.withColumn("k", F.sqrt(F.exp(-far / (F.col("kernel_width") * F.col("kernel_width")))))
-    k, z = F.col("k"), [F.col("z")[i] for i in range(len(feats))]
-    sums = [F.sum(k).alias("w"), *[F.sum(k * x).alias(f"z_{i}") for i, x in enumerate(z)],
-            *[F.sum(k * z[i] * z[j]).alias(f"z_{i}_{j}") for i in range(len(z)) for j in range(i, len(z))]]
+    n = range(len(feats))
+    sums = ["sum(k) AS w", *[f"sum(k * z[{i}]) AS z_{i}" for i in n], *[f"sum(k * z[{i}] * z[{j}]) AS z_{i}_{j}" for i in n for j in n if i <= j]]
     for m in models:
-        y = F.col(f"p_{m}")
-        sums += [F.sum(k * y).alias(f"y_{m}"), *[F.sum(k * x * y).alias(f"z_{i}_y_{m}") for i, x in enumerate(z)]]
+        sums += [f"sum(k * p_{m}) AS y_{m}", *[f"sum(k * z[{i}] * p_{m}) AS z_{i}_y_{m}" for i in n]]
+    sums = [F.expr(x) for x in sums]
     solved = ridge_from_sums(scored.groupBy("obs_id", "setting").agg(*sums), ["obs_id", "setting"], feats, list(models), alpha)
     meta = F.array(*[F.struct(F.lit(n).alias("n_samples"), F.lit(float(kw)).alias("kernel_width"), F.lit(s).alias("sampling")) for n, kw, s in settings])
     return solved.withColumn("m", meta[F.col("setting")]).select("model", "obs_id", "m.n_samples", "m.kernel_width", "m.sampling", "feature", "weight")
