@@ -42,9 +42,13 @@ def adaptive_price(df: DataFrame, target: str = "log_price", limit: float = 20.0
     return F.when(global_max(df, target) < F.lit(limit), F.exp(F.col(target))).otherwise(F.col(target))
 
 
-def parse_percent(c) -> Column:
-    """A3: strip ``%`` and cast; junk -> NULL (``try_cast`` is ANSI-safe)."""
-    return F.regexp_replace(col_(c), "%", "").try_cast(T.DoubleType())
+def parse_percent(c, strict: bool = False) -> Column:
+    """A3: strip ``%`` and cast; junk -> NULL (``try_cast`` is ANSI-safe), or an error if ``strict``."""
+    bare = F.regexp_replace(col_(c), "%", "")
+    value = bare.try_cast(T.DoubleType())
+    if not strict:
+        return value
+    return F.when(bare.isNotNull() & value.isNull(), F.raise_error(F.concat(F.lit("no percentage: "), col_(c))).cast("double")).otherwise(value)
 
 
 def tenure_years(c="host_since", as_of: str = TENURE_AS_OF) -> Column:

@@ -119,6 +119,35 @@ def lexicon_score(df: DataFrame, key: str, text: Column | str, lexicon,
     return out.withColumn("score", s / F.sqrt(s * s + F.lit(alpha))).drop("_s")
 
 
+# VADER-style factor of a negated word, and how many words back a negation counts.
+NEGATED, NEGATION_REACH = -0.74, 3
+
+
+def plain_words(c: Column | str) -> Column:
+    """Lower-case runs of a to z; null has none."""
+    return F.regexp_extract_all(F.lower(F.coalesce(c, F.lit(""))), F.lit("[a-z]+"), F.lit(0))
+
+
+def context_score(df: DataFrame, key: str, words: str, lexicon: DataFrame, negations: Sequence[str], boosters: dict[str, float],
+                  alpha: float = SENTIMENT_ALPHA) -> DataFrame:
+    """G4 with word context: (key, score) of rows (key, words: array). A lexicon word's valence grows by
+    the intensifier right before it (away from 0) and is turned by a negation among the three words
+    before it. Context is read inside the row; the table ``lexicon`` (word, valence) is attached to
+    the words, so the rows are only dealt by their own key."""
+    strength = F.create_map(*[F.lit(x) for w, b in boosters.items() for x in (w, float(b))])
+
+    def marked(w: Column, i: Column) -> Column:
+        before = F.slice(F.col(words), F.greatest(i - NEGATION_REACH + 1, F.lit(1)), F.least(i, F.lit(NEGATION_REACH)))
+        return F.struct(w.alias("word"), F.exists(before, lambda x: x.isin(list(negations))).alias("negated"),
+                        F.when(i > 0, F.coalesce(strength[F.get(F.col(words), i - 1)], F.lit(0.0))).otherwise(0.0).alias("boost"))
+
+    hits = attach(df.select(key, F.inline(F.transform(words, marked))), lexicon, ["word"])
+    valence = (F.col("valence") + F.signum("valence") * F.col("boost")) * F.when(F.col("negated"), NEGATED).otherwise(1.0)
+    sums = hits.groupBy(key).agg(F.sum(valence).alias("_s"))
+    s = F.coalesce(F.col("_s"), F.lit(0.0))
+    return df.select(key).join(sums, key, "left").select(key, (s / F.sqrt(s * s + F.lit(alpha))).alias("score"))
+
+
 def label_by_threshold(score: Column | str, pos: float = POSITIVE_AT, neg: float = NEGATIVE_AT) -> Column:
     """>= pos Positive, <= neg Negative, otherwise Neutral."""
     s = F.col(score) if isinstance(score, str) else score

@@ -25,8 +25,9 @@ LINEAR_MODEL = [("accommodates", 0.06), ("bathrooms", 0.02), ("bedrooms", 0.10),
                 ("longitude", -0.005)]
 
 
-def contributions(spark: SparkSession, sf: str) -> DataFrame:
-    """(method, listing_id, feature, value, weight) for every test row and feature.
+def contributions(spark: SparkSession, sf: str, reused: bool = False) -> DataFrame:
+    """(method, listing_id, feature, value, weight) for every test row and feature; ``reused``: the
+    query reads it more than once, so it is materialised.
 
     'shap' = coef * (x - train mean) (exact SHAP of a linear model);
     'lime' = coef * (x - train median) (the same model against a median baseline).
@@ -43,8 +44,7 @@ def contributions(spark: SparkSession, sf: str) -> DataFrame:
     lime = X.linear_contributions(lng, coefs, stats.select("feature", F.col("median").alias("base")))
     out = (shap.select(F.lit("shap").alias("method"), "*")
            .unionByName(lime.select(F.lit("lime").alias("method"), "*")))
-    # read by several consumers per query (ranking, global importance, scaling)
-    return cut_lineage(out)
+    return cut_lineage(out) if reused else out
 
 
 _COEF_CTE = "coef(feature, coef) AS (VALUES " + ", ".join(
@@ -96,7 +96,7 @@ def q_shap_global(spark, sf):
 SELECT sh.listing_id, sh.feature, round(sh.weight, 6) AS weight,
   round((sh.value - mm.mn) / (mm.mx - mm.mn + 1e-9), 6) AS scaled FROM sh JOIN mm ON mm.feature = sh.feature""")
 def q_shap_beeswarm(spark, sf):
-    c = contributions(spark, sf).where(F.col("method") == "shap")
+    c = contributions(spark, sf, True).where(F.col("method") == "shap")
     top = X.global_importance(c, 5).select("feature")  # 5 rows
     sh = c.join(F.broadcast(top), "feature")
     return round_doubles(minmax_scale(sh, "feature", "value").select("listing_id", "feature", "weight", "scaled"))
@@ -105,7 +105,7 @@ def q_shap_beeswarm(spark, sf):
 @query("shap_dependence", "J9", oracle=WC + """SELECT ct.listing_id, ct.feature, round(ct.value, 6) AS value,
   round(ct.weight, 6) AS weight FROM ct JOIN g5 ON g5.feature = ct.feature WHERE method = 'shap' AND g5.rnk = 1""")
 def q_shap_dependence(spark, sf):
-    c = contributions(spark, sf).where(F.col("method") == "shap")
+    c = contributions(spark, sf, True).where(F.col("method") == "shap")
     top1 = X.global_importance(c, 1).select("feature")
     return round_doubles(c.join(F.broadcast(top1), "feature").select("listing_id", "feature", "value", "weight"))
 
@@ -126,7 +126,7 @@ SELECT coalesce(l.listing_id, s.listing_id) AS listing_id, coalesce(l.feature, s
   round(coalesce(l.weight, 0.0), 6) AS lime_weight, round(coalesce(s.weight, 0.0), 6) AS shap_weight
 FROM l FULL JOIN s ON l.listing_id = s.listing_id AND l.feature = s.feature""")
 def q_contribution_align(spark, sf):
-    t = top_abs(contributions(spark, sf), ["method", "listing_id"], "weight", 5)
+    t = top_abs(contributions(spark, sf, True), ["method", "listing_id"], "weight", 5)
     lime = t.where(F.col("method") == "lime")
     shap = t.where(F.col("method") == "shap")
     return round_doubles(align_full(lime, shap, ["listing_id", "feature"], "weight", "lime_weight", "shap_weight"))

@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from tabprism.functions.scalar import round_doubles
 from tabprism.operators import models as M
+from tabprism.operators.attach import attach
 from tabprism.operators.ranking import best_per_group, best_per_metric
 from tabprism.operators.sampling import hash_order, split3
 from tabprism.plans.model_store import FAMILIES, store
@@ -52,7 +53,7 @@ def group_mean_predictions(spark: SparkSession, sf: str, specs) -> DataFrame:
             st = train.groupBy(*keys).agg(F.sum("log_price").alias("_s"), F.count(F.lit(1)).alias("_n"))
             kk = float(k or 0)
             mean = (F.col("_s") + F.lit(kk) * gmean) / (F.col("_n") + F.lit(kk))
-            p = test.join(st, keys, "left").select("listing_id", F.col("log_price").alias("y"),
+            p = attach(test, st, keys, "left").select("listing_id", F.col("log_price").alias("y"),
                                                   F.coalesce(mean, gmean).alias("yhat"))
         else:
             p = test.select("listing_id", F.col("log_price").alias("y"), gmean.alias("yhat"))

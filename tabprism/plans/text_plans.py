@@ -17,6 +17,7 @@ from tabprism.operators.sampling import hash_uniform_bucket, sample_exact, split
 from tabprism.plans.registry import query
 from tabprism.session import cut_lineage
 from tabprism.sources.listings import listings_clean, oracle_with
+from tabprism.sources.tables import read_table
 
 # ----------------------------------------------------------------- shared oracle text
 _STOP_SQL = "[" + ", ".join(f"'{w}'" for w in T.STOP_WORDS) + "]"
@@ -202,12 +203,38 @@ def q_kde_by_sentiment(spark, sf):
     return round_doubles(S.kde(cl, "v", 400, by=["label"], min_n=10))
 
 
+# Word context on whole documents. The lexicon is the 300 most frequent words, each with a valence by
+# hash; the corpus is invented, so words that occur in it stand for negations and intensifiers.
+_NEGATIONS, _BOOSTERS = ["not", "no", "by", "der", "ou"], {"very": 0.293, "that": 0.293, "ein": 0.293, "est": -0.293}
+_BOOST_SQL = "CASE p1 " + " ".join(f"WHEN '{w}' THEN {b}" for w, b in _BOOSTERS.items()) + " ELSE 0.0 END"
+_NEG_SQL = " OR ".join(f"coalesce(p{k} IN ({', '.join(repr(w) for w in _NEGATIONS)}), false)" for k in (1, 2, 3))
+
+
+@query("lexicon_context", "G4", oracle=f"""
+WITH d AS (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[a-z]+') AS t FROM documents),
+  tok AS (SELECT doc_id, unnest(t) AS w, generate_subscripts(t, 1) AS i FROM d),
+  lex AS (SELECT w AS word, ((('0x' || substr(md5(w), 1, 4))::INT % 9) - 4) / 2.0 AS v FROM
+          (SELECT w, count(*) AS n FROM tok WHERE length(w) >= 3 GROUP BY w ORDER BY n DESC, w LIMIT 300) x),
+  ctx AS (SELECT doc_id, w, lag(w, 1) OVER o AS p1, lag(w, 2) OVER o AS p2, lag(w, 3) OVER o AS p3 FROM tok
+          WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+  hit AS (SELECT doc_id, (v + sign(v) * {_BOOST_SQL}) * CASE WHEN {_NEG_SQL} THEN -0.74 ELSE 1.0 END AS x
+          FROM ctx JOIN lex ON w = word),
+  sm AS (SELECT doc_id, sum(x)::DOUBLE AS s FROM hit GROUP BY doc_id)
+SELECT d.doc_id, round(coalesce(s, 0) / sqrt(coalesce(s, 0) * coalesce(s, 0) + 15), 6) AS score FROM d LEFT JOIN sm USING (doc_id)""")
+def q_lexicon_context(spark, sf):
+    docs = read_table(spark, sf, "documents").select("doc_id", T.plain_words("text").alias("t"))
+    words = docs.select(F.explode("t").alias("word")).where(F.length("word") >= 3).groupBy("word").count()
+    valence = (F.pmod(F.conv(F.substring(F.md5("word"), 1, 4), 16, 10).cast("int"), F.lit(9)) - 4) / 2.0
+    lexicon = words.orderBy(F.desc("count"), "word").limit(300).select("word", valence.alias("valence"))
+    return round_doubles(T.context_score(docs, "doc_id", "t", lexicon, _NEGATIONS, _BOOSTERS))
+
+
 @query("sentiment_trend", "G6", oracle=WN + """
 , s AS (SELECT * FROM lab ORDER BY md5(CAST(listing_id AS VARCHAR) || '|42'), listing_id LIMIT 5000),
   c AS (SELECT score, least(price, (SELECT quantile_cont(price, 0.99) FROM s)) AS y FROM s)
 SELECT count(*) AS n, round(regr_slope(y, score), 6) AS slope, round(regr_intercept(y, score), 6) AS intercept FROM c""")
 def q_sentiment_trend(spark, sf):
-    s = sample_exact(name_sentiment_frame(spark, sf), "listing_id", 5000, 42)
+    s = cut_lineage(sample_exact(name_sentiment_frame(spark, sf), "listing_id", 5000, 42))  # read twice
     p99 = exact_quantiles(s, "price", [0.99], names=["p99"]).select("p99").scalar()
     c = s.select("score", F.least("price", p99).alias("y"))
     return round_doubles(c.agg(F.count(F.lit(1)).alias("n"), F.regr_slope("y", "score").alias("slope"),
@@ -299,5 +326,5 @@ def q_classification_report(spark, sf):
     sp = lc.withColumn("split", F.when(b < 6, "train").when(b < 8, "val").otherwise("test"))
     counts = sp.where(F.col("split") == "train").groupBy("city", "room_type").agg(F.count(F.lit(1)).alias("c"))
     mode = counts.groupBy("city").agg(F.min_by("room_type", F.struct(-F.col("c"), F.col("room_type"))).alias("yhat"))
-    te = sp.where(F.col("split") == "test").join(mode, "city").select(F.col("room_type").alias("y"), "yhat")
+    te = attach(sp.where(F.col("split") == "test"), mode, ["city"]).select(F.col("room_type").alias("y"), "yhat")
     return round_doubles(T.classification_report(te, "y", "yhat"))

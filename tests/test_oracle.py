@@ -8,9 +8,7 @@ import pytest
 from tests.conftest import SF_SMALL
 from tabprism.plans.registry import entries
 
-_SLOW_ROWS = {"config_sweep", "gbt_fit_a", "gbt_fit_b", "random_forest_fit", "parameter_curve",
-              "sentiment_classifier", "top_coefficients", "lime_n_sensitivity", "lime_kernel_sensitivity",
-              "lime_sampling", "lime_local"}
+_SLOW_ROWS = {"sentiment_classifier", "top_coefficients"}
 
 _TYPE_MAP = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
 

@@ -93,3 +93,25 @@ def test_cluster_without_shared_folder_is_refused(spark):
 
     with pytest.raises(ValueError):
         session.ensure_checkpoint_dir(FakeSession())
+
+
+def test_strict_percentages_raise(spark):
+    import pytest
+    from tabprism.functions.scalar import parse_percent
+    good = spark.createDataFrame([("95%",), (None,), ("7",)], "p string")
+    assert [r.v for r in good.select(parse_percent("p", strict=True).alias("v")).collect()] == [95.0, None, 7.0]
+    bad = spark.createDataFrame([("N/A",)], "p string")
+    assert bad.select(parse_percent("p").alias("v")).first().v is None
+    with pytest.raises(Exception, match="no percentage"):
+        bad.select(parse_percent("p", strict=True).alias("v")).collect()
+
+
+def test_word_context_negates_and_strengthens(spark):
+    from tabprism.operators import text as T
+    rows = [(1, "good"), (2, "very good"), (3, "not a very good"), (4, "not one two three good"), (5, "bad very"), (6, None), (7, "very bad")]
+    df = spark.createDataFrame(rows, "k long, s string").select("k", T.plain_words("s").alias("t"))
+    lex = spark.createDataFrame([("good", 2.0), ("bad", -2.0)], "word string, valence double")
+    got = {r.k: r.score for r in T.context_score(df, "k", "t", lex, ["not"], {"very": 0.293}).collect()}
+    norm = lambda s: s / (s * s + 15) ** 0.5
+    want = {1: norm(2.0), 2: norm(2.293), 3: norm(-0.74 * 2.293), 4: norm(2.0), 5: norm(-2.0), 6: 0.0, 7: norm(-2.293)}
+    assert all(abs(got[k] - v) < 1e-12 for k, v in want.items()) and len(got) == 7
