@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark import inheritable_thread_target
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import vector_to_array
@@ -187,6 +188,31 @@ def config_sweep(train: DataFrame, evaluate: DataFrame, configs: Sequence[Config
     return meta.join(met, ["model", "config_no"])
 
 
+MAX_GRAM_SLOTS = 4_000  # the matrix of products on the driver: 128 MB
+
+
+def ridge_from_gram(train: DataFrame, alphas: Sequence[float]) -> dict[float, tuple[np.ndarray, float]]:
+    """(coefficients, intercept) by alpha, all from one pass: the products of each row's set slots
+    are summed per pair of slots (map-side first), and the small system is solved on the driver."""
+    width = train.select(F.max(F.size(vector_to_array("features")))).first()[0]
+    if width > MAX_GRAM_SLOTS:
+        raise ValueError(f"more than {MAX_GRAM_SLOTS} slots; use the iterative solver")
+    # The label and a constant 1 join as two more slots, so one table holds all sums.
+    slots = F.concat(vector_to_array("features"), F.array(F.col("label").cast("double"), F.lit(1.0)))
+    rows = train.select(F.filter(F.transform(slots, lambda x, i: F.struct(i.alias("i"), x.alias("x"))), lambda e: e["x"] != 0).alias("e"))
+    pairs = rows.select(F.inline(F.expr("flatten(transform(e, (p, k) -> transform(slice(e, k + 1, size(e)), q -> struct(p.i AS i, q.i AS j, p.x * q.x AS v))))")))
+    gram = np.zeros((width + 2, width + 2))
+    for i, j, v in pairs.groupBy("i", "j").agg(F.sum("v")).collect():  # (width + 2)^2 / 2 sums at most
+        gram[i, j] = gram[j, i] = v
+    n, mean = gram[-1, -1], gram[-1, :-1] / gram[-1, -1]
+    inner = gram[:-1, :-1] - n * np.outer(mean, mean)
+    out = {}
+    for a in alphas:
+        beta = np.linalg.solve(inner[:-1, :-1] + a * np.eye(width), inner[:-1, -1])
+        out[a] = (beta, float(mean[-1] - mean[:-1] @ beta))
+    return out
+
+
 def ridge_gradients(train: DataFrame, models: dict[int, tuple[float, object]]) -> DataFrame:
     """(config_no, slot, gradient): mean over the rows of ``x * (y - prediction)`` less the penalty
     ``alpha * coefficient / rows``, by coefficient. One aggregate over the set slots of all rows."""

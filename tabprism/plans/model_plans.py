@@ -10,6 +10,7 @@ from __future__ import annotations
 import os
 import uuid
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -302,6 +303,24 @@ def q_ridge_stationarity(spark, sf):
     return round_doubles(M.ridge_gradients(st.split("train"), {c.no: (c.params["alpha"], fitted[M.applied(c)]) for c in cfgs}))
 
 
+@query("ridge_gram", "I1", oracle="SELECT CAST(unnest(range(1, 7)) AS INTEGER) AS config_no, CAST(0 AS DOUBLE) AS gap")
+def q_ridge_gram(spark, sf):
+    """Largest difference between the solver's predictions of the test rows and those of the ridges
+    from one matrix of products, by config."""
+    st = store(spark, sf)
+    cfgs = [c for c in M.model_grid() if c.family == "LinearRegression"]
+    fitted, own = st.fitted(cfgs), M.ridge_from_gram(st.split("train"), [c.params["alpha"] for c in cfgs])
+    rows, gaps = st.split("test"), []
+    for c in cfgs:
+        m = fitted[M.applied(c)]
+        rows = m.copy({m.predictionCol: f"p{c.no}"}).transform(rows)
+        beta, start = own[c.params["alpha"]]
+        table = F.array(*[F.lit(float(b)) for b in beta])
+        dot = F.aggregate(F.zip_with(vector_to_array("features"), table, lambda x, b: x * b), F.lit(start), lambda a, x: a + x)
+        gaps.append(F.struct(F.lit(c.no).alias("config_no"), F.abs(F.col(f"p{c.no}") - dot).alias("gap")))
+    return round_doubles(rows.select(F.inline(F.array(*gaps))).groupBy("config_no").agg(F.max("gap").alias("gap")))
+
+
 @query("random_forest_fit", "I2")
 def q_forest(spark, sf):
     return _sweep(spark, sf, ["RandomForest"])

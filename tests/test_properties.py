@@ -111,3 +111,15 @@ def test_exact_quantiles_with_a_hot_key(spark):
         assert np.allclose([got[key]["a"], got[key]["b"], got[key]["c"]], np.percentile(arr, [25, 50, 99]),
                            atol=1e-12)
     assert len(got) == len(set(keys))
+
+
+def test_ridge_from_one_matrix_of_products(spark):
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(400, 6)) * (rng.random((400, 6)) < 0.5)
+    y = x @ np.arange(6) + 3 + rng.normal(size=400)
+    from pyspark.ml.linalg import Vectors
+    df = spark.createDataFrame([(Vectors.dense(a), float(b)) for a, b in zip(x, y)], ["features", "label"])
+    for alpha, (beta, start) in M.ridge_from_gram(df, [0.1, 10.0]).items():
+        xc, yc = x - x.mean(0), y - y.mean()
+        want = np.linalg.solve(xc.T @ xc + alpha * np.eye(6), xc.T @ yc)
+        assert np.allclose(beta, want, atol=1e-10) and abs(start - (y.mean() - x.mean(0) @ want)) < 1e-10
