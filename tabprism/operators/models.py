@@ -15,13 +15,13 @@ import numpy as np
 from pyspark import inheritable_thread_target
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.linalg import SparseVector, VectorUDT
+from pyspark.ml.linalg import VectorUDT
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabprism.session import cut_lineage
+from tabprism.session import cut_lineage, scratch_path
 
 RANDOM_STATE = 42
 BOOSTED = ("XGBoost", "CatBoost")
@@ -280,60 +280,94 @@ def parameter_curve(train: DataFrame, val: DataFrame, family: str, param: str, v
 
 
 # ------------------------------------------------------------------ text classifier
-def _to_sparse(size: int):
-    @F.udf(VectorUDT())
-    def build(entries):
-        # per-row helper: (idx, weight) pairs -> SparseVector
-        if not entries:
-            return SparseVector(size, [], [])
-        pairs = sorted((int(e[0]), float(e[1])) for e in entries)
-        return SparseVector(size, [p[0] for p in pairs], [p[1] for p in pairs])
-    return build
+@dataclass
+class TextClassifier:
+    """Fitted by ``fit_text_classifier``; ``path``: table of key, label, split, y, w and features."""
+    path: str
+    documents: DataFrame
+    key: str
+    model: object
+    vocabulary: DataFrame
+    penalty: float  # of the mean loss: penalty / 2 * ||b||^2
+    n_train: int
+    classes: tuple[str, str]  # positive, other
+
+    def predictions(self) -> DataFrame:
+        yes, no = self.classes
+        scored = self.model.transform(self.documents)
+        return scored.withColumn("prediction", F.when(F.col("prediction") == 1.0, yes).otherwise(no))
+
+
+def sparse_documents(docs: DataFrame, key: str, weights: DataFrame, vocab: DataFrame, size: int) -> tuple[DataFrame, str]:
+    """``docs`` plus ``features``: the (key, term, weight) entries of each row as a sparse vector. Also
+    the folder of the table behind it.
+
+    A vector is stored as a struct of its kind, width, places and values. The struct is put together
+    by built-in functions and written to the shared folder; reading that table as a vector column
+    makes it one, so no row passes through Python, and the solver's many passes start from the table.
+    """
+    entries = weights.join(F.broadcast(vocab.select("term", "idx")), "term") \
+                     .groupBy(key).agg(F.array_sort(F.collect_list(F.struct("idx", "weight"))).alias("_e"))  # one doc's terms
+    joined = docs.join(entries, key, "left").withColumn("_e", F.coalesce("_e", F.array().cast("array<struct<idx:int,weight:double>>")))
+    stored = F.struct(F.lit(0).cast("tinyint").alias("type"), F.lit(size).alias("size"),
+                      F.transform("_e", lambda e: e["idx"]).alias("indices"), F.transform("_e", lambda e: e["weight"]).alias("values"))
+    path = scratch_path(docs.sparkSession, "documents-as-vectors")
+    joined.select(*docs.columns, stored.alias("features")).write.parquet(path)
+    schema = T.StructType([*docs.schema.fields, T.StructField("features", VectorUDT())])
+    return docs.sparkSession.read.schema(schema).parquet(path), path
 
 
 def fit_text_classifier(sp: DataFrame, key: str, text: str, label: str, positive: str, c_reg: float = 1.0,
-                        max_iter: int = 500, tol: float = 1e-4):
+                        max_iter: int = 500, tol: float = 1e-12) -> TextClassifier:
     """Balanced L2 logistic regression on TF-IDF 1-2-grams fitted on the train split.
 
-    sklearn's ``C * sum(w_i loss_i) + ||b||^2 / 2`` equals Spark's weighted-mean loss
-    with ``regParam = 1 / (C * sum(w))``; balanced weights ``n / (2 n_class)`` sum to n.
-    Returns (predictions, model, vocabulary).
+    The penalised sum ``C * sum(w_i loss_i) + ||b||^2 / 2`` is ``C n`` times Spark's weighted mean loss
+    with ``regParam = 1 / (C n)``; balanced weights ``n / (2 n_class)`` sum to n. ``tol`` bounds the
+    relative change of the loss, not the gradient, so it is set far below the figures wanted.
+    Rows without text or without any known term have an empty vector.
     """
     from tabprism.operators.text import tfidf
     train = sp.where(F.col("split") == "train")
     weights, vocab = tfidf(sp, key, text, vocab_from=train)
-    size = vocab.count()
-    entries = weights.join(F.broadcast(vocab.select("term", "idx")), "term") \
-                     .groupBy(key).agg(F.collect_list(F.struct("idx", "weight")).alias("_e"))  # one doc's terms
-    docs = sp.join(entries, key, "left").withColumn("features", _to_sparse(size)(F.col("_e"))).drop("_e")
-    docs = docs.withColumn("y", (F.col(label) == positive).cast("double"))
-    counts = train.groupBy(label).agg(F.count(F.lit(1)).alias("_nc"))
-    n_train = train.count()
-    docs = docs.join(F.broadcast(counts), label, "left") \
-               .withColumn("w", F.lit(float(n_train)) / (2.0 * F.col("_nc")))
-    # the solver passes over the documents many times and they are scored afterwards:
-    # materialize the assembled vectors once (reliable checkpoint, shared folder)
-    docs = cut_lineage(docs)
+    vocab = cut_lineage(vocab)  # its size, the entries and the names of the coefficients all read it
+    counts = {r[label]: r["n"] for r in train.groupBy(label).agg(F.count(F.lit(1)).alias("n")).limit(3).collect()}
+    if len(counts) != 2 or positive not in counts:
+        raise ValueError(f"the train split needs two classes, {positive!r} one of them; it has {sorted(map(str, counts))}")
+    n_train, other = sum(counts.values()), next(c for c in counts if c != positive)
+    own = F.when(F.col(label) == positive, n_train / (2.0 * counts[positive])).otherwise(n_train / (2.0 * counts[other]))
+    docs = sp.select(key, label, "split", (F.col(label) == positive).cast("double").alias("y"), own.alias("w"))
+    docs, path = sparse_documents(docs, key, weights, vocab, vocab.count())
+    penalty = 1.0 / (c_reg * n_train)
     lr = LogisticRegression(featuresCol="features", labelCol="y", weightCol="w", maxIter=max_iter,
-                            regParam=1.0 / (c_reg * n_train), elasticNetParam=0.0, standardization=False,
-                            tol=tol)  # the reference solver's default tolerance
-    model = lr.fit(docs.where(F.col("split") == "train"))
-    neg = "Negative" if positive == "Positive" else "other"
-    pred = model.transform(docs).withColumn(
-        "prediction", F.when(F.col("prediction") == 1.0, F.lit(positive)).otherwise(F.lit(neg)))
-    return pred.select(key, label, "prediction", "split"), model, vocab
-
-
-def top_terms(spark: SparkSession, model, vocab: DataFrame, k: int = 15) -> DataFrame:
-    """The k largest and k smallest coefficients with their terms.
-
-    The coefficient vector has one entry per vocabulary term (capped by the TF-IDF
-    ``max_features``), so it is a bounded, model-sized table.
-    """
-    coefs = model.coefficients.toArray().tolist()
-    cdf = spark.createDataFrame(list(enumerate(coefs)), T.StructType([
-        T.StructField("idx", T.IntegerType()), T.StructField("coef", T.DoubleType())]))
-    j = cdf.join(vocab.select("term", "idx"), "idx")
+                            regParam=penalty, elasticNetParam=0.0, standardization=False, tol=tol)
+    return TextClassifier(path, docs, key, lr.fit(docs.where(F.col("split") == "train")), vocab, penalty, n_train, (positive, other))
+
+
+def classifier_gradients(fit: TextClassifier) -> DataFrame:
+    """(term, gradient) of the penalised mean loss by coefficient, the intercept as term null: the mean
+    of ``w * (p - y) * x`` over the train rows plus the penalty's part, 0 at the optimum. Each row's own
+    entries only, summed map-side first."""
+    pull = F.col("w") * (vector_to_array("probability")[1] - F.col("y"))
+    train = fit.model.transform(fit.documents.where(F.col("split") == "train")).select(fit.key, pull.alias("pull"))
+    vector = "features struct<type:tinyint,size:int,indices:array<int>,values:array<double>>"
+    kind = fit.documents.schema[fit.key].dataType.simpleString()
+    plain = fit.documents.sparkSession.read.schema(f"`{fit.key}` {kind}, {vector}").parquet(fit.path)
+    entries = plain.select(fit.key, F.inline(F.arrays_zip(F.col("features.indices").alias("idx"), F.col("features.values").alias("x"))))
+    sums = entries.join(train, fit.key).groupBy("idx").agg(F.sum(F.col("x") * F.col("pull")).alias("s"))
+    slopes = fit.vocabulary.select("idx", "term").join(coefficients(fit), "idx").join(F.broadcast(sums), "idx", "left")
+    slopes = slopes.select("term", (F.coalesce("s", F.lit(0.0)) / fit.n_train + F.col("coef") * fit.penalty).alias("gradient"))
+    start = train.agg((F.sum("pull") / fit.n_train).alias("gradient")).select(F.lit(None).cast("string").alias("term"), "gradient")
+    return slopes.unionByName(start).select("term", (F.col("gradient") + 0.0).alias("gradient"))
+
+
+def coefficients(fit: TextClassifier) -> DataFrame:
+    """(idx, coef): one row per vocabulary term, whose number the TF-IDF ``max_features`` bounds."""
+    return fit.documents.sparkSession.createDataFrame(list(enumerate(fit.model.coefficients.toArray().tolist())), "idx int, coef double")
+
+
+def top_terms(fit: TextClassifier, k: int = 15) -> DataFrame:
+    """The k largest and k smallest coefficients with their terms."""
+    j = coefficients(fit).join(fit.vocabulary.select("term", "idx"), "idx")
     pos = j.orderBy(F.desc("coef"), "term").limit(k).withColumn("side", F.lit("positive"))
     neg = j.orderBy(F.asc("coef"), "term").limit(k).withColumn("side", F.lit("negative"))
     return pos.unionByName(neg).select("side", "term", "coef")

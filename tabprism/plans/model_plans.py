@@ -7,9 +7,6 @@ rows-only checks.
 
 from __future__ import annotations
 
-import os
-import uuid
-
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,7 +20,7 @@ from tabprism.operators.sampling import hash_order, split3
 from tabprism.plans.model_store import FAMILIES, store
 from tabprism.plans.prep_plans import CAT, NUM, WS, _mode_cte
 from tabprism.plans.registry import query
-from tabprism.session import ensure_checkpoint_dir
+from tabprism.session import scratch_path
 from tabprism.sources.listings import listings_clean, oracle_with
 
 # ------------------------------------------------------------------ group-mean predictors
@@ -205,11 +202,6 @@ def q_sweep_report(spark, sf):
                     "best_config", "best_rmse")
 
 
-def _scratch(spark: SparkSession, name: str) -> str:
-    base = ensure_checkpoint_dir(spark)
-    return os.path.join(base, f"{name}-{uuid.uuid4().hex}")
-
-
 _REPORT_SCHEMA = T.StructType([
     T.StructField("model", T.StringType()),
     T.StructField("configs", T.ArrayType(T.StructType([
@@ -240,7 +232,7 @@ def read_report(spark: SparkSession, path: str) -> DataFrame:
   row_number() OVER (PARTITION BY model ORDER BY rmse, config_no) = 1 AS is_best,
   first_value(config_label) OVER (PARTITION BY model ORDER BY rmse, config_no) AS best_config FROM sw""")
 def q_json_roundtrip(spark, sf):
-    path = _scratch(spark, "sweep-report")
+    path = scratch_path(spark, "sweep-report")
     write_report(sweep_report(spark, sf), path)
     back = read_report(spark, path)
     c = back.select("model", "best_config", F.explode("configs").alias("c"))
@@ -262,7 +254,7 @@ def load_split(spark: SparkSession, path: str, split: str) -> DataFrame:
 @query("splits_parquet_roundtrip", "A6", oracle=oracle_with() + _SPLIT_LC +
        "SELECT listing_id, split, round(log_price, 6) AS log_price FROM te")
 def q_splits_roundtrip(spark, sf):
-    path = _scratch(spark, "splits")
+    path = scratch_path(spark, "splits")
     save_splits(_split_lc(spark, sf).select("listing_id", "log_price", "split"), path)
     return round_doubles(load_split(spark, path, "test").select("listing_id", "split", "log_price"))
 
@@ -388,7 +380,7 @@ def q_model_persist(spark, sf):
     from pyspark.ml import PipelineModel
     st = store(spark, sf)
     full = PipelineModel(st.pre.model.stages + [st.explained_models()["LinearRegression"]])
-    path = _scratch(spark, "pipeline")
+    path = scratch_path(spark, "pipeline")
     full.write().overwrite().save(path)
     loaded = PipelineModel.load(path)
     test = st.raw.where(F.col("split") == "test")

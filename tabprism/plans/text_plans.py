@@ -9,6 +9,7 @@ from tabprism.functions.binning import (PRICE_BINS_7, case_sql_right_closed, rig
                                         values_sql)
 from tabprism.functions.scalar import adaptive_price, normalise_text, round_doubles
 from tabprism.operators import bins as B
+from tabprism.operators import models as M
 from tabprism.operators import stats as S
 from tabprism.operators import text as T
 from tabprism.operators.attach import attach
@@ -276,20 +277,32 @@ def q_tfidf(spark, sf):
     return round_doubles(weights)
 
 
+_classifiers: dict[tuple[str, str], M.TextClassifier] = {}
+
+
+def name_classifier(spark: SparkSession, sf: str) -> M.TextClassifier:
+    """The folder's classifier of names, fitted once a session for all queries that speak of it."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _classifiers:
+        _classifiers[key] = M.fit_text_classifier(binary_split(spark, sf), "listing_id", "name_clean", "label", positive="Positive")
+    return _classifiers[key]
+
+
 @query("sentiment_classifier", "G8")
 def q_classifier(spark, sf):
-    from tabprism.operators.models import fit_text_classifier
-    sp = binary_split(spark, sf)
-    preds, _, _ = fit_text_classifier(sp, "listing_id", "name_clean", "label", positive="Positive")
-    return preds.select("listing_id", "label", "prediction", "split")
+    return name_classifier(spark, sf).predictions().select("listing_id", "label", "prediction", "split")
+
+
+@query("classifier_stationarity", "G8", oracle=_G7_SQL[:_G7_SQL.rindex("SELECT w.listing_id")] +
+       "SELECT term, CAST(0 AS DOUBLE) AS gradient FROM voc UNION ALL SELECT NULL, 0.0")
+def q_classifier_stationarity(spark, sf):
+    """Gradient of the classifier's penalised loss by term: 0 for an exact fit on the right vocabulary."""
+    return round_doubles(M.classifier_gradients(name_classifier(spark, sf)))
 
 
 @query("top_coefficients", "E4")
 def q_top_coefficients(spark, sf):
-    from tabprism.operators.models import fit_text_classifier, top_terms
-    sp = binary_split(spark, sf)
-    _, model, vocab = fit_text_classifier(sp, "listing_id", "name_clean", "label", positive="Positive")
-    return top_terms(spark, model, vocab, 15)
+    return M.top_terms(name_classifier(spark, sf), 15)
 
 
 _G9_SQL = oracle_with() + """

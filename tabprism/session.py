@@ -7,7 +7,9 @@ already present, and the checkpoint folder is always read from the session's
 
 from __future__ import annotations
 
+import posixpath
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -66,6 +68,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return current
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh folder (not yet made) in the shared checkpoint folder."""
+    return posixpath.join(ensure_checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex}")
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared folder (survives executor loss)."""
     ensure_checkpoint_dir(df.sparkSession)

@@ -1,5 +1,5 @@
 """Every registered query with an oracle equals its DuckDB twin on sf0.001;
-every rows-only query runs (fast ones only; the full set runs in tools/oracle_check.py)."""
+every rows-only query runs."""
 
 import math
 
@@ -8,8 +8,6 @@ import pytest
 from tests.conftest import SF_SMALL
 from tabprism.plans.registry import entries
 
-_SLOW_ROWS = {"sentiment_classifier", "top_coefficients"}
-
 _TYPE_MAP = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
 
 
@@ -22,7 +20,7 @@ def _norm(v):
 
 
 ORACLE = sorted(k for k, e in entries().items() if e.oracle)
-ROWS = sorted(k for k, e in entries().items() if not e.oracle and k not in _SLOW_ROWS)
+ROWS = sorted(k for k, e in entries().items() if not e.oracle)
 
 
 @pytest.mark.parametrize("name", ORACLE)
