@@ -239,8 +239,24 @@ class TokenIndex:
     width: int
 
 
+# Schemes of Hadoop's paths and the names Arrow has for them.
+ARROW_SCHEMES = {"file": "file", "hdfs": "hdfs", "viewfs": "viewfs", "s3": "s3", "s3a": "s3", "s3n": "s3",
+                 "gs": "gs", "gcs": "gs", "abfs": "abfs", "abfss": "abfss"}
+
+
+def arrow_uri(folder: str) -> str:
+    """The folder as Arrow names it; paths without a scheme stay. A scheme that Arrow cannot
+    open is refused, which ``write_index`` does before any job."""
+    scheme, colon, rest = folder.partition(":")
+    if not colon or "/" in scheme:
+        return folder
+    if scheme.lower() not in ARROW_SCHEMES:
+        raise ValueError(f"index files cannot be written to {scheme}: paths; set spark.checkpoint.dir to one of {', '.join(ARROW_SCHEMES)}")
+    return f"{ARROW_SCHEMES[scheme.lower()]}:{rest}"
+
+
 def _store(folder: str) -> tuple[fs.FileSystem, str]:
-    return fs.FileSystem.from_uri(folder)
+    return fs.FileSystem.from_uri(arrow_uri(folder))
 
 
 def _hashes(key: Column) -> list[Column]:
@@ -251,6 +267,7 @@ def write_index(df: DataFrame, tokenizer: str, end_id: int | None, id_col: str =
                 shard_bytes: int = SHARD_BYTES) -> TokenIndex:
     """Encode all texts, write payload and index files, and return where they are."""
     spark, folder = df.sparkSession, shared_folder(df.sparkSession, "token-index")
+    arrow_uri(folder)
     width = LibraryEncoder(tokenizer).type.itemsize
     total = df.agg(F.sum(F.octet_length(text_col))).first()[0]
     order = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))

@@ -84,3 +84,11 @@ def test_edge_rows_and_keyed_access(spark, library):
     assert sorted(str(r.doc_id) for r in mph_index.lookup(index, asked).collect()) == ["150", "3", "3", "3", "None"]
     empty = mph_index.write_index(df.limit(0), FILE, 2)
     assert mph_index.lookup(empty, asked).count() == 0
+
+
+def test_folders_of_object_stores_get_arrow_names():
+    for given, want in (("/tmp/x", "/tmp/x"), ("file:/tmp/a b", "file:/tmp/a b"), ("s3a://bucket/a:b/c", "s3://bucket/a:b/c"), ("S3N://b/c", "s3://b/c"),
+                        ("hdfs://host:8020/x", "hdfs://host:8020/x"), ("gcs://b/c", "gs://b/c"), ("abfss://c@a/x", "abfss://c@a/x")):
+        assert mph_index.arrow_uri(given) == want
+    with pytest.raises(ValueError, match="dbfs"):
+        mph_index.arrow_uri("dbfs:/tmp/x")
