@@ -11,7 +11,8 @@ fingerprints are turned into 64 vertical bit planes; lane i is compared with lan
 for k = 1, 2, ..., 64 lanes a machine word, with carry-save counters, and words in
 which every lane is beyond the radius are abandoned. Each task emits a spanning forest
 of its links, at most one edge per fingerprint; star contraction joins the forests.
-Buckets have no cap: a large one is cut again by its remaining bits.
+Buckets have no cap: a crowded one is dealt again by parts of its remaining bits before the
+shuffle (``bucketed``), and a task cuts a large one once more by itself.
 
 Defined results: null text = empty text = fingerprint 0, linked like any other; null ids
 take part but never name a component unless all ids of it are null; repeated ids and
@@ -34,7 +35,9 @@ from tabprism.llm.components import components
 
 SHINGLE, RADIUS, SEED = 3, 2, 42
 FINGERPRINTS_PER_TASK = 1_000_000
-LARGE_BUCKET = 4096
+LARGE_BUCKET = 4096  # entries of a bucket that a task cuts again by itself
+HOT_BUCKET = 200_000  # entries of a bucket that is dealt again before the shuffle
+SMALL_TABLE_ROWS = 100_000
 
 
 def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
@@ -189,25 +192,85 @@ def _blocks(radius: int) -> list[tuple[int, int]]:
     return [(a, b - a) for a, b in zip(cuts, cuts[1:])]
 
 
-def links(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """Spanning links (a, b) among distinct fingerprints (column fp) within the radius."""
+def _bits(at: int, n: int) -> Column:
+    return F.shiftrightunsigned("fp", at).bitwiseAND(F.lit((1 << n) - 1))
+
+
+def _joined(pieces: list[tuple[int, int]]) -> Column:
+    """The bits of some (start, width) pieces side by side."""
+    out = _bits(*pieces[0])
+    for at, n in pieces[1:]:
+        out = F.shiftleft(out, n).bitwiseOR(_bits(at, n))
+    return out
+
+
+def _rest_parts(blocks: list[tuple[int, int]], used: tuple[int, ...], radius: int) -> list[list[tuple[int, int]]]:
+    """The bits outside the ``used`` blocks as radius + 1 lists of (start, width) pieces."""
+    free = [at + x for i, (at, n) in enumerate(blocks) if i not in used for x in range(n)]
+    cuts = [len(free) * i // (radius + 1) for i in range(radius + 2)]
+    parts = []
+    for low, high in zip(cuts, cuts[1:]):
+        pieces: list[tuple[int, int]] = []
+        for bit in free[low:high]:
+            if pieces and sum(pieces[-1]) == bit:
+                pieces[-1] = (pieces[-1][0], pieces[-1][1] + 1)
+            else:
+                pieces.append((bit, 1))
+        parts.append(pieces)
+    return parts
+
+
+def bucketed(prints: DataFrame, radius: int = RADIUS, hot: int = HOT_BUCKET) -> DataFrame:
+    """(fp, t, k, s): the buckets (t, k, s) of each distinct fingerprint; t is the pair of blocks, k its
+    bits. Two within the radius share one at least.
+
+    A bucket (t, k) of over ``hot`` fingerprints is dealt again before any task holds it: within
+    the radius, two of its fingerprints agree in one of radius + 1 parts of their other bits, so each
+    goes to one bucket per part. At radius 2, 32 bits and a part of 10 or 11 are then fixed, so no
+    bucket can hold more than 2^22 of them, however many texts share a passage.
+    """
     spark, blocks = prints.sparkSession, _blocks(radius)
-    part = lambda at, n: F.shiftrightunsigned("fp", at).bitwiseAND(F.lit((1 << n) - 1))
-    keys = [F.struct(F.lit(t).alias("t"), F.shiftleft(part(*blocks[i]), blocks[j][1]).bitwiseOR(part(*blocks[j])).alias("k"))
-            for t, (i, j) in enumerate(combinations(range(len(blocks)), 2))]
-    n_parts = partitions_for(spark, prints.count() * len(keys), FINGERPRINTS_PER_TASK)
-    dealt = prints.select("fp", F.explode(F.array(*keys)).alias("x")).select("fp", "x.t", "x.k").repartition(n_parts, "t", "k")
+    pairs = list(combinations(range(len(blocks)), 2))
+    keys = [F.struct(F.lit(t).alias("t"), _joined([blocks[i], blocks[j]]).alias("k")) for t, (i, j) in enumerate(pairs)]
+    dealt = prints.select("fp", F.explode(F.array(*keys)).alias("x")).select("fp", "x.t", "x.k")
+    crowded = checkpoint(dealt.groupBy("t", "k").agg(F.count("*").alias("n")).where(F.col("n") > hot)
+                         .select(F.col("t").alias("ht"), F.col("k").alias("hk")))
+    n_hot = crowded.count()
+    whole = F.lit(-1).cast("long")
+    if not n_hot:
+        return dealt.withColumn("s", whole)
+    again = F.lit(None)
+    for t, used in reversed(list(enumerate(pairs))):
+        parts = _rest_parts(blocks, used, radius)
+        own = F.array(*[F.shiftleft(_joined(p), 2 + radius).bitwiseOR(F.lit(i)) for i, p in enumerate(parts)])
+        again = F.when(F.col("t") == t, own).otherwise(again)
+    known = F.broadcast(crowded) if n_hot <= SMALL_TABLE_ROWS else crowded
+    marked = dealt.join(known, (F.col("t") == F.col("ht")) & (F.col("k") == F.col("hk")), "left")
+    return marked.select("fp", "t", "k", F.explode(F.when(F.col("ht").isNull(), F.array(whole)).otherwise(again)).alias("s"))
+
+
+def links(prints: DataFrame, radius: int = RADIUS, hot: int = HOT_BUCKET) -> DataFrame:
+    """Spanning links (a, b) among distinct fingerprints (column fp) within the radius."""
+    spark = prints.sparkSession
+    n_parts = partitions_for(spark, prints.count() * len(list(combinations(_blocks(radius), 2))), FINGERPRINTS_PER_TASK)
+    dealt = bucketed(prints, radius, hot).repartition(n_parts, "t", "k", "s")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        got = [[np.asarray(b.column(i)) for i in range(3)] for b in batches if b.num_rows]
+        got = [[np.asarray(b.column(i)) for i in range(4)] for b in batches if b.num_rows]
         if got:
-            fp, t, k = (np.concatenate(x) for x in zip(*got))
+            fp, t, k, s = (np.concatenate(x) for x in zip(*got))
             fp = fp.astype("<i8").view("<u8")
             distinct, nodes = np.unique(fp, return_inverse=True)
             label = np.arange(len(distinct))
+            # one number per bucket of the table: its place in the order of (k, s)
             for table in np.unique(t):
                 own = t == table
-                label = link_buckets(k[own], nodes[own], fp[own], label, radius)
+                order = np.lexsort((s[own], k[own]))
+                ks, ss = k[own][order], s[own][order]
+                new = np.r_[True, (ks[1:] != ks[:-1]) | (ss[1:] != ss[:-1])]
+                bucket = np.empty(len(order), dtype=np.int64)
+                bucket[order] = np.cumsum(new)
+                label = link_buckets(bucket, nodes[own], fp[own], label, radius)
             away = np.flatnonzero(label != np.arange(len(label)))
             for at in range(0, len(away), 100_000):
                 i = away[at:at + 100_000]

@@ -109,3 +109,36 @@ def test_survivor_does_not_depend_on_partitions(spark):
             assert out.columns == df.columns
             found.add(tuple(map(tuple, out.collect())))
     assert len(found) == 1 and len(found.pop()) == 1
+
+
+def test_crowded_buckets_are_dealt_again_before_the_shuffle(spark):
+    rng = random.Random(11)
+    base = rng.getrandbits(64)
+    # most fingerprints share two whole blocks, so one bucket holds them all
+    crowd = {base ^ (rng.getrandbits(32) << 32) for _ in range(1500)}
+    crowd |= {p ^ (1 << rng.randrange(64)) ^ (1 << rng.randrange(64)) for p in rng.sample(sorted(crowd), 400)}
+    crowd |= {rng.getrandbits(64) for _ in range(100)} | {0, 2**64 - 1}
+    prints = sorted(crowd)
+    table = spark.createDataFrame([(p - 2**64 if p >= 2**63 else p,) for p in prints], "fp long").repartition(4)
+    plain, split = simhash.bucketed(table), simhash.bucketed(table, hot=50)
+    most = [d.groupBy("t", "k", "s").count().agg({"count": "max"}).first()[0] for d in (plain, split)]
+    assert most[0] > 1400 and most[1] < 50
+    want = brute_components(prints)
+    for hot in (50, 10**9):
+        got = {r.node % 2**64: r.root % 2**64 for r in components(simhash.links(table, hot=hot), "a", "b").collect()}
+        group = {}
+        for p in prints:
+            group.setdefault(got.get(p, p), set()).add(p)
+        brute = {}
+        for p in prints:
+            brute.setdefault(want[p], set()).add(p)
+        assert sorted(map(sorted, group.values())) == sorted(map(sorted, brute.values()))
+
+
+def test_parts_of_the_other_bits_cover_them_once():
+    for radius in (1, 2, 3):
+        blocks = simhash._blocks(radius)
+        for used in combinations(range(len(blocks)), 2):
+            bits = [at + x for part in simhash._rest_parts(blocks, used, radius) for at, n in part for x in range(n)]
+            taken = [blocks[i][0] + x for i in used for x in range(blocks[i][1])]
+            assert sorted(bits + taken) == list(range(64))
