@@ -9,7 +9,8 @@ of greedy merging, in time linear in the text for any pre-token length.
 
 The tokenizer file (byte-level BPE) is a parameter; every Python worker builds the tables
 once and keeps the ids of the short pre-tokens it has met in a dictionary of up to
-``MEMO_BYTES`` (a memo only: what is not in it is encoded anew), dropped when a task ends.
+``MEMO_BYTES`` (a memo only: what is not in it is encoded anew), dropped when a task ends. A full
+memo keeps what the batch at hand uses, which is mostly the frequent ones.
 A very long text, or one unbroken run of letters, is encoded whole.
 
 Defined results: null text encodes as ''; special tokens of the file that occur in a text
@@ -185,6 +186,14 @@ class BpeTables:
         self.memo: dict[str, bytes] = {}
         self._held, self._long = 0, []
 
+    def _keep(self, chunks: set[str]) -> None:
+        """Drop the memo but for what these chunks, of one batch, use; all of it if that is over half."""
+        kept = {c: self.memo[c] for c in chunks if c in self.memo}
+        held = sum(map(len, kept)) + sum(map(len, kept.values())) + MEMO_ENTRY * len(kept)
+        self.forget()
+        if held <= MEMO_BYTES // 2:
+            self.memo, self._held = kept, held
+
     def _forget_long(self) -> None:
         for c in self._long:
             self._held -= len(c) + len(self.memo.pop(c)) + MEMO_ENTRY
@@ -203,7 +212,7 @@ class BpeTables:
                 cut.append([x for i, p in enumerate(self.at_special.split(text))
                             for x in ([self.special[p].to_bytes(4, "little")] if i % 2 else self._cut(p))])
         if self._held > MEMO_BYTES:
-            self.forget()
+            self._keep({c for own in cut for c in own})
         memo = self.memo
         new = {c for own in cut for c in own if c not in memo and not isinstance(c, bytes)}
         if new:

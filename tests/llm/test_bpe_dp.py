@@ -55,6 +55,24 @@ def test_memo_limit_changes_nothing(library, monkeypatch):
         assert mine.encode(part).tolist() == library.encode(part, add_special_tokens=False).ids
 
 
+def test_full_memo_keeps_what_the_batch_uses(library, monkeypatch):
+    mine, learned = bpe_dp.BpeTables(FILE), []
+    real = mine.encode_words
+    monkeypatch.setattr(mine, "encode_words", lambda words: learned.append(set(words)) or real(words))
+    rare = lambda k: [" ".join(f"r{chr(97 + k)}{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(300))]
+    monkeypatch.setattr(bpe_dp, "MEMO_BYTES", 60_000)
+    common = "the frequent words of every batch "
+    for k in range(4):
+        texts = [common * 5 + t for t in rare(k)]
+        for text, ids in zip(texts, mine.encode_batch(texts)):
+            assert ids.tolist() == library.encode(text, add_special_tokens=False).ids
+        assert mine._held <= 60_000 + 300 * (bpe_dp.MEMO_ENTRY + 40)
+    assert sum(" frequent" in words for words in learned) == 1
+    monkeypatch.setattr(bpe_dp, "MEMO_BYTES", 10)  # what the batch uses is too much itself
+    mine.encode_batch([common])
+    assert mine.encode(common).tolist() == library.encode(common, add_special_tokens=False).ids and len(mine.memo) < 30
+
+
 def test_query_and_edge_rows(spark, library):
     docs = spark.read.parquet(f"{SF}/documents.parquet").collect()
     got = {r.doc_id: r for r in queries.op6_bpe_dp(spark, SF).collect()}
